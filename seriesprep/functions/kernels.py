@@ -132,6 +132,18 @@ def amplitudes(values: pd.Series) -> pd.Series:
     return pd.Series(out, dtype=object)
 
 
+@pandas_udf(ArrayType(_struct(re=DOUBLE, im=DOUBLE)))
+def transform_cells(cells: pd.Series, length: pd.Series) -> pd.Series:
+    """Discrete Fourier transform of sparse cells (i, re, im) of the given length."""
+    out = []
+    for c, size in zip(cells, length):
+        z = np.zeros(int(size), dtype=complex)
+        for x in c:
+            z[x["i"]] = complex(x["re"], x["im"])
+        out.append([{"re": f.real, "im": f.imag} for f in np.fft.fft(z)])
+    return pd.Series(out, dtype=object)
+
+
 @pandas_udf(DOUBLES)
 def lag_products(left: pd.Series, right: pd.Series, mean: pd.Series, first: pd.Series, count: pd.Series) -> pd.Series:
     """Sum over t of (left[t]-m)(right[t+k]-m) for k = first .. first+count-1."""

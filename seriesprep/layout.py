@@ -23,7 +23,7 @@ BLOCK_KEY = [*KEY, "block"]
 
 # A multiple of lcm(30, 336) so that both default divergence windows tile a
 # block exactly.
-BLOCK_LEN = 50_400
+BLOCK_LEN = 100_800
 
 
 def clean_value(c: Column) -> Column:
@@ -33,7 +33,7 @@ def clean_value(c: Column) -> Column:
 
 
 def split_blocks(
-    points: DataFrame, before: int = 0, after: int = 0, block_len: int = BLOCK_LEN
+    points: DataFrame, before: int | Column = 0, after: int | Column = 0, block_len: int = BLOCK_LEN
 ) -> DataFrame:
     """Add ``block`` and ``own``; copy rows within ``before``/``after`` of a block edge.
 
@@ -41,7 +41,7 @@ def split_blocks(
     of the neighbouring blocks.
     """
     home = F.floor(F.col("t") / block_len)
-    if not before and not after:
+    if isinstance(before, int) and isinstance(after, int) and before + after == 0:
         return points.withColumn("block", home).withColumn("own", F.lit(True))
     first = F.greatest(F.floor((F.col("t") - after) / block_len), F.lit(0))
     last = F.floor((F.col("t") + before) / block_len)
@@ -78,7 +78,7 @@ def later_blocks() -> Window:
 
 
 def to_blocks(
-    points: DataFrame, before: int = 0, after: int = 0, block_len: int = BLOCK_LEN
+    points: DataFrame, before: int | Column = 0, after: int | Column = 0, block_len: int = BLOCK_LEN
 ) -> DataFrame:
     """Points to blocks: one shuffle on (series, channel, block), bounded groups."""
     rows = split_blocks(points, before, after, block_len)
@@ -128,6 +128,35 @@ def arrays_to_blocks(
     )
 
 
+def longest_series(points: DataFrame) -> int:
+    """Length of the longest series: one scan of one column, one row back."""
+    last = points.agg(F.max("t")).first()[0]
+    return 0 if last is None else last + 1
+
+
+def merge_block_arrays(parts: DataFrame, column: str, block_len: int = BLOCK_LEN) -> DataFrame:
+    """Element-wise sum of one array per block into one array per series.
+
+    ``parts`` has KEY, ``n``, ``block`` and the array.  Rows of series with a
+    single block pass through untouched; the arrays of longer series are summed
+    element by element with map-side partials and reassembled.
+    """
+    keep = [*KEY, "n"]
+    whole = parts.filter(F.col("n") <= block_len).select(*keep, column)
+    cells = (
+        parts.filter(F.col("n") > block_len)
+        .select(*keep, F.posexplode(column).alias("pos", "x"))
+        .groupBy(*keep, "pos")
+        .agg(F.sum("x").alias("x"))
+    )
+    summed = (
+        cells.groupBy(*keep)
+        .agg(F.sort_array(F.collect_list(F.struct("pos", "x"))).alias("px"))
+        .select(*keep, F.col("px.x").alias(column))
+    )
+    return whole.unionByName(summed)
+
+
 def points_to_arrays(points: DataFrame) -> DataFrame:
     """Pack every series into one array row, for export only."""
     return (
