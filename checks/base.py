@@ -15,7 +15,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 # Modules that register queries, in the order of the operator inventory.
-MODULES = ["repair_checks", "stats_checks", "spectrum_checks", "divergence_checks", "decompose_checks", "autocorr_checks", "symbolic_checks"]
+MODULES = ["repair_checks", "stats_checks", "spectrum_checks", "divergence_checks", "decompose_checks", "autocorr_checks", "symbolic_checks", "library_checks", "source_checks", "pipeline_checks"]
 
 
 def query(name: str, sql: str | None = None):

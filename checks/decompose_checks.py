@@ -45,7 +45,7 @@ def _strengths(points, periods=PERIODS):
     parts = classical(points, periods)
     keyed = parts.withColumn("channel", F.concat_ws("|", "channel", "period"))
     rows = decompose.component_strengths(keyed)
-    split = F.split("channel", r"\\|")
+    split = F.split("channel", r"\|")
     return rows.withColumn("period", split[1].cast("bigint")).withColumn("channel", split[0])
 
 
@@ -74,8 +74,8 @@ def top2(spark, d):
     "top3_padding",
     sql(
         [HOURLY, pts("hourly"), CLASSICAL, STRENGTHS],
-        "SELECT series_id, channel, max(seasonal_strength) AS seasonal_strength1, CAST(0 AS BIGINT) AS period_value2, -1.0 AS seasonal_strength2, -1.0 AS trend_strength2, "
-        "CAST(0 AS BIGINT) AS period_value3, -1.0 AS seasonal_strength3, -1.0 AS trend_strength3 FROM strengths WHERE period = 7 GROUP BY ALL",
+        "SELECT series_id, channel, max(seasonal_strength) AS seasonal_strength1, CAST(0 AS BIGINT) AS period_value2, (-1)::DOUBLE AS seasonal_strength2, (-1)::DOUBLE AS trend_strength2, "
+        "CAST(0 AS BIGINT) AS period_value3, (-1)::DOUBLE AS seasonal_strength3, (-1)::DOUBLE AS trend_strength3 FROM strengths WHERE period = 7 GROUP BY ALL",
         ["seasonal_strength1", "seasonal_strength2", "trend_strength2", "seasonal_strength3", "trend_strength3"],
         ["period_value2", "period_value3"],
     ),

@@ -11,8 +11,8 @@ from .base import HOURLY, STATS, WEEKLY, pts, query, rounded, sql, table
 
 AMP = """amp AS (
   SELECT series_id, channel, n, k,
-    2 * sqrt(pow(sum(v * cos(2 * pi() * ((k * t) % n) / n)), 2) + pow(sum(v * sin(2 * pi() * ((k * t) % n) / n)), 2)) / n AS amp
-  FROM pts JOIN stats USING (series_id, channel), range(2000) r(k) WHERE k < n // 2 GROUP BY ALL)"""
+    2 * sqrt(pow(sum(v * cos(2 * pi() * ((k * t) % n) / n)), 2) + pow(sum(v * sin(2 * pi() * ((k * t) % n) / n)), 2)) / any_value(n) AS amp
+  FROM pts JOIN stats USING (series_id, channel), range(2000) r(k) WHERE k < n // 2 GROUP BY series_id, channel, n, k)"""
 SNAP = "CASE " + " ".join(f"WHEN p BETWEEN {a} AND {b} THEN {c}" for a, b, c in STANDARD_PERIODS) + " ELSE p END"
 PEAKS = f"""peaks AS (
   SELECT *, {SNAP} AS adjusted FROM (
@@ -56,10 +56,10 @@ def math3(spark, d):
 @query(
     "math4_bin_period",
     "SELECT n, k, CAST(round_even(n / k, 0) AS BIGINT) AS period, count(*) AS rows FROM "
-    "(SELECT CAST(l_extendedprice AS BIGINT) % 2000 + 4 AS n, l_linenumber::BIGINT * 2 AS k FROM lineitem) GROUP BY ALL",
+    "(SELECT CAST(floor(l_extendedprice) AS BIGINT) % 2000 + 4 AS n, l_linenumber::BIGINT * 2 AS k FROM lineitem) GROUP BY ALL",
 )
 def math4(spark, d):
-    n = F.round(F.col("l_extendedprice"), 0).cast("bigint") % 2000 + 4
+    n = F.floor("l_extendedprice") % 2000 + 4
     rows = table(spark, d, "lineitem").select(n.alias("n"), (F.col("l_linenumber").cast("bigint") * 2).alias("k"))
     return rows.groupBy("n", "k").agg(F.count("*").alias("rows")).withColumn("period", bin_period(F.col("n"), F.col("k")))
 

@@ -101,55 +101,84 @@ def component_strengths(parts: DataFrame) -> DataFrame:
     )
 
 
-def best_periods(rows: DataFrame, tested: DataFrame | None = None, compat: bool = False) -> DataFrame:
-    """TOP2, TOP3 and MATH13: three periods with the largest seasonal strength.
+def moment_strengths(moments: Column, periods: Column) -> Column:
+    """Strengths per tested period from the moments of one whole series, as an array
+    of structs (period, pos, ss, ts)."""
+
+    def one(p: Column) -> Column:
+        return F.struct(
+            p["period"].alias("period"),
+            F.array_position(periods, p["period"]).cast("bigint").alias("pos"),
+            strength(p["rr"], p["dd"]).alias("ss"),
+            strength(p["rr"], p["ss"]).alias("ts"),
+        )
+
+    return F.transform(moments, one)
+
+
+def best_of(tested: Column, compat: bool = False) -> Column:
+    """TOP2/TOP3 on an array of structs (period, pos, ss, ts), at most 16 per series.
 
-    ``rows`` has one row per (series, period); at most 16 per series.  With
-    ``tested`` the tested order breaks ties, otherwise the period does.  Missing
-    ranks are padded with (0, -1, -1), sorted last.  ``compat`` instead keeps the
-    last of equal strengths and ranks the pads as strengths 0.1 and 0.2.
+    Best seasonal strength first, ties in tested order; missing ranks are padded
+    with (0, -1, -1), sorted last.  ``compat`` keeps the last tested of equal
+    strengths and ranks the pads as strengths 0.1, 0.2 and 0.3.
     """
-    if tested is not None:
-        order = F.array_position("periods", F.col("period"))
-        rows = rows.join(tested.select(*KEY, "periods"), KEY).withColumn("pos", order).drop("periods")
-    else:
-        rows = rows.withColumn("pos", F.col("period"))
 
-    def triple(key, pos, period, ss, ts):
-        return F.struct(
-            key.alias("key"), pos.cast("bigint").alias("pos"), period.cast("bigint").alias("period"),
-            ss.alias("ss"), ts.alias("ts"),
+    def entry(key, pos, period, ss, ts):
+        return F.struct(key.alias("key"), pos.alias("pos"), period.alias("period"), ss.alias("ss"), ts.alias("ts"))
+
+    def pad(key: float) -> Column:
+        return entry(
+            F.lit(key), F.lit(99).cast("bigint"), F.lit(0).cast("bigint"), F.lit(-1.0), F.lit(-1.0)
         )
 
-    ss, ts = F.col("seasonal_strength"), F.col("trend_strength")
-    pads = [
-        triple(F.lit(-0.1 * (i + 1)) if compat else F.lit(2.0), F.lit(99), F.lit(0), F.lit(-1.0), F.lit(-1.0))
-        for i in range(3)
-    ]
     if compat:
-        latest = rows.groupBy(*KEY, "seasonal_strength").agg(
-            F.max_by(F.struct("period", "trend_strength"), "pos").alias("x"), F.max("pos").alias("pos")
-        )
-        rows = latest.select(
-            *KEY, "pos", "seasonal_strength", F.col("x.period").alias("period"),
-            F.col("x.trend_strength").alias("trend_strength"),
+        tested = F.filter(
+            tested, lambda x: ~F.exists(tested, lambda y: (y["ss"] == x["ss"]) & (y["pos"] > x["pos"]))
         )
-    listed = rows.groupBy(*KEY).agg(
-        F.collect_list(triple(-ss, F.col("pos"), F.col("period"), ss, ts)).alias("x")
-    )
-    extra = F.greatest(F.lit(0), 3 - F.size("x"))
-    best = F.array_sort(F.concat("x", F.slice(F.array(*pads), F.lit(1), extra)))
-    out = listed.select(*KEY, best.alias("b"))
+    ranked = F.transform(tested, lambda x: entry(-x["ss"], x["pos"], x["period"], x["ss"], x["ts"]))
+    pads = F.array(*[pad(-0.1 * (i + 1) if compat else 2.0) for i in range(3)])
+    missing = F.slice(pads, F.lit(1), F.greatest(F.lit(0), F.lit(3) - F.size(ranked)))
+    if compat:
+        ranked = F.filter(ranked, lambda x: ~F.exists(missing, lambda y: y["key"] == x["key"]))
+    return F.array_sort(F.concat(ranked, missing))
+
+
+def best_columns(best: Column) -> list[Column]:
+    """The first three entries of ``best_of`` as nine columns."""
     cols = []
     for i in range(3):
-        x = F.get("b", F.lit(i))
+        x = F.get(best, F.lit(i))
         cols += [
             x["period"].alias(f"period_value{i + 1}"),
             x["ss"].alias(f"seasonal_strength{i + 1}"),
             x["ts"].alias(f"trend_strength{i + 1}"),
         ]
-    return out.select(*KEY, *cols).select(
-        "*",
+    return cols
+
+
+def season_flags() -> list[Column]:
+    """MATH13."""
+    return [
         (F.col("seasonal_strength1") >= 0.9).alias("if_season"),
         (F.col("trend_strength1") >= 0.85).alias("if_trend"),
+    ]
+
+
+def best_periods(rows: DataFrame, tested: DataFrame | None = None, compat: bool = False) -> DataFrame:
+    """TOP2, TOP3 and MATH13 from one row per (series, period).
+
+    With ``tested`` the tested order breaks ties, otherwise the period does.
+    """
+    pos = F.col("period")
+    if tested is not None:
+        rows = rows.join(tested.select(*KEY, "periods"), KEY)
+        pos = F.array_position("periods", F.col("period"))
+    one = F.struct(
+        "period",
+        pos.cast("bigint").alias("pos"),
+        F.col("seasonal_strength").alias("ss"),
+        F.col("trend_strength").alias("ts"),
     )
+    listed = rows.groupBy(*KEY).agg(F.collect_list(one).alias("x")).withColumn("best", best_of(F.col("x"), compat))
+    return listed.select(*KEY, *best_columns(F.col("best"))).select("*", *season_flags())

@@ -43,7 +43,7 @@ def ranked(points: DataFrame, by: str = "v", block_len: int = BLOCK_LEN) -> Data
     )
 
 
-def _at(sorted_values: Column, pos: Column) -> Column:
+def array_at(sorted_values: Column, pos: Column) -> Column:
     """Linear interpolation in a sorted array at a fractional 0-based position."""
     lo = F.floor(pos)
     a = F.get(sorted_values, lo.cast("int"))
@@ -75,7 +75,7 @@ def quantiles(
         counts.filter(F.col("_tmax") < block_len), KEY, "left_semi"
     )
     ordered = short.withColumn("s", F.array_sort("values")).withColumn("n", F.size("s"))
-    small = ordered.select(*KEY, *[_at(F.col("s"), pos(F.col("n"), q)).alias(k) for k, q in probs.items()])
+    small = ordered.select(*KEY, *[array_at(F.col("s"), pos(F.col("n"), q)).alias(k) for k, q in probs.items()])
 
     long_keys = counts.filter(F.col("_tmax") >= block_len).select(
         *KEY, F.explode(F.sequence(F.lit(0), F.floor(F.col("_tmax") / block_len))).alias("block")

@@ -49,10 +49,15 @@ def peak_list(amps: Column, fmin: float = 0.0, compat: bool = False) -> Column:
 
 def candidate_periods(spectra: DataFrame, fmin: float = 0.0, compat: bool = False) -> DataFrame:
     """TOP1: ``detected`` = first three distinct adjusted periods >= 4 in amplitude order."""
+    return with_candidates(spectra, compat, fmin).select(*KEY, "n", "detected")
+
+
+def with_candidates(spectra: DataFrame, compat: bool = False, fmin: float = 0.0) -> DataFrame:
+    """The rows of ``spectra`` (``n``, ``amps``) with the column ``detected``."""
     listed = spectra.withColumn("peaks", peak_list(F.col("amps"), fmin, compat))
     snapped = F.transform("peaks", lambda x: adjust_period(bin_period(F.col("n"), x["k"])))
     valid = F.array_distinct(F.filter(snapped, lambda p: p >= 4))
-    return listed.select(*KEY, "n", F.slice(valid, 1, 3).alias("detected"))
+    return listed.withColumn("detected", F.slice(valid, 1, 3)).drop("peaks")
 
 
 def tested_periods(candidates: DataFrame) -> DataFrame:

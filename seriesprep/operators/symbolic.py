@@ -9,7 +9,7 @@ from ..functions import kernels
 from ..functions.scalars import pretty_step
 from ..layout import BLOCK_KEY, BLOCK_LEN, KEY, attach, earlier_blocks, in_order, split_blocks
 from .autocorr import first_nonpositive
-from .order import describe, quantiles
+from .order import array_at, describe, quantiles
 from .repair import nearest
 
 
@@ -40,13 +40,48 @@ def transition(points: DataFrame, sums: DataFrame, block_len: int = BLOCK_LEN, l
         .select(*KEY, F.floor(F.col("t") / F.col("tau")).alias("t"), "v")
     )
     pairs = coded_pairs(thin, block_len)
+    cells = [F.col(f"c{i}{j}") for i in (1, 2, 3) for j in (1, 2, 3)]
+    out = pairs.select(
+        *KEY, column_variances(cells, F.col("m")).alias("SB_TransitionMatrix_3ac_sumdiagcov")
+    )
+    return tau.select(*KEY).join(out, KEY, "left")
+
+
+def column_variances(cells: list[Column], m: Column) -> Column:
+    """Sum of the column variances (ddof 1) of a row-major 3x3 count table over m pairs."""
     total = F.lit(0.0)
-    for j in (1, 2, 3):
-        col = [F.col(f"c{i}{j}") / F.col("m") for i in (1, 2, 3)]
+    for j in range(3):
+        col = [cells[3 * i + j] / m for i in range(3)]
         mean = (col[0] + col[1] + col[2]) / 3
         total = total + sum(((x - mean) * (x - mean) for x in col), F.lit(0.0)) / 2
-    out = pairs.select(*KEY, total.alias("SB_TransitionMatrix_3ac_sumdiagcov"))
-    return tau.select(*KEY).join(out, KEY, "left")
+    return total
+
+
+def transition_whole(values: Column, tau: Column) -> Column:
+    """L1 of a series held in one row; same rule as ``transition``."""
+    thin = F.filter(values, lambda x, i: i % tau == 0)
+    ordered = F.array_sort(thin)
+    m = F.size(thin)
+    cuts = [array_at(ordered, F.least(F.greatest(m * q - 0.5, F.lit(0.0)), m - 1)) for q in (1.0 / 3.0, 2.0 / 3.0)]
+
+    def words(packed: Column) -> Column:
+        code = F.transform(
+            packed["x"],
+            lambda x: (x > packed["q1"]).cast("int") + (x > packed["q2"]).cast("int"),
+        )
+        size = F.size(packed["x"]) - 1
+        return F.zip_with(F.slice(code, F.lit(1), size), F.slice(code, F.lit(2), size), lambda a, b: a * 3 + b)
+
+    def tally(word: Column, k: int) -> Column:
+        return F.size(F.filter(word, lambda w: w == k))
+
+    def score(word: Column) -> Column:
+        return column_variances([tally(word, k) for k in range(9)], F.size(word))
+
+    # bound once each through a one-element array, so nothing is evaluated twice
+    packed = F.array(F.struct(thin.alias("x"), cuts[0].alias("q1"), cuts[1].alias("q2")))
+    scored = F.transform(F.transform(packed, words), score)
+    return F.when(m >= 2, F.get(scored, F.lit(0)))
 
 
 def motif_entropy(points: DataFrame, block_len: int = BLOCK_LEN) -> DataFrame:

@@ -62,21 +62,24 @@ def adf(points: DataFrame, block_len: int = BLOCK_LEN) -> DataFrame:
     )
 
 
+def running_sums(values: Column, mean: Column) -> Column:
+    """Struct of the last running sum ``c`` of v - mean, and the sums of c and c^2."""
+    zero = F.struct(F.lit(0.0).alias("c"), F.lit(0.0).alias("c1"), F.lit(0.0).alias("c2"))
+
+    def step(a: Column, v: Column) -> Column:
+        c = a["c"] + v - mean
+        return F.struct(c.alias("c"), (a["c1"] + c).alias("c1"), (a["c2"] + c * c).alias("c2"))
+
+    return F.aggregate(values, zero, step)
+
+
 def cumulative_square(points: DataFrame, block_len: int = BLOCK_LEN) -> DataFrame:
     """Sum over t of (running sum of v - mean)^2: a scan inside blocks and one over blocks."""
-    stats = describe(points)
-    rows = attach(split_blocks(points, block_len=block_len), stats.select(*KEY, "n", "mean"), block_len)
-    run = F.sum(F.col("v") - F.col("mean")).over(in_order())
-    sums = (
-        rows.withColumn("c", run)
-        .groupBy(*BLOCK_KEY)
-        .agg(
-            F.count("*").alias("m"),
-            F.sum("c").alias("c1"),
-            F.sum(F.col("c") * F.col("c")).alias("c2"),
-            F.max_by("c", "t").alias("last"),
-        )
-    )
+    stats = describe(points).select(*KEY, "n", "mean")
+    blocks = attach(to_blocks(points, block_len=block_len), stats, block_len)
+    sums = blocks.select(
+        *BLOCK_KEY, F.size("values").alias("m"), running_sums(F.col("values"), F.col("mean")).alias("r")
+    ).select(*BLOCK_KEY, "m", F.col("r.c").alias("last"), F.col("r.c1").alias("c1"), F.col("r.c2").alias("c2"))
     base = F.coalesce(F.sum("last").over(earlier_blocks()), F.lit(0.0))
     return (
         sums.withColumn("base", base)
@@ -114,27 +117,35 @@ def kpss_lags(s: Column, n: Column) -> Column:
     return F.least(F.floor(gamma * F.pow(n, F.lit(1.0 / 3.0))), n - 1)
 
 
+def kpss_statistic(q: Column, s: Column, lags: Column, n: Column, sd: Column) -> Column:
+    """Scaled cumulative square over the weighted lag products."""
+    return F.when(sd > 0, F.try_divide(q / (n * n), _weighted(s, lags) / n))
+
+
 def kpss(points: DataFrame, sums: DataFrame, block_len: int = BLOCK_LEN) -> DataFrame:
     """MATH11: statistic, lag count and p-value around a constant."""
     n = F.col("n")
     rows = sums.join(cumulative_square(points, block_len), KEY).withColumn("lags", kpss_lags(F.col("s"), n))
-    eta = F.col("q") / (n * n)
-    stat = F.when(F.col("sd") > 0, F.try_divide(eta, _weighted(F.col("s"), F.col("lags")) / n))
+    stat = kpss_statistic(F.col("q"), F.col("s"), F.col("lags"), n, F.col("sd"))
     return rows.withColumn("kpss_stat", stat).select(
         *KEY, "kpss_stat", F.col("lags").alias("kpss_lag"), kpss_pvalue(F.col("kpss_stat")).alias("kpss_pvalue")
     )
 
 
+def joint_pvalues(adf_p: Column, kpss_p: Column) -> list[Column]:
+    """Both p-values and ``stability`` (MATH12), all NULL if one is."""
+    known = adf_p.isNotNull() & kpss_p.isNotNull()
+    return [
+        F.when(known, adf_p).alias("adf_pvalue"),
+        F.when(known, kpss_p).alias("kpss_pvalue"),
+        F.when(known, (adf_p <= 0.05) | (kpss_p >= 0.05)).alias("stability"),
+    ]
+
+
 def stationarity(points: DataFrame, sums: DataFrame, block_len: int = BLOCK_LEN) -> DataFrame:
     """MATH10-12 side by side; if one test is undefined, all three columns are NULL."""
     both = adf(points, block_len).join(kpss(points, sums, block_len), KEY, "left")
-    known = F.col("adf_pvalue").isNotNull() & F.col("kpss_pvalue").isNotNull()
-    return both.select(
-        *KEY,
-        F.when(known, F.col("adf_pvalue")).alias("adf_pvalue"),
-        F.when(known, F.col("kpss_pvalue")).alias("kpss_pvalue"),
-        F.when(known, (F.col("adf_pvalue") <= 0.05) | (F.col("kpss_pvalue") >= 0.05)).alias("stability"),
-    )
+    return both.select(*KEY, *joint_pvalues(F.col("adf_pvalue"), F.col("kpss_pvalue")))
 
 
 def unitroot_stats(points: DataFrame, sums: DataFrame, block_len: int = BLOCK_LEN) -> DataFrame:
@@ -146,7 +157,7 @@ def unitroot_stats(points: DataFrame, sums: DataFrame, block_len: int = BLOCK_LE
     n = F.col("n")
     short = F.floor(F.pow(n / 100.0, F.lit(0.25)) * 4)
     rows = sums.join(cumulative_square(points, block_len), KEY)
-    kp = F.when(F.col("sd") > 0, F.try_divide(F.col("q") / (n * n), _weighted(F.col("s"), short) / n))
+    kp = kpss_statistic(F.col("q"), F.col("s"), short, n, F.col("sd"))
     kpss_part = rows.select(*KEY, kp.alias("unitroot_kpss"))
     return kpss_part.join(phillips_perron(points, block_len), KEY, "left")
 

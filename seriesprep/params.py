@@ -26,3 +26,4 @@ class Params:
     repair_window: int = 3
     repair_low_ratio: float = 0.2
     repair_positive_median_only: bool = False
+    compat: bool = False  # tie and padding rules of period ranking, see TOP3
