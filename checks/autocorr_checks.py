@@ -20,7 +20,7 @@ NEIGHBOURS = "(SELECT *, lag(ac) OVER w AS p, lead(ac) OVER w AS x FROM acf WIND
 @query("l5_first_1e_crossing", sql(BASIS, f"""SELECT s.series_id, s.channel, coalesce(x.v, s.n) AS CO_f1ecac FROM stats s LEFT JOIN (
   SELECT series_id, channel, arg_min(k - 1 + (exp(-1) - p) / (ac - p), k) AS v FROM {NEIGHBOURS} WHERE k > 0 AND k < n - 1 AND ac < exp(-1) GROUP BY ALL) x USING (series_id, channel)""", ["CO_f1ecac"]))
 def l5(spark, d):
-    rows = autocorr.acf_features(autocorr.lag_sums(base.weekly(spark, d)))
+    rows = autocorr.acf_features(autocorr.lag_sums(base.weekly(spark, d), longest=base.WEEKS))
     return rounded(rows.select(*KEY, "CO_f1ecac"))
 
 
@@ -29,13 +29,13 @@ def l5(spark, d):
   FROM stats s LEFT JOIN (SELECT series_id, channel, min(k) AS k FROM {NEIGHBOURS} WHERE k > 0 AND ac < p AND ac < x GROUP BY ALL) m USING (series_id, channel)
   LEFT JOIN (SELECT series_id, channel, min(k) AS k FROM acf WHERE ac < 0 GROUP BY ALL) z USING (series_id, channel)""", ["CO_FirstMin_ac", "firstmin_ac", "firstzero_ac"]))
 def l6(spark, d):
-    rows = autocorr.acf_features(autocorr.lag_sums(base.weekly(spark, d)))
+    rows = autocorr.acf_features(autocorr.lag_sums(base.weekly(spark, d), longest=base.WEEKS))
     return rounded(rows.drop("CO_f1ecac"))
 
 
 @query("lag_products", sql([HOURLY, pts("hourly"), STATS, ACF], "FROM acf", ["ac"], ["k"]))
 def lag_products(spark, d):
-    rows = autocorr.lag_sums(base.hourly(spark, d))
+    rows = autocorr.lag_sums(base.hourly(spark, d), longest=base.HOURS)
     ac = F.transform("s", lambda x: x / F.get("s", F.lit(0)))
     return rounded(rows.select(*KEY, F.posexplode(ac).alias("k", "ac")))
 
@@ -120,7 +120,7 @@ P = """CASE WHEN stat <= 0.347 THEN 0.1 WHEN stat <= 0.463 THEN 0.1 + (stat - 0.
 @query("math11_kpss", sql([*BASIS, AUTO_LAGS, kpss_cte("auto")], f"SELECT series_id, channel, stat AS kpss_stat, lags AS kpss_lag, {P} AS kpss_pvalue FROM kp", ["kpss_stat", "kpss_pvalue"], ["kpss_lag"]))
 def math11(spark, d):
     points = base.weekly(spark, d)
-    return rounded(unitroot.kpss(points, autocorr.lag_sums(points)))
+    return rounded(unitroot.kpss(points, autocorr.lag_sums(points, longest=base.WEEKS)))
 
 
 SHORT_LAGS = "short AS (SELECT series_id, channel, CAST(floor(4 * pow(n / 100, 0.25)) AS BIGINT) AS lags FROM stats)"
@@ -146,15 +146,15 @@ PP = """pp AS (
 )
 def l30(spark, d):
     points = base.weekly(spark, d)
-    return rounded(unitroot.unitroot_stats(points, autocorr.lag_sums(points)), 5)
+    return rounded(unitroot.unitroot_stats(points, autocorr.lag_sums(points, longest=base.WEEKS)), 5)
 
 
 @query("math10_adf")
 def math10(spark, d):
-    return rounded(unitroot.adf(base.weekly(spark, d)))
+    return rounded(unitroot.adf(base.weekly(spark, d), longest=base.WEEKS))
 
 
 @query("math12_stationarity")
 def math12(spark, d):
     points = base.weekly(spark, d)
-    return rounded(unitroot.stationarity(points, autocorr.lag_sums(points)))
+    return rounded(unitroot.stationarity(points, autocorr.lag_sums(points, longest=base.WEEKS)))

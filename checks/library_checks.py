@@ -52,7 +52,7 @@ def l19(spark, d):
     ),
 )
 def l24(spark, d):
-    return rounded(library.spectral_entropy(spectrum.spectrum(base.hourly(spark, d))))
+    return rounded(library.spectral_entropy(spectrum.spectrum(base.hourly(spark, d), longest=base.HOURS)))
 
 
 @query(
@@ -64,7 +64,7 @@ def l24(spark, d):
     ),
 )
 def l27(spark, d):
-    return rounded(library.log_periodogram(spectrum.spectrum(base.hourly(spark, d))))
+    return rounded(library.log_periodogram(spectrum.spectrum(base.hourly(spark, d), longest=base.HOURS)))
 
 
 @query(
@@ -100,7 +100,7 @@ dacf AS (SELECT a.series_id, a.channel, b.t - a.t AS k, sum((a.v - m) * (b.v - m
 )
 def l14(spark, d):
     points = base.weekly(spark, d)
-    return rounded(library.residual_tau_ratio(points, autocorr.lag_sums(points)))
+    return rounded(library.residual_tau_ratio(points, autocorr.lag_sums(points, longest=base.WEEKS)))
 
 
 EMBED = """tau AS (SELECT series_id, channel, any_value(n) AS n, least(coalesce(min(CASE WHEN ac <= 0 THEN k END), any_value(n)), any_value(n) // 10) AS tau FROM acf GROUP BY series_id, channel),

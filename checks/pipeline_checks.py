@@ -24,7 +24,7 @@ LOOSE = Params(
 
 def sql_report(points, d=None):
     """The eight report columns from operators SQL can repeat; Stationarity stays NULL."""
-    sums = autocorr.lag_sums(points)
+    sums = autocorr.lag_sums(points, longest=base.WEEKS)
     best = _strengths(points, [12]).select(*KEY, F.col("seasonal_strength").alias("seasonal_strength1"), F.col("trend_strength").alias("trend_strength1"))
     parts = [symbolic.transition(points, sums), symbolic.outlier_timing(points, 1), divergence.series_divergence(points)]
     for p in parts:

@@ -47,19 +47,19 @@ def w1(spark, d):
 
 @query("w2_w3_filled_rolling", sql([*FIX, ROLL, FILLED, FLAGS], "FROM flags", ["roll_mean", "roll_std"], ["t"], 4))
 def w2(spark, d):
-    rows = repair.filled_rolling(base.weekly(spark, d))
+    rows = repair.filled_rolling(base.weekly(spark, d), longest=base.WEEKS)
     return rounded(rows.select("series_id", "channel", "t", "roll_mean", "roll_std"), 4)
 
 
 @query("w4_w5_outlier_flags", sql([*FIX, ROLL, FILLED, FLAGS], "FROM flags", [], ["t", "local_outlier", "low_outlier"]))
 def w4(spark, d):
-    rows = repair.flag_outliers(base.weekly(spark, d))
+    rows = repair.flag_outliers(base.weekly(spark, d), longest=base.WEEKS)
     return rows.select("series_id", "channel", "t", "local_outlier", "low_outlier")
 
 
 @query("w6_repair", sql([*FIX, ROLL, FILLED, FLAGS, REPAIRED], "FROM repaired", ["repaired"], ["t", "is_outlier"], 4))
 def w6(spark, d):
-    rows = repair.repair(base.weekly(spark, d))
+    rows = repair.repair(base.weekly(spark, d), longest=base.WEEKS)
     return rounded(rows.select("series_id", "channel", "t", "is_outlier", "repaired"), 4)
 
 

@@ -43,13 +43,13 @@ def math1(spark, d):
 
 @query("math2_spectrum", sql(BASIS[:4], "FROM amp", ["amp"], ["k"]))
 def math2(spark, d):
-    rows = spectrum.spectrum(base.hourly(spark, d))
+    rows = spectrum.spectrum(base.hourly(spark, d), longest=base.HOURS)
     return rounded(rows.select(*KEY, F.posexplode("amps").alias("k", "amp")))
 
 
 @query("math3_w10_spectral_peaks", sql(BASIS[:5], "FROM peaks", ["amp"], ["k", "rank", "adjusted", "p AS period"]))
 def math3(spark, d):
-    rows = spectrum.spectral_peaks(spectrum.spectrum(base.hourly(spark, d)))
+    rows = spectrum.spectral_peaks(spectrum.spectrum(base.hourly(spark, d), longest=base.HOURS))
     return rounded(rows.select(*KEY, "k", "rank", "amp", "period", "adjusted"))
 
 
@@ -66,18 +66,18 @@ def math4(spark, d):
 
 @query("f8_amplitude_floor", sql(BASIS_W[:5], "SELECT * FROM peaks WHERE amp >= 5000", ["amp"], ["k", "p AS period"], 4))
 def f8(spark, d):
-    rows = spectrum.spectral_peaks(spectrum.spectrum(base.weekly(spark, d)), fmin=5000.0)
+    rows = spectrum.spectral_peaks(spectrum.spectrum(base.weekly(spark, d), longest=base.WEEKS), fmin=5000.0)
     return rounded(rows.select(*KEY, "k", "period", "amp"), 4)
 
 
 @query("top1_f10_detected_periods", sql(BASIS_W[:6], "SELECT * FROM cand WHERE pos <= 3", [], ["adjusted AS period", "pos"]))
 def top1(spark, d):
-    rows = spectrum.candidate_periods(spectrum.spectrum(base.weekly(spark, d)))
+    rows = spectrum.candidate_periods(spectrum.spectrum(base.weekly(spark, d), longest=base.WEEKS))
     rows = rows.select(*KEY, F.posexplode("detected").alias("pos", "period"))
     return rows.select(*KEY, "period", (F.col("pos") + 1).cast("bigint").alias("pos"))
 
 
 @query("set1_f9_tested_periods", sql(BASIS_W, "FROM tested", [], ["period"]))
 def set1(spark, d):
-    rows = spectrum.tested_periods(spectrum.candidate_periods(spectrum.spectrum(base.weekly(spark, d))))
+    rows = spectrum.tested_periods(spectrum.candidate_periods(spectrum.spectrum(base.weekly(spark, d), longest=base.WEEKS)))
     return rows.select(*KEY, F.explode("periods").alias("period"))

@@ -37,7 +37,7 @@ def _aggregate(names):
 def _point(name, names, digits=6):
     @query(name, sql(BASIS, _aggregate(names), names, digits=digits))
     def run(spark, d):
-        return rounded(stats.point_features(base.weekly(spark, d), list(names)), digits)
+        return rounded(stats.point_features(base.weekly(spark, d), list(names), longest=base.WEEKS), digits)
 
 
 @query("agg1_skewness", sql([WEEKLY, pts("weekly"), STATS], f"SELECT series_id, channel, m3 / pow(m2, 1.5) AS skewness FROM {MOMENT}", ["skewness"]))
@@ -67,7 +67,7 @@ INV = """SELECT a.series_id, a.channel, count(*) FILTER (a.v > b.v) / any_value(
 
 @query("agg6_j5_inversions", sql([WEEKLY, pts("weekly"), STATS], INV, ["inversions"], ["pairs"]))
 def agg6(spark, d):
-    return rounded(order.inversions(base.weekly(spark, d)))
+    return rounded(order.inversions(base.weekly(spark, d), longest=base.WEEKS))
 
 
 @query(
@@ -82,7 +82,7 @@ def agg6(spark, d):
     ),
 )
 def agg8(spark, d):
-    return rounded(stats.other_features(base.weekly(spark, d)), 4)
+    return rounded(stats.other_features(base.weekly(spark, d), longest=base.WEEKS), 4)
 
 
 @query("agg11_length", sql([HOURLY, pts("hourly"), STATS], "SELECT series_id, channel, n AS length FROM stats", [], ["length"]))

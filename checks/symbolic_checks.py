@@ -36,7 +36,7 @@ TAU = """thin AS (SELECT p.series_id, p.channel, t // tau AS t, v FROM pts p JOI
 )
 def l1(spark, d):
     points = base.weekly(spark, d)
-    return rounded(symbolic.transition(points, autocorr.lag_sums(points)))
+    return rounded(symbolic.transition(points, autocorr.lag_sums(points, longest=base.WEEKS)))
 
 
 @query(
@@ -44,7 +44,7 @@ def l1(spark, d):
     sql([WEEKLY, pts("weekly"), terciles("pts")], "SELECT series_id, channel, -sum(c / m * ln(c / m)) AS SB_MotifThree_quantile_hh FROM words GROUP BY ALL", ["SB_MotifThree_quantile_hh"]),
 )
 def l16(spark, d):
-    return rounded(symbolic.motif_entropy(base.weekly(spark, d)))
+    return rounded(symbolic.motif_entropy(base.weekly(spark, d), longest=base.WEEKS))
 
 
 def timing(sign, name):
@@ -121,7 +121,7 @@ down AS (SELECT series_id, channel, max(t - p) AS h FROM (SELECT *, coalesce(lag
     ),
 )
 def l10(spark, d):
-    return rounded(symbolic.long_stretches(base.weekly(spark, d)))
+    return rounded(symbolic.long_stretches(base.weekly(spark, d), longest=base.WEEKS))
 
 
 @query(

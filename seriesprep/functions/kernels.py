@@ -513,13 +513,12 @@ def density_shift(
             p, q = max(c - w + 1, a), min(d + w + 1, a + len(x))
             dens = np.exp(-(((grid[None, :] - x[p - a : q - a, None]) / bw) ** 2) / 2) / (bw * np.sqrt(2 * np.pi))
             dens = np.maximum(dens, np.exp(-(38.0**2) / 2) / np.sqrt(2 * np.pi))
-            run = np.cumsum(np.vstack([np.zeros(100), dens]), axis=0)
+            mean = sum(dens[k : len(dens) - w + 1 + k] for k in range(w)) / w
             t = np.arange(c, d + 1)
             kl = np.zeros(len(t))
             ok = t >= w - 1
-            i = t[ok] - p + 1
-            m1 = (run[i] - run[i - w]) / w
-            m2 = (run[i + w] - run[i]) / w
+            i = t[ok] - p - w + 1
+            m1, m2 = mean[i], mean[i + w]
             kl[ok] = (m1 * (np.log(m1) - np.log(m2))).sum(axis=1) * step
             gap = np.diff(kl)
             j = int(np.argmax(gap))

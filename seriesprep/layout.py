@@ -15,6 +15,8 @@ per block.
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -128,8 +130,24 @@ def arrays_to_blocks(
     )
 
 
-def longest_series(points: DataFrame) -> int:
-    """Length of the longest series: one scan of one column, one row back."""
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Checkpoint in the shared folder the session names; a local one only where none is set."""
+    spark = df.sparkSession
+    context = spark.sparkContext
+    if context.getCheckpointDir() is None:
+        folder = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="seriesprep-")
+        context.setCheckpointDir(folder)
+    return df.checkpoint()
+
+
+def longest_series(points: DataFrame, known: int | None = None) -> int:
+    """Upper bound on the series length: ``known`` if given, else one scan of one column.
+
+    Operators take it as ``longest``.  When every series fits one block they leave
+    out the steps that connect blocks; the result is the same either way.
+    """
+    if known is not None:
+        return known
     last = points.agg(F.max("t")).first()[0]
     return 0 if last is None else last + 1
 

@@ -6,11 +6,22 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import kernels
-from ..layout import BLOCK_KEY, BLOCK_LEN, KEY, attach, in_order, longest_series, merge_block_arrays, split_blocks, to_blocks
+from ..layout import (
+    BLOCK_KEY,
+    BLOCK_LEN,
+    KEY,
+    attach,
+    cut_lineage,
+    in_order,
+    longest_series,
+    merge_block_arrays,
+    split_blocks,
+    to_blocks,
+)
 from .order import describe
 
 
-def lag_sums(points: DataFrame, block_len: int = BLOCK_LEN) -> DataFrame:
+def lag_sums(points: DataFrame, block_len: int = BLOCK_LEN, longest: int | None = None) -> DataFrame:
     """``n``, ``sd`` and ``s``: s[k] = sum over t of (v[t]-mean)(v[t+k]-mean), k below min(n, block_len)."""
     stats = describe(points)
     blocks = attach(
@@ -21,7 +32,11 @@ def lag_sums(points: DataFrame, block_len: int = BLOCK_LEN) -> DataFrame:
     parts = blocks.select(
         *BLOCK_KEY, "n", kernels.lag_products(own, "values", "mean", F.lit(0), count).alias("s")
     )
-    return merge_block_arrays(parts, "s", block_len).join(stats.select(*KEY, "sd"), KEY)
+    if longest_series(points, longest) <= block_len:
+        parts = parts.drop("block")
+    else:
+        parts = merge_block_arrays(parts, "s", block_len)
+    return parts.join(stats.select(*KEY, "sd"), KEY)
 
 
 def farther_lag_sums(points: DataFrame, stats: DataFrame, hop: int, block_len: int = BLOCK_LEN) -> DataFrame:
@@ -61,7 +76,7 @@ def first_nonpositive(
     unresolved are searched one block of lags at a time.
     """
     found = sums.select(*KEY, "n", "sd", first_index(F.col("s"), lambda x, _: x <= 0).alias("tau"))
-    longest = longest_series(points) if longest is None else longest
+    longest = longest_series(points, longest)
     if longest <= block_len:
         return found.withColumn("tau", F.coalesce("tau", F.col("n")))
     out = found.filter(F.col("tau").isNotNull())
@@ -71,7 +86,8 @@ def first_nonpositive(
         stats = todo.filter(F.col("n") > hop * block_len).join(describe(points).select(*KEY, "mean"), KEY)
         s = farther_lag_sums(points, stats.select(*KEY, "n", "mean"), hop, block_len)
         hit = s.select(*KEY, (first_index(F.col("s"), lambda x, _: x <= 0) + hop * block_len).alias("hit"))
-        step = todo.drop("tau").join(hit, KEY, "left").withColumnRenamed("hit", "tau").checkpoint()
+        step = todo.drop("tau").join(hit, KEY, "left").withColumnRenamed("hit", "tau")
+        step = cut_lineage(step)
         out = out.unionByName(step.filter(F.col("tau").isNotNull()))
         todo = step.filter(F.col("tau").isNull())
         longest = todo.filter(F.col("sd") > 0).agg(F.max("n")).first()[0] or 0

@@ -6,11 +6,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import kernels
-from ..layout import BLOCK_KEY, BLOCK_LEN, KEY, attach, in_order, longest_series, merge_block_arrays, split_blocks, to_blocks
-from .autocorr import difference, first_index, first_nonpositive, lag_sums, lagged_correlations
+from ..layout import BLOCK_KEY, BLOCK_LEN, KEY, attach, in_order, longest_series, split_blocks, to_blocks
+from .autocorr import difference, first_nonpositive, lag_sums, lagged_correlations
 from .fourier import long_power
 from .order import describe, quantiles
-from .spectrum import spectrum
+from .smoother import long_smooth
 
 
 def standardised(points: DataFrame, block_len: int = BLOCK_LEN) -> DataFrame:
@@ -72,11 +72,11 @@ def shift_features(points: DataFrame, width: int = 10, block_len: int = BLOCK_LE
     )
 
 
-def density_shift(points: DataFrame, width: int = 10, block_len: int = BLOCK_LEN) -> DataFrame:
+def density_shift(points: DataFrame, width: int = 10, block_len: int = BLOCK_LEN, longest: int | None = None) -> DataFrame:
     """Largest change of the density divergence between neighbouring windows."""
     z = standardised(points, block_len)
     stats = describe(z)
-    q = quantiles(z, {"q1": 0.25, "q3": 0.75}, block_len=block_len)
+    q = quantiles(z, {"q1": 0.25, "q3": 0.75}, block_len=block_len, longest=longest_series(points, longest))
     spread = F.least(F.col("sd"), (F.col("q3") - F.col("q1")) / 1.34)
     bw = F.when(spread > 0, spread).otherwise(F.col("sd")) * 0.9 * F.pow("n", F.lit(-0.2))
     setup = stats.join(q, KEY).select(*KEY, "n", "vmin", "vmax", bw.alias("bw")).filter(F.col("n") > 2 * width)
@@ -150,10 +150,10 @@ def nonlinearity(points: DataFrame, block_len: int = BLOCK_LEN) -> DataFrame:
     )
 
 
-def heterogeneity(points: DataFrame, block_len: int = BLOCK_LEN) -> DataFrame:
+def heterogeneity(points: DataFrame, block_len: int = BLOCK_LEN, longest: int | None = None) -> DataFrame:
     """ARCH effects left after an autoregression: ``arch_acf`` and ``arch_r2``."""
     z = standardised(points, block_len)
-    sums = lag_sums(z, block_len)
+    sums = lag_sums(z, block_len, longest_series(points, longest))
     fit = sums.filter(F.col("n") > 1).select(
         *KEY, "n", kernels.yule_walker(F.slice("s", 1, 512), "n").alias("coefs")
     )
@@ -196,13 +196,16 @@ def log_periodogram(spectra: DataFrame) -> DataFrame:
     return spectra.select(*KEY).join(fit, KEY, "left")
 
 
-def welch_features(points: DataFrame, block_len: int = BLOCK_LEN) -> DataFrame:
+def welch_features(points: DataFrame, block_len: int = BLOCK_LEN, longest: int | None = None) -> DataFrame:
     """Power in the lowest fifth and the median frequency of the padded spectrum."""
     z = standardised(points, block_len)
     stats = describe(z).select(*KEY, "n", "mean")
     blocks = attach(to_blocks(z, block_len=block_len), stats.filter(F.col("n") <= block_len), block_len)
     short = blocks.select(*KEY, "n", kernels.padded_power("values", "mean").alias("power"))
-    both = short.unionByName(long_power(z, stats.filter(F.col("n") > block_len).select(*KEY, "n"), block_len))
+    longest = longest_series(points, longest)
+    both = short
+    if longest > block_len:
+        both = short.unionByName(long_power(z, stats.filter(F.col("n") > block_len).select(*KEY, "n"), block_len))
     last = F.size("power") - 1
     scale = F.transform(
         "power",
@@ -223,17 +226,19 @@ def welch_features(points: DataFrame, block_len: int = BLOCK_LEN) -> DataFrame:
 
 
 # ------------------------------------------------- autocorrelation followers
-def residual_tau_ratio(points: DataFrame, sums: DataFrame, block_len: int = BLOCK_LEN) -> DataFrame:
+def residual_tau_ratio(
+    points: DataFrame, sums: DataFrame, block_len: int = BLOCK_LEN, longest: int | None = None
+) -> DataFrame:
     """First zero crossing of the differences over that of the series."""
     steps = difference(points, block_len)
-    longest = longest_series(points)
-    a = first_nonpositive(steps, lag_sums(steps, block_len), block_len, longest).select(*KEY, F.col("tau").alias("a"))
+    longest = longest_series(points, longest)
+    a = first_nonpositive(steps, lag_sums(steps, block_len, longest), block_len, longest).select(*KEY, F.col("tau").alias("a"))
     b = first_nonpositive(points, sums, block_len, longest).filter(F.col("sd") > 0).select(*KEY, F.col("tau").alias("b"))
     both = b.join(a, KEY, "left").select(*KEY, F.try_divide("a", "b").alias("FC_LocalSimple_mean1_tauresrat"))
     return points.select(*KEY).distinct().join(both, KEY, "left")
 
 
-def periodicity(points: DataFrame, block_len: int = BLOCK_LEN) -> DataFrame:
+def periodicity(points: DataFrame, block_len: int = BLOCK_LEN, longest: int | None = None) -> DataFrame:
     """First autocorrelation peak that rises 0.01 above the trough before it.
 
     The trend removed first is the least-squares cubic spline with one knot at
@@ -255,7 +260,7 @@ def periodicity(points: DataFrame, block_len: int = BLOCK_LEN) -> DataFrame:
     rest = attach(rows.drop("n", "own"), fit, block_len)
     trend = sum((F.get("b", F.lit(i)) * c for i, c in enumerate(basis)), F.lit(0.0))
     rest = rest.select(*KEY, "t", (F.col("v") - trend).alias("v"))
-    s = lag_sums(rest, block_len)
+    s = lag_sums(rest, block_len, longest_series(points, longest))
     top = F.ceil(F.col("n") / 3).cast("int")
     ac = s.select(*KEY, F.transform(F.slice("s", 2, top), lambda x, i: x / (F.col("n") - i - 1)).alias("ac"))
     marked = F.aggregate(
@@ -279,11 +284,12 @@ def periodicity(points: DataFrame, block_len: int = BLOCK_LEN) -> DataFrame:
     return points.select(*KEY).distinct().join(out, KEY, "left")
 
 
-def embedding_misfit(points: DataFrame, block_len: int = BLOCK_LEN) -> DataFrame:
+def embedding_misfit(points: DataFrame, block_len: int = BLOCK_LEN, longest: int | None = None) -> DataFrame:
     """Mean gap between the histogram of successive distances in the (t, t + tau)
     plane and the exponential density with the same mean."""
     z = standardised(points, block_len)
-    tau = first_nonpositive(z, lag_sums(z, block_len), block_len).select(
+    longest = longest_series(points, longest)
+    tau = first_nonpositive(z, lag_sums(z, block_len, longest), block_len, longest).select(
         *KEY, "n", F.least(F.col("tau"), F.floor(F.col("n") / 10)).alias("tau")
     )
     steps = attach(split_blocks(difference(z, block_len), block_len=block_len), tau, block_len)
@@ -313,7 +319,7 @@ def embedding_misfit(points: DataFrame, block_len: int = BLOCK_LEN) -> DataFrame
 
 
 # ------------------------------------------------------- scales, fits, folds
-def fluctuation(points: DataFrame, block_len: int = BLOCK_LEN) -> DataFrame:
+def fluctuation(points: DataFrame, block_len: int = BLOCK_LEN, longest: int | None = None) -> DataFrame:
     """Share of window lengths in the first of two scaling regimes.
 
     One-block series are scored in their row.  For longer ones every window of
@@ -324,6 +330,9 @@ def fluctuation(points: DataFrame, block_len: int = BLOCK_LEN) -> DataFrame:
     whole = (F.col("block") == 0) & (F.size("values") < block_len)
     short = blocks.filter(whole).select(*KEY, kernels.fluctuation_breaks("values").alias("x"))
     out = short.select(*KEY, F.col("x.rs").alias(names[0]), F.col("x.dfa").alias(names[1]))
+    longest = longest_series(points, longest)
+    if longest < block_len:
+        return out
     rest = blocks.filter(~whole).select(*KEY, "lo", F.posexplode("values").alias("i", "v"))
     rest = rest.select(*KEY, (F.col("lo") + F.col("i")).alias("t"), "v")
     z = standardised(rest, block_len)
@@ -463,21 +472,22 @@ def box_cox(points: DataFrame, block_len: int = BLOCK_LEN) -> DataFrame:
     return points.select(*KEY).distinct().join(out, KEY, "left")
 
 
-def trend_features(points: DataFrame, block_len: int = BLOCK_LEN) -> DataFrame:
+def trend_features(points: DataFrame, block_len: int = BLOCK_LEN, longest: int | None = None) -> DataFrame:
     """Strengths of a smooth trend at frequency 1 and of what it leaves.
 
     The smoother picks its span per point from fractions of the series length, so
     it runs where the whole series is one row; longer series use the smoother's
     block-wise form in ``long_smooth``.
     """
-    from .smoother import long_smooth
-
     z = standardised(points, block_len)
     blocks = to_blocks(z, block_len=block_len)
     whole = (F.col("block") == 0) & (F.size("values") < block_len)
     fitted = blocks.filter(whole).select(
         *KEY, F.posexplode(F.arrays_zip("values", kernels.smooth_trend("values").alias("f"))).alias("t", "x")
     ).select(*KEY, F.col("t").cast("bigint").alias("t"), F.col("x.values").alias("v"), F.col("x.f").alias("trend"))
+    longest = longest_series(points, longest)
+    if longest < block_len:
+        return strength_features(points, fitted, block_len)
     rest = blocks.filter(~whole).select(*KEY, "lo", F.posexplode("values").alias("i", "v"))
     rest = rest.select(*KEY, (F.col("lo") + F.col("i")).alias("t"), "v")
     rows = fitted.unionByName(long_smooth(rest, block_len))

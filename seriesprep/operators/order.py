@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import kernels
-from ..layout import BLOCK_KEY, BLOCK_LEN, KEY, attach, split_blocks, to_blocks
+from ..layout import BLOCK_KEY, BLOCK_LEN, KEY, attach, longest_series, split_blocks, to_blocks
 
 
 def ranked(points: DataFrame, by: str = "v", block_len: int = BLOCK_LEN) -> DataFrame:
@@ -56,6 +56,7 @@ def quantiles(
     probs: dict[str, float],
     midpoint: bool = False,
     block_len: int = BLOCK_LEN,
+    longest: int | None = None,
 ) -> DataFrame:
     """Exact quantiles of the present values, one column per entry of ``probs``.
 
@@ -69,13 +70,20 @@ def quantiles(
         p = n * q - 0.5 if midpoint else (n - 1) * q
         return F.least(F.greatest(p, F.lit(0.0)), n - 1)
 
+    longest = longest_series(points, longest)
+
+    def in_row(whole: DataFrame) -> DataFrame:
+        ordered = whole.withColumn("s", F.array_sort("values")).withColumn("n", F.size("s"))
+        return ordered.select(*KEY, *[array_at(F.col("s"), pos(F.col("n"), q)).alias(k) for k, q in probs.items()])
+
     blocks = to_blocks(present, block_len=block_len)
+    if longest <= block_len:
+        return in_row(blocks)
     counts = present.groupBy(*KEY).agg(F.count("*").alias("n"), F.max("t").alias("_tmax"))
     short = blocks.filter("block = 0").join(
         counts.filter(F.col("_tmax") < block_len), KEY, "left_semi"
     )
-    ordered = short.withColumn("s", F.array_sort("values")).withColumn("n", F.size("s"))
-    small = ordered.select(*KEY, *[array_at(F.col("s"), pos(F.col("n"), q)).alias(k) for k, q in probs.items()])
+    small = in_row(short)
 
     long_keys = counts.filter(F.col("_tmax") >= block_len).select(
         *KEY, F.explode(F.sequence(F.lit(0), F.floor(F.col("_tmax") / block_len))).alias("block")
@@ -103,7 +111,9 @@ def quantiles(
     return small.unionByName(big)
 
 
-def describe(points: DataFrame, median: bool = False, block_len: int = BLOCK_LEN) -> DataFrame:
+def describe(
+    points: DataFrame, median: bool = False, block_len: int = BLOCK_LEN, longest: int | None = None
+) -> DataFrame:
     """Per-series columns other operators attach: n, mean, sd, sd_pop, vmin, vmax[, med]."""
     base = points.groupBy(*KEY).agg(
         F.count("*").alias("n"),
@@ -115,10 +125,10 @@ def describe(points: DataFrame, median: bool = False, block_len: int = BLOCK_LEN
     )
     if not median:
         return base
-    return base.join(quantiles(points, {"med": 0.5}, block_len=block_len), KEY, "left")
+    return base.join(quantiles(points, {"med": 0.5}, block_len=block_len, longest=longest), KEY, "left")
 
 
-def inversions(points: DataFrame, block_len: int = BLOCK_LEN) -> DataFrame:
+def inversions(points: DataFrame, block_len: int = BLOCK_LEN, longest: int | None = None) -> DataFrame:
     """AGG6/J5: pairs i < j with x_i > x_j, divided by n; no pair is ever emitted.
 
     Pairs inside a block are counted on the block array.  Two different blocks
@@ -130,6 +140,8 @@ def inversions(points: DataFrame, block_len: int = BLOCK_LEN) -> DataFrame:
     inside = to_blocks(points, block_len=block_len).select(
         *KEY, kernels.inversion_count(F.col("values")).alias("c"), F.size("values").alias("m")
     )
+    if longest_series(points, longest) <= block_len:
+        return inside.select(*KEY, F.col("c").alias("pairs"), (F.col("c") / F.col("m")).alias("inversions"))
     sizes = points.groupBy(*KEY).agg(
         F.count("*").alias("n"), F.avg("v").alias("_mu"), F.stddev_pop("v").alias("_sd")
     )

@@ -5,12 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..layout import BLOCK_KEY, BLOCK_LEN, KEY, attach, earlier_blocks, in_order, later_blocks, split_blocks
+from ..layout import BLOCK_KEY, BLOCK_LEN, KEY, attach, earlier_blocks, in_order, later_blocks, longest_series, split_blocks
 from ..params import Params
 from .order import describe
 
 
-def nearest(rows: DataFrame, value: Column, prev: str, next_: str, inclusive: bool) -> DataFrame:
+def nearest(
+    rows: DataFrame, value: Column, prev: str, next_: str, inclusive: bool, one_block: bool = False
+) -> DataFrame:
     """Add the nearest non-null ``value`` on each side of every row, across blocks.
 
     ``rows`` carry a block and hold owned rows only.  Inside a block this is a
@@ -19,19 +21,21 @@ def nearest(rows: DataFrame, value: Column, prev: str, next_: str, inclusive: bo
     edge = 0 if inclusive else 1
     w = in_order()
     rows = rows.withColumn("_x", value)
-    ends = (
-        rows.filter(F.col("_x").isNotNull())
-        .groupBy(*BLOCK_KEY)
-        .agg(F.min_by("_x", "t").alias("_first"), F.max_by("_x", "t").alias("_last"))
-    )
-    blocks = rows.select(*BLOCK_KEY).distinct()
-    carry = blocks.join(ends, BLOCK_KEY, "left").select(
+    back = w.rowsBetween(Window.unboundedPreceding, -edge)
+    ahead = w.rowsBetween(edge, Window.unboundedFollowing)
+    if one_block:
+        return (
+            rows.withColumn(prev, F.last("_x", ignorenulls=True).over(back))
+            .withColumn(next_, F.first("_x", ignorenulls=True).over(ahead))
+            .drop("_x")
+        )
+    at = F.when(F.col("_x").isNotNull(), F.col("t"))
+    ends = rows.groupBy(*BLOCK_KEY).agg(F.min_by("_x", at).alias("_first"), F.max_by("_x", at).alias("_last"))
+    carry = ends.select(
         *BLOCK_KEY,
         F.last("_last", ignorenulls=True).over(earlier_blocks()).alias("_before"),
         F.first("_first", ignorenulls=True).over(later_blocks()).alias("_after"),
     )
-    back = w.rowsBetween(Window.unboundedPreceding, -edge)
-    ahead = w.rowsBetween(edge, Window.unboundedFollowing)
     return (
         rows.withColumn("_p", F.last("_x", ignorenulls=True).over(back))
         .withColumn("_n", F.first("_x", ignorenulls=True).over(ahead))
@@ -57,15 +61,18 @@ def rolling(points: DataFrame, window: int = 3, block_len: int = BLOCK_LEN) -> D
     )
 
 
-def filled_rolling(points: DataFrame, window: int = 3, block_len: int = BLOCK_LEN) -> DataFrame:
+def filled_rolling(
+    points: DataFrame, window: int = 3, block_len: int = BLOCK_LEN, longest: int | None = None
+) -> DataFrame:
     """Frames that are not full take the next one, else the previous one;
     a zero std becomes the std of the series."""
+    longest = longest_series(points, longest)
     rows = rolling(points, window, block_len)
     fit = F.when(
         F.col("roll_mean").isNotNull(), F.struct(F.col("roll_mean").alias("m"), F.col("roll_std").alias("s"))
     )
-    rows = nearest(rows, fit, "_prev_fit", "_next_fit", inclusive=True)
-    rows = attach(rows, describe(points, median=True, block_len=block_len), block_len)
+    rows = nearest(rows, fit, "_prev_fit", "_next_fit", inclusive=True, one_block=longest <= block_len)
+    rows = attach(rows, describe(points, median=True, block_len=block_len, longest=longest), block_len)
     best = F.coalesce("_next_fit", "_prev_fit")
     return (
         rows.withColumn("roll_mean", best["m"])
@@ -74,9 +81,11 @@ def filled_rolling(points: DataFrame, window: int = 3, block_len: int = BLOCK_LE
     )
 
 
-def flag_outliers(points: DataFrame, params: Params = Params(), block_len: int = BLOCK_LEN) -> DataFrame:
+def flag_outliers(
+    points: DataFrame, params: Params = Params(), block_len: int = BLOCK_LEN, longest: int | None = None
+) -> DataFrame:
     """Local deviation flag and extreme-low flag per point."""
-    rows = filled_rolling(points, params.repair_window, block_len)
+    rows = filled_rolling(points, params.repair_window, block_len, longest)
     low = F.col("v") < F.col("med") * params.repair_low_ratio
     if params.repair_positive_median_only:
         low = low & (F.col("med") > 0)
@@ -86,17 +95,20 @@ def flag_outliers(points: DataFrame, params: Params = Params(), block_len: int =
     )
 
 
-def repair(points: DataFrame, params: Params = Params(), block_len: int = BLOCK_LEN) -> DataFrame:
+def repair(
+    points: DataFrame, params: Params = Params(), block_len: int = BLOCK_LEN, longest: int | None = None
+) -> DataFrame:
     """Flagged points are interpolated between the nearest unflagged ones.
 
     Anchors keep their original values; with one side missing the other is
     copied, with none the point stays.  Adds ``repaired`` and ``is_outlier``.
     """
-    flags = flag_outliers(points, params, block_len).select(
+    longest = longest_series(points, longest)
+    flags = flag_outliers(points, params, block_len, longest).select(
         *BLOCK_KEY, "t", "v", (F.col("local_outlier") | F.col("low_outlier")).alias("is_outlier")
     )
     anchor = F.when(~F.col("is_outlier"), F.struct("t", "v"))
-    rows = nearest(flags, anchor, "_l", "_r", inclusive=False)
+    rows = nearest(flags, anchor, "_l", "_r", inclusive=False, one_block=longest <= block_len)
     left, right = F.col("_l"), F.col("_r")
     between = (right["v"] - left["v"]) / (right["t"] - left["t"]) * (F.col("t") - left["t"]) + left["v"]
     value = (

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..layout import BLOCK_KEY, BLOCK_LEN, KEY, attach, in_order, split_blocks
+from ..layout import BLOCK_KEY, BLOCK_LEN, KEY, attach, cut_lineage, in_order, split_blocks
 
 
 def _prefix(points: DataFrame, y: str, block_len: int) -> DataFrame:
@@ -60,14 +60,16 @@ def long_smooth(points: DataFrame, block_len: int = BLOCK_LEN) -> DataFrame:
     rows = attach(split_blocks(points, block_len=block_len), sizes, block_len).select(*KEY, "n", "t", "v")
     spans = (0.05, 0.2, 0.5)  # fixed values
     half = [F.greatest(F.floor(F.col("n") * (0.5 * s) + 0.5), F.lit(2)) for s in spans]
+    # every pass reads its input three times, so each result is written out once
     for i in range(3):
         rows = running_line(rows, "v", half[i], block_len)
-        rows = rows.withColumnRenamed("fit", f"f{i}").withColumnRenamed("gap", f"g{i}")
+        rows = cut_lineage(rows.withColumnRenamed("fit", f"f{i}").withColumnRenamed("gap", f"g{i}"))
     for i in range(3):
-        rows = running_line(rows, f"g{i}", half[1], block_len).drop("gap").withColumnRenamed("fit", f"r{i}")
+        rows = running_line(rows, f"g{i}", half[1], block_len).drop("gap")
+        rows = cut_lineage(rows.withColumnRenamed("fit", f"r{i}"))
     best = F.least("r0", "r1", "r2")
     pick = F.when(F.col("r0") == best, spans[0]).when(F.col("r1") == best, spans[1]).otherwise(spans[2])
-    rows = running_line(rows.withColumn("pick", pick), "pick", half[1], block_len).drop("gap")
+    rows = cut_lineage(running_line(rows.withColumn("pick", pick), "pick", half[1], block_len).drop("gap"))
     span = F.least(F.greatest(F.col("fit"), F.lit(spans[0])), F.lit(spans[2]))
     rows = rows.withColumn("span", span).drop("fit")
     low = (F.col("span") - spans[0]) / (spans[1] - spans[0])

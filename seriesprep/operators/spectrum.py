@@ -7,18 +7,23 @@ from pyspark.sql import functions as F
 
 from ..functions import kernels
 from ..functions.scalars import DEFAULT_PERIODS, adjust_period, bin_period, period_limit
-from ..layout import BLOCK_LEN, KEY, to_blocks
+from ..layout import BLOCK_LEN, KEY, longest_series, to_blocks
 from .fourier import long_amplitudes
 
 
-def spectrum(points: DataFrame, block_len: int = BLOCK_LEN) -> DataFrame:
+def spectrum(points: DataFrame, block_len: int = BLOCK_LEN, longest: int | None = None) -> DataFrame:
     """MATH2: ``n`` and ``amps`` (bin k at index k) per series.
 
     A series of one block is transformed inside its row; a longer one by a
     transform that is itself split over rows and columns.
     """
+    longest = longest_series(points, longest)
+    blocks = to_blocks(points, block_len=block_len)
+    if longest <= block_len:
+        n = F.size("values").cast("bigint")
+        return blocks.select(*KEY, n.alias("n"), kernels.amplitudes("values").alias("amps"))
     sizes = points.groupBy(*KEY).agg(F.count("*").alias("n"))
-    whole = to_blocks(points, block_len=block_len).join(sizes.filter(F.col("n") <= block_len), KEY)
+    whole = blocks.join(sizes.filter(F.col("n") <= block_len), KEY)
     short = whole.select(*KEY, "n", kernels.amplitudes("values").alias("amps"))
     return short.unionByName(long_amplitudes(points, sizes.filter(F.col("n") > block_len), block_len))
 

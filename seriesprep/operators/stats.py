@@ -66,10 +66,12 @@ _NEEDS_MEDIAN = {"series_in_series", "crossing_points"}
 BUNDLE = ["skewness", "kurt", "rsd", "std_of_first_derivative", "inversions", "turning_points", "series_in_series"]
 
 
-def point_features(points: DataFrame, names: list[str], block_len: int = BLOCK_LEN) -> DataFrame:
+def point_features(
+    points: DataFrame, names: list[str], block_len: int = BLOCK_LEN, longest: int | None = None
+) -> DataFrame:
     """Selected POINT_FEATURES, one row per series."""
     w = in_order()
-    stats = describe(points, median=bool(_NEEDS_MEDIAN & set(names)), block_len=block_len)
+    stats = describe(points, median=bool(_NEEDS_MEDIAN & set(names)), block_len=block_len, longest=longest)
     if "med" not in stats.columns:
         stats = stats.withColumn("med", F.lit(None).cast("double"))
     rows = attach(
@@ -81,10 +83,10 @@ def point_features(points: DataFrame, names: list[str], block_len: int = BLOCK_L
     return rows.groupBy(*KEY).agg(*[POINT_FEATURES[k]().alias(k) for k in names])
 
 
-def other_features(points: DataFrame, block_len: int = BLOCK_LEN) -> DataFrame:
+def other_features(points: DataFrame, block_len: int = BLOCK_LEN, longest: int | None = None) -> DataFrame:
     """AGG8: the seven simple features of one series."""
-    simple = point_features(points, [b for b in BUNDLE if b != "inversions"], block_len)
-    return simple.join(inversions(points, block_len).drop("pairs"), KEY, "left").select(*KEY, *BUNDLE)
+    simple = point_features(points, [b for b in BUNDLE if b != "inversions"], block_len, longest)
+    return simple.join(inversions(points, block_len, longest).drop("pairs"), KEY, "left").select(*KEY, *BUNDLE)
 
 
 def mean_rows(report: DataFrame, skip: tuple[str, ...] = ()) -> DataFrame:

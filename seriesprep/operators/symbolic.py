@@ -7,16 +7,16 @@ from pyspark.sql import functions as F
 
 from ..functions import kernels
 from ..functions.scalars import pretty_step
-from ..layout import BLOCK_KEY, BLOCK_LEN, KEY, attach, earlier_blocks, in_order, split_blocks
+from ..layout import BLOCK_KEY, BLOCK_LEN, KEY, attach, earlier_blocks, in_order, longest_series, split_blocks
 from .autocorr import first_nonpositive
 from .order import array_at, describe, quantiles
 from .repair import nearest
 
 
 # ------------------------------------------------------------ tercile coding
-def coded_pairs(points: DataFrame, block_len: int = BLOCK_LEN) -> DataFrame:
+def coded_pairs(points: DataFrame, block_len: int = BLOCK_LEN, longest: int | None = None) -> DataFrame:
     """Counts ``c11`` .. ``c33`` of successive tercile codes and the number of pairs ``m``."""
-    cuts = quantiles(points, {"q1": 1.0 / 3.0, "q2": 2.0 / 3.0}, midpoint=True, block_len=block_len)
+    cuts = quantiles(points, {"q1": 1.0 / 3.0, "q2": 2.0 / 3.0}, midpoint=True, block_len=block_len, longest=longest)
     sizes = points.groupBy(*KEY).agg(F.count("*").alias("n"))
     rows = attach(split_blocks(points, 0, 1, block_len), sizes.join(cuts, KEY), block_len)
     code = 1 + (F.col("v") > F.col("q1")).cast("int") + (F.col("v") > F.col("q2")).cast("int")
@@ -32,6 +32,7 @@ def coded_pairs(points: DataFrame, block_len: int = BLOCK_LEN) -> DataFrame:
 
 def transition(points: DataFrame, sums: DataFrame, block_len: int = BLOCK_LEN, longest: int | None = None) -> DataFrame:
     """L1: thin by tau, code into terciles, sum the column variances of the transition shares."""
+    longest = longest_series(points, longest)
     tau = first_nonpositive(points, sums, block_len, longest)
     live = tau.filter(F.col("sd") > 0).select(*KEY, "n", "tau")
     thin = (
@@ -39,7 +40,7 @@ def transition(points: DataFrame, sums: DataFrame, block_len: int = BLOCK_LEN, l
         .filter(F.col("t") % F.col("tau") == 0)
         .select(*KEY, F.floor(F.col("t") / F.col("tau")).alias("t"), "v")
     )
-    pairs = coded_pairs(thin, block_len)
+    pairs = coded_pairs(thin, block_len, longest)
     cells = [F.col(f"c{i}{j}") for i in (1, 2, 3) for j in (1, 2, 3)]
     out = pairs.select(
         *KEY, column_variances(cells, F.col("m")).alias("SB_TransitionMatrix_3ac_sumdiagcov")
@@ -84,9 +85,9 @@ def transition_whole(values: Column, tau: Column) -> Column:
     return F.when(m >= 2, F.get(scored, F.lit(0)))
 
 
-def motif_entropy(points: DataFrame, block_len: int = BLOCK_LEN) -> DataFrame:
+def motif_entropy(points: DataFrame, block_len: int = BLOCK_LEN, longest: int | None = None) -> DataFrame:
     """Entropy of two-letter words in tercile coding."""
-    pairs = coded_pairs(points, block_len)
+    pairs = coded_pairs(points, block_len, longest)
     out = F.lit(0.0)
     for i in (1, 2, 3):
         for j in (1, 2, 3):
@@ -222,14 +223,14 @@ def lag2_information(points: DataFrame, block_len: int = BLOCK_LEN) -> DataFrame
 
 
 # ---------------------------------------------------------------------- runs
-def _longest_gap(rows: DataFrame, stop: Column) -> DataFrame:
+def _longest_gap(rows: DataFrame, stop: Column, one_block: bool) -> DataFrame:
     """Largest distance between successive stops, the first measured from t = 0."""
-    marked = nearest(rows, F.when(stop, F.col("t")), "_prev", "_next", inclusive=False)
+    marked = nearest(rows, F.when(stop, F.col("t")), "_prev", "_next", False, one_block)
     gap = F.when(stop, F.col("t") - F.coalesce(F.col("_prev"), F.lit(0)))
     return marked.groupBy(*KEY).agg(F.max(gap).cast("double").alias("gap"))
 
 
-def long_stretches(points: DataFrame, block_len: int = BLOCK_LEN) -> DataFrame:
+def long_stretches(points: DataFrame, block_len: int = BLOCK_LEN, longest: int | None = None) -> DataFrame:
     """Longest stretch above the mean and longest stretch of decreases.
 
     The last point is left out and the stretch is measured between stops, as in
@@ -239,8 +240,9 @@ def long_stretches(points: DataFrame, block_len: int = BLOCK_LEN) -> DataFrame:
     rows = attach(split_blocks(points, 0, 1, block_len), stats.select(*KEY, "n", "mean"), block_len)
     rows = rows.withColumn("next", F.lead("v").over(in_order())).filter("own").filter("t < n - 1").drop("own")
     last = F.col("t") == F.col("n") - 2
-    high = _longest_gap(rows, (F.col("v") <= F.col("mean")) | last)
-    down = _longest_gap(rows, (F.col("next") >= F.col("v")) | last)
+    one_block = longest_series(points, longest) <= block_len
+    high = _longest_gap(rows, (F.col("v") <= F.col("mean")) | last, one_block)
+    down = _longest_gap(rows, (F.col("next") >= F.col("v")) | last, one_block)
     return high.withColumnRenamed("gap", "SB_BinaryStats_mean_longstretch1").join(
         down.withColumnRenamed("gap", "SB_BinaryStats_diff_longstretch0"), KEY
     )

@@ -14,6 +14,7 @@ from ..layout import (
     attach,
     earlier_blocks,
     in_order,
+    longest_series,
     merge_block_arrays,
     split_blocks,
     to_blocks,
@@ -30,7 +31,7 @@ def adf_lags(n: Column) -> Column:
     return F.least(F.ceil(F.pow(n / 100.0, F.lit(0.25)) * 12), F.floor(n / 2) - 2)
 
 
-def adf(points: DataFrame, block_len: int = BLOCK_LEN) -> DataFrame:
+def adf(points: DataFrame, block_len: int = BLOCK_LEN, longest: int | None = None) -> DataFrame:
     """MATH10: statistic, chosen lag and p-value; NULL for constant or tiny series.
 
     Blocks deliver cross-product matrices, which add up over the blocks of a
@@ -41,11 +42,12 @@ def adf(points: DataFrame, block_len: int = BLOCK_LEN) -> DataFrame:
         *KEY, "n", "mean", adf_lags(F.col("n")).alias("lags")
     )
     blocks = attach(to_blocks(points, before=ADF_HALO, block_len=block_len), usable, block_len)
-    parts = blocks.select(
-        *BLOCK_KEY,
-        "n",
-        kernels.adf_gram("values", "lo", F.col("block") * block_len, "lags", "mean").alias("g"),
-    )
+    gram = kernels.adf_gram("values", "lo", F.col("block") * block_len, "lags", "mean")
+    if longest_series(points, longest) <= block_len:
+        solved = blocks.select(*KEY, kernels.adf_solve(gram, "values", "lags", "n", "mean").alias("r"))
+        solved = solved.select(*KEY, F.col("r.stat").alias("adf_stat"), F.col("r.lag").alias("adf_lag"))
+        return _with_pvalue(stats, solved)
+    parts = blocks.select(*BLOCK_KEY, "n", gram.alias("g"))
     heads = blocks.filter("block = 0").select(
         *KEY, "mean", "lags", F.slice("values", 1, ADF_HALO).alias("head")
     )
@@ -55,10 +57,12 @@ def adf(points: DataFrame, block_len: int = BLOCK_LEN) -> DataFrame:
         .select(*KEY, kernels.adf_solve("g", "head", "lags", "n", "mean").alias("r"))
         .select(*KEY, F.col("r.stat").alias("adf_stat"), F.col("r.lag").alias("adf_lag"))
     )
+    return _with_pvalue(stats, solved)
+
+
+def _with_pvalue(stats: DataFrame, solved: DataFrame) -> DataFrame:
     return (
-        stats.select(*KEY)
-        .join(solved, KEY, "left")
-        .withColumn("adf_pvalue", adf_pvalue(F.col("adf_stat")))
+        stats.select(*KEY).join(solved, KEY, "left").withColumn("adf_pvalue", adf_pvalue(F.col("adf_stat")))
     )
 
 
@@ -142,13 +146,17 @@ def joint_pvalues(adf_p: Column, kpss_p: Column) -> list[Column]:
     ]
 
 
-def stationarity(points: DataFrame, sums: DataFrame, block_len: int = BLOCK_LEN) -> DataFrame:
+def stationarity(
+    points: DataFrame, sums: DataFrame, block_len: int = BLOCK_LEN, longest: int | None = None
+) -> DataFrame:
     """MATH10-12 side by side; if one test is undefined, all three columns are NULL."""
-    both = adf(points, block_len).join(kpss(points, sums, block_len), KEY, "left")
+    both = adf(points, block_len, longest).join(kpss(points, sums, block_len), KEY, "left")
     return both.select(*KEY, *joint_pvalues(F.col("adf_pvalue"), F.col("kpss_pvalue")))
 
 
-def unitroot_stats(points: DataFrame, sums: DataFrame, block_len: int = BLOCK_LEN) -> DataFrame:
+def unitroot_stats(
+    points: DataFrame, sums: DataFrame, block_len: int = BLOCK_LEN, longest: int | None = None
+) -> DataFrame:
     """KPSS and Phillips-Perron (Z-alpha) statistics with short lags.
 
     Fixed values: lag counts trunc(4 (n/100)^(1/4)), for Phillips-Perron on n - 1.
@@ -159,10 +167,10 @@ def unitroot_stats(points: DataFrame, sums: DataFrame, block_len: int = BLOCK_LE
     rows = sums.join(cumulative_square(points, block_len), KEY)
     kp = kpss_statistic(F.col("q"), F.col("s"), short, n, F.col("sd"))
     kpss_part = rows.select(*KEY, kp.alias("unitroot_kpss"))
-    return kpss_part.join(phillips_perron(points, block_len), KEY, "left")
+    return kpss_part.join(phillips_perron(points, block_len, longest_series(points, longest)), KEY, "left")
 
 
-def phillips_perron(points: DataFrame, block_len: int = BLOCK_LEN) -> DataFrame:
+def phillips_perron(points: DataFrame, block_len: int = BLOCK_LEN, longest: int | None = None) -> DataFrame:
     """Z-alpha of y(t) = a + rho y(t-1) + e with Bartlett-weighted residual products."""
     stats = describe(points)
     rows = attach(split_blocks(points, 1, 0, block_len), stats.select(*KEY, "n", "mean", "sd"), block_len)
@@ -187,7 +195,7 @@ def phillips_perron(points: DataFrame, block_len: int = BLOCK_LEN) -> DataFrame:
         .filter(F.col("rho").isNotNull())
         .select(*KEY, (F.col("t") - 1).alias("t"), (F.col("y") - F.col("icpt") - F.col("rho") * F.col("x")).alias("v"))
     )
-    s = lag_sums(resid, block_len).select(*KEY, "s")
+    s = lag_sums(resid, block_len, longest_series(points, longest)).select(*KEY, "s")
     m = F.col("m")
     lags = F.floor(F.pow(m / 100.0, F.lit(0.25)) * 4)
     out = fit.join(s, KEY, "left").withColumn("long_run", _weighted(F.col("s"), lags) / m)

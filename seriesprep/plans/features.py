@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 
+from ..layout import longest_series
 from ..operators import autocorr, library, spectrum, stats, symbolic, unitroot
 from .report import CORE_COLUMNS
 
@@ -16,58 +17,58 @@ POINTWISE = [
     "CO_trev_1_num", "MD_hrv_classic_pnn40", "FC_LocalSimple_mean3_stderr", "crossing_points", "trev_num", "std1st_der",
 ]
 
-# group -> (columns, function of the points and a supplier of shared inputs)
+# group -> (columns, function of the points, a supplier of shared inputs and the longest length)
 GROUPS: dict[str, tuple[list[str], Callable]] = {
-    "pointwise": (POINTWISE, lambda p, s: stats.point_features(p, POINTWISE)),
-    "inversions": (["inversions"], lambda p, s: stats.inversions(p).drop("pairs")),
-    "outlier_low": (["DN_OutlierInclude_n_001_mdrmd"], lambda p, s: symbolic.outlier_timing(p, -1)),
-    "modes": (["DN_HistogramMode_5", "DN_HistogramMode_10", "histogram_mode"], lambda p, s: symbolic.histogram_modes(p)),
+    "pointwise": (POINTWISE, lambda p, s, m: stats.point_features(p, POINTWISE, longest=m)),
+    "inversions": (["inversions"], lambda p, s, m: stats.inversions(p, longest=m).drop("pairs")),
+    "outlier_low": (["DN_OutlierInclude_n_001_mdrmd"], lambda p, s, m: symbolic.outlier_timing(p, -1)),
+    "modes": (["DN_HistogramMode_5", "DN_HistogramMode_10", "histogram_mode"], lambda p, s, m: symbolic.histogram_modes(p)),
     "acf_points": (
         ["CO_f1ecac", "CO_FirstMin_ac", "firstmin_ac", "firstzero_ac"],
-        lambda p, s: autocorr.acf_features(s("sums")),
+        lambda p, s, m: autocorr.acf_features(s("sums")),
     ),
-    "lag2_information": (["CO_HistogramAMI_even_2_5"], lambda p, s: symbolic.lag2_information(p)),
+    "lag2_information": (["CO_HistogramAMI_even_2_5"], lambda p, s, m: symbolic.lag2_information(p)),
     "stretches": (
         ["SB_BinaryStats_mean_longstretch1", "SB_BinaryStats_diff_longstretch0"],
-        lambda p, s: symbolic.long_stretches(p),
+        lambda p, s, m: symbolic.long_stretches(p, longest=m),
     ),
-    "periodicity": (["PD_PeriodicityWang_th0_01"], lambda p, s: library.periodicity(p)),
-    "embedding": (["CO_Embed2_Dist_tau_d_expfit_meandiff"], lambda p, s: library.embedding_misfit(p)),
-    "gaussian_information": (["IN_AutoMutualInfoStats_40_gaussian_fmmi"], lambda p, s: autocorr.gaussian_information(p)),
-    "tau_ratio": (["FC_LocalSimple_mean1_tauresrat"], lambda p, s: library.residual_tau_ratio(p, s("sums"))),
+    "periodicity": (["PD_PeriodicityWang_th0_01"], lambda p, s, m: library.periodicity(p, longest=m)),
+    "embedding": (["CO_Embed2_Dist_tau_d_expfit_meandiff"], lambda p, s, m: library.embedding_misfit(p, longest=m)),
+    "gaussian_information": (["IN_AutoMutualInfoStats_40_gaussian_fmmi"], lambda p, s, m: autocorr.gaussian_information(p)),
+    "tau_ratio": (["FC_LocalSimple_mean1_tauresrat"], lambda p, s, m: library.residual_tau_ratio(p, s("sums"), longest=m)),
     "welch": (
         ["SP_Summaries_welch_rect_area_5_1", "SP_Summaries_welch_rect_centroid"],
-        lambda p, s: library.welch_features(p),
+        lambda p, s, m: library.welch_features(p, longest=m),
     ),
-    "motif": (["SB_MotifThree_quantile_hh"], lambda p, s: symbolic.motif_entropy(p)),
+    "motif": (["SB_MotifThree_quantile_hh"], lambda p, s, m: symbolic.motif_entropy(p, longest=m)),
     "fluctuation": (
         ["SC_FluctAnal_2_rsrangefit_50_1_logi_prop_r1", "SC_FluctAnal_2_dfa_50_1_2_logi_prop_r1"],
-        lambda p, s: library.fluctuation(p),
+        lambda p, s, m: library.fluctuation(p, longest=m),
     ),
-    "kl_shift": (["max_kl_shift", "time_kl_shift"], lambda p, s: library.density_shift(p)),
+    "kl_shift": (["max_kl_shift", "time_kl_shift"], lambda p, s, m: library.density_shift(p, longest=m)),
     "shifts": (
         ["max_level_shift", "time_level_shift", "max_var_shift", "time_var_shift"],
-        lambda p, s: library.shift_features(p),
+        lambda p, s, m: library.shift_features(p),
     ),
     "acf_pacf": (
         ["x_acf1", "x_acf10", "x_pacf5", "diff1_acf1", "diff1_acf10", "diff1x_pacf5", "diff2_acf1", "diff2_acf10", "diff2x_pacf5"],
-        lambda p, s: autocorr.acf_pacf(p),
+        lambda p, s, m: autocorr.acf_pacf(p),
     ),
-    "arch": (["arch_stat"], lambda p, s: library.arch_statistic(p)),
-    "entropy": (["entropy"], lambda p, s: library.spectral_entropy(s("spectra"))),
-    "flat_spots": (["flat_spots"], lambda p, s: symbolic.flat_spots(p)),
-    "holt": (["alpha", "beta"], lambda p, s: library.holt_parameters(p)),
-    "hurst": (["hurst"], lambda p, s: library.log_periodogram(s("spectra"))),
-    "tiles": (["lumpiness", "tile_stability"], lambda p, s: library.tile_features(p).withColumnRenamed("stability", "tile_stability")),
-    "nonlinearity": (["nonlinearity"], lambda p, s: library.nonlinearity(p)),
-    "unitroot": (["unitroot_kpss", "unitroot_pp"], lambda p, s: unitroot.unitroot_stats(p, s("sums"))),
-    "walker": (["walker_propcross"], lambda p, s: library.walker_crossing(p)),
-    "heterogeneity": (["arch_acf", "arch_r2"], lambda p, s: library.heterogeneity(p)),
+    "arch": (["arch_stat"], lambda p, s, m: library.arch_statistic(p)),
+    "entropy": (["entropy"], lambda p, s, m: library.spectral_entropy(s("spectra"))),
+    "flat_spots": (["flat_spots"], lambda p, s, m: symbolic.flat_spots(p)),
+    "holt": (["alpha", "beta"], lambda p, s, m: library.holt_parameters(p)),
+    "hurst": (["hurst"], lambda p, s, m: library.log_periodogram(s("spectra"))),
+    "tiles": (["lumpiness", "tile_stability"], lambda p, s, m: library.tile_features(p).withColumnRenamed("stability", "tile_stability")),
+    "nonlinearity": (["nonlinearity"], lambda p, s, m: library.nonlinearity(p)),
+    "unitroot": (["unitroot_kpss", "unitroot_pp"], lambda p, s, m: unitroot.unitroot_stats(p, s("sums"), longest=m)),
+    "walker": (["walker_propcross"], lambda p, s, m: library.walker_crossing(p)),
+    "heterogeneity": (["arch_acf", "arch_r2"], lambda p, s, m: library.heterogeneity(p, longest=m)),
     "decomposition": (
         ["nperiods", "seasonal_period", "trend", "spike", "linearity", "curvature", "e_acf1", "e_acf10"],
-        lambda p, s: library.trend_features(p),
+        lambda p, s, m: library.trend_features(p, longest=m),
     ),
-    "box_cox": (["lambdas"], lambda p, s: library.box_cox(p)),
+    "box_cox": (["lambdas"], lambda p, s, m: library.box_cox(p)),
 }
 
 
@@ -86,13 +87,14 @@ def columns_of(features: list[str]) -> set[str]:
     return {c for f in features for c in (GROUPS[f][0] if f in GROUPS else [f])}
 
 
-def computed(points: DataFrame, features: list[str] | None = None) -> list[DataFrame]:
+def computed(points: DataFrame, features: list[str] | None = None, longest: int | None = None) -> list[DataFrame]:
     """One DataFrame per needed group, all keyed by series and channel."""
+    longest = longest_series(points, longest)
     shared: dict[str, DataFrame] = {}
 
     def supply(name: str) -> DataFrame:
         if name not in shared:
-            shared[name] = autocorr.lag_sums(points) if name == "sums" else spectrum.spectrum(points)
+            shared[name] = autocorr.lag_sums(points, longest=longest) if name == "sums" else spectrum.spectrum(points, longest=longest)
         return shared[name]
 
-    return [GROUPS[g][1](points, supply) for g in _groups(features)]
+    return [GROUPS[g][1](points, supply, longest) for g in _groups(features)]

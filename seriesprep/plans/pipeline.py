@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..layout import BLOCK_LEN, KEY, attach, split_blocks, to_blocks
+from ..layout import BLOCK_LEN, KEY, attach, cut_lineage, longest_series, split_blocks, to_blocks
 from ..operators import channels, screen as screening, stats
 from ..operators.repair import repair
 from ..params import Params
@@ -36,9 +36,10 @@ def profile(
     ``features`` names columns or groups of ``plans.features``; only the groups
     that own a requested column are computed.  ``None`` asks for everything.
     """
+    longest = longest_series(points, longest)
     points = complete_series(points)
     report = core_report(points, params, longest=longest)
-    for part in library.computed(points, features):
+    for part in library.computed(points, features, longest):
         report = report.join(part, KEY, "left")
     if features is None:
         return report
@@ -55,7 +56,8 @@ def screen(points: DataFrame, report: DataFrame, params: Params = Params()) -> D
 def survivors(points: DataFrame, verdict: DataFrame) -> DataFrame:
     """Raw points of the kept series."""
     sizes = points.groupBy(*KEY).agg(F.count("*").alias("n"))
-    return _only(points, sizes.join(verdict.filter("keep").select(*KEY), KEY, "left_semi"))
+    kept = cut_lineage(verdict.filter("keep").select(*KEY))
+    return _only(points, sizes.join(kept, KEY, "left_semi"))
 
 
 def clean(points: DataFrame, params: Params = Params(), longest: int | None = None) -> DataFrame:
@@ -64,14 +66,16 @@ def clean(points: DataFrame, params: Params = Params(), longest: int | None = No
     The zero check is an AND with the screen, so it runs first and only live
     series are profiled.
     """
+    longest = longest_series(points, longest)
     points = complete_series(points)
     zeros = screening.zero_flags(points, params)
     sizes = points.groupBy(*KEY).agg(F.count("*").alias("n"))
     live = _only(points, sizes.join(zeros.filter("NOT zero_or_constant").select(*KEY), KEY, "left_semi"))
     report = short_report(core_report(live, params, longest=longest))
-    kept = report.filter(screening.passes_quality(params)).select(*KEY)
-    alive = _only(live, sizes.join(kept, KEY, "left_semi"))
-    return repair(alive, params).select(*KEY, "t", F.col("repaired").alias("v"))
+    # the keys are written once: repair reads them several times, the profile must not run again
+    kept = cut_lineage(report.filter(screening.passes_quality(params)).select(*KEY))
+    alive = _only(points, sizes.join(kept, KEY, "left_semi"))
+    return repair(alive, params, longest=longest).select(*KEY, "t", F.col("repaired").alias("v"))
 
 
 def profile_groups(points: DataFrame, params: Params = Params(), longest: int | None = None) -> DataFrame:

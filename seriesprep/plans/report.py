@@ -124,9 +124,10 @@ def core_blockwise(
     points: DataFrame, params: Params = Params(), block_len: int = BLOCK_LEN, longest: int | None = None
 ) -> DataFrame:
     """CORE_COLUMNS from points of any length, block by block."""
-    sums = autocorr.lag_sums(points, block_len)
+    longest = longest_series(points, longest)
+    sums = autocorr.lag_sums(points, block_len, longest)
     tested = spectrum.tested_periods(
-        spectrum.candidate_periods(spectrum.spectrum(points, block_len), compat=params.compat)
+        spectrum.candidate_periods(spectrum.spectrum(points, block_len, longest), compat=params.compat)
     )
     periods = decompose.best_periods(
         decompose.strengths(points, tested, block_len), tested, compat=params.compat
@@ -134,7 +135,7 @@ def core_blockwise(
     jsd = divergence.series_divergence(points, params.short_window, params.long_window, block_len)
     parts = [
         periods,
-        unitroot.stationarity(points, sums, block_len),
+        unitroot.stationarity(points, sums, block_len, longest),
         jsd,
         symbolic.transition(points, sums, block_len, longest),
         symbolic.outlier_timing(points, 1, block_len),
@@ -149,7 +150,7 @@ def core_report(
     points: DataFrame, params: Params = Params(), block_len: int = BLOCK_LEN, longest: int | None = None
 ) -> DataFrame:
     """CORE_COLUMNS for points of mixed lengths; ``longest`` skips the length probe."""
-    longest = longest_series(points) if longest is None else longest
+    longest = longest_series(points, longest)
     size = divergence.aligned_block_len((params.short_window, params.long_window), block_len)
     # one task per shuffle partition: the row functions are heavy for their bytes
     tasks = int(points.sparkSession.conf.get("spark.sql.shuffle.partitions"))
