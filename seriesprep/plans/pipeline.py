@@ -19,8 +19,17 @@ def _only(points: DataFrame, keep: DataFrame, block_len: int = BLOCK_LEN) -> Dat
     return rows.select(*KEY, "t", "v")
 
 
+def stage_points(points: DataFrame, path: str) -> DataFrame:
+    """Write points once and read them back: features scan the source many times, so a
+    source that is itself a costly query should be staged in shared storage first."""
+    points.select(*KEY, "t", "v").write.mode("overwrite").parquet(path)
+    return points.sparkSession.read.parquet(path)
+
+
 def complete_series(points: DataFrame) -> DataFrame:
     """Points of the series without missing observations; the others are in ``rejects``."""
+    if points.filter(F.col("v").isNull()).isEmpty():
+        return points
     sizes = points.groupBy(*KEY).agg(F.count("*").alias("n"), F.count("v").alias("present"))
     return _only(points, sizes.filter("present = n"))
 
@@ -35,12 +44,17 @@ def profile(
 
     ``features`` names columns or groups of ``plans.features``; only the groups
     that own a requested column are computed.  ``None`` asks for everything.
+    Every group is one job whose result, one row per series, is stored before the
+    next starts; the final join only meets those small tables.
     """
     longest = longest_series(points, longest)
     points = complete_series(points)
     report = core_report(points, params, longest=longest)
-    for part in library.computed(points, features, longest):
-        report = report.join(part, KEY, "left")
+    parts = library.computed(points, features, longest)
+    if parts:
+        report = cut_lineage(report)
+    for part in parts:
+        report = report.join(cut_lineage(part), KEY, "left")
     if features is None:
         return report
     wanted = library.columns_of(features)
@@ -71,9 +85,9 @@ def clean(points: DataFrame, params: Params = Params(), longest: int | None = No
     zeros = screening.zero_flags(points, params)
     sizes = points.groupBy(*KEY).agg(F.count("*").alias("n"))
     live = _only(points, sizes.join(zeros.filter("NOT zero_or_constant").select(*KEY), KEY, "left_semi"))
-    report = short_report(core_report(live, params, longest=longest))
-    # the keys are written once: repair reads them several times, the profile must not run again
-    kept = cut_lineage(report.filter(screening.passes_quality(params)).select(*KEY))
+    # the report is written once: the screen and repair read it, the profile must not run again
+    report = cut_lineage(short_report(core_report(live, params, longest=longest)))
+    kept = report.filter(screening.passes_quality(params)).select(*KEY)
     alive = _only(points, sizes.join(kept, KEY, "left_semi"))
     return repair(alive, params, longest=longest).select(*KEY, "t", F.col("repaired").alias("v"))
 
