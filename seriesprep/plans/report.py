@@ -56,7 +56,7 @@ def core_whole(rows: DataFrame, params: Params = Params()) -> DataFrame:
     rows = rows.withColumn("sd", F.sqrt(F.try_divide(square, n - 1)))
     rows = rows.withColumn("lags", unitroot.adf_lags(n))
     testable = (n >= 4) & (F.col("sd") > 0)
-    safe_lags = F.when(testable, F.col("lags")).otherwise(F.lit(-1))
+    safe_lags = F.when(testable, F.col("lags")).otherwise(F.lit(0))
     gram = kernels.adf_gram("values", F.lit(0), F.lit(0), safe_lags, "mean")
     rows = rows.select(
         *KEY,
