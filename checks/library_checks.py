@@ -131,7 +131,28 @@ def _rows(name, fn, digits=6):
 
 
 _rows("l11_periodicity", library.periodicity)
-_rows("l15_welch_features", library.welch_features)
+
+WELCH = """padded AS (SELECT *, CAST(pow(2, ceil(log2(n))) AS BIGINT) AS size FROM z),
+power AS (SELECT series_id, channel, size, k, n,
+    (pow(sum(v * cos(2 * pi() * ((k * t) % size) / size)), 2) + pow(sum(v * sin(2 * pi() * ((k * t) % size) / size)), 2))
+      / n / (2 * pi()) * CASE WHEN k = 0 OR k = size // 2 THEN 1 ELSE 2 END AS sw
+  FROM padded, range(300) r(k) WHERE k <= size // 2 GROUP BY series_id, channel, size, k, n),
+summed AS (SELECT *, sum(sw) OVER (PARTITION BY series_id, channel ORDER BY k) AS part, sum(sw) OVER (PARTITION BY series_id, channel) AS total FROM power)"""
+
+
+@query(
+    "l15_welch_features",
+    sql(
+        [*BASIS, WELCH],
+        """SELECT series_id, channel, sum(CASE WHEN k < (size // 2 + 1) // 5 THEN sw ELSE 0 END) * any_value(2 * pi() / size) AS SP_Summaries_welch_rect_area_5_1,
+    min(CASE WHEN part > total / 2 THEN k END) * any_value(2 * pi() / size) AS SP_Summaries_welch_rect_centroid FROM summed GROUP BY series_id, channel""",
+        ["SP_Summaries_welch_rect_area_5_1", "SP_Summaries_welch_rect_centroid"],
+    ),
+)
+def l15(spark, d):
+    return rounded(library.welch_features(base.weekly(spark, d), longest=base.WEEKS))
+
+
 _rows("l17_fluctuation", library.fluctuation)
 _rows("l18_density_shift", library.density_shift)
 _rows("l22_arch_statistic", library.arch_statistic)

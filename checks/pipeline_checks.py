@@ -153,7 +153,8 @@ def f6(spark, d):
 @query("p1_clean")
 def p1(spark, d):
     loose = Params(seasonality_threshold=0.3, trend_threshold=0.0, shifting_threshold=0.6, transition_threshold=0.2)
-    return rounded(pipeline.clean(base.weekly(spark, d), loose), 4)
+    points = pipeline.stage_points(base.weekly(spark, d), scratch_dir(spark, "points"))
+    return rounded(pipeline.clean(points, loose), 4)
 
 
 @query("p2_math14_profile_core")
@@ -164,7 +165,7 @@ def p2(spark, d):
 @query("p3_screen_stored_report")
 def p3(spark, d):
     path = scratch_dir(spark, "profile")
-    points = base.hourly(spark, d)
+    points = pipeline.stage_points(base.hourly(spark, d), scratch_dir(spark, "points"))
     pipeline.write_report(pipeline.profile(points, []), path)
     return rounded(pipeline.screen(points, spark.read.parquet(f"{path}/short")))
 
@@ -172,14 +173,16 @@ def p3(spark, d):
 @query("p4_snk2_group_report")
 def p4(spark, d):
     path = scratch_dir(spark, "groups")
-    pipeline.write_group_report(pipeline.profile_groups(base.channels(spark, d)), path)
+    points = pipeline.stage_points(base.channels(spark, d), scratch_dir(spark, "points"))
+    pipeline.write_group_report(pipeline.profile_groups(points), path)
     return rounded(spark.read.parquet(f"{path}/mean_short"))
 
 
 @query("snk1_rep1_rep5_full_report")
 def snk1(spark, d):
     path = scratch_dir(spark, "full")
-    pipeline.write_report(pipeline.profile(base.hourly(spark, d)), path)
+    points = pipeline.stage_points(base.hourly(spark, d), scratch_dir(spark, "points"))
+    pipeline.write_report(pipeline.profile(points), path)
     return rounded(spark.read.parquet(f"{path}/all"))
 
 

@@ -191,23 +191,40 @@ def gaussian_information(points: DataFrame, block_len: int = BLOCK_LEN) -> DataF
     rows = attach(split_blocks(points, top, 0, block_len), stats.select(*KEY, "n", "mean", "sd"), block_len)
     w = in_order()
     rows = rows.withColumn("d", F.col("v") - F.col("mean"))
-    rows = rows.select(*KEY, "own", "n", "d", *[F.lag("d", k).over(w).alias(f"d{k}") for k in range(1, top + 1)])
+    rows = rows.select(*KEY, "own", "n", "t", "d", *[F.lag("d", k).over(w).alias(f"d{k}") for k in range(1, top + 1)])
     rows = rows.filter("own")
 
-    def corr(k: int) -> Column:
-        a, b = F.col("d"), F.col(f"d{k}")
-        both = b.isNotNull()
-        m = F.sum(F.when(both, 1.0))
-        sa, sb = F.sum(F.when(both, a)), F.sum(b)
-        cov = F.sum(a * b) - sa * sb / m
-        va = F.sum(F.when(both, a * a)) - sa * sa / m
-        vb = F.sum(b * b) - sb * sb / m
-        return F.try_divide(cov, F.sqrt(va * vb))
-
-    rs = rows.groupBy(*KEY).agg(F.first("n").alias("n"), *[corr(k).alias(f"r{k}") for k in range(1, top + 1)])
-    info = F.array(*[-0.5 * F.log(1 - F.col(f"r{k}") * F.col(f"r{k}")) for k in range(1, top + 1)])
+    # the pairs at lag k leave out the first k and the last k values: keep those few
+    def edge(near: Column, place: Column) -> Column:
+        return F.sort_array(F.collect_list(F.when(near, F.struct(place.alias("i"), "d"))))["d"]
+
+    d = F.col("d")
+    agg = rows.groupBy(*KEY).agg(
+        F.first("n").alias("n"),
+        F.sum("d").alias("s"),
+        F.sum(d * d).alias("q"),
+        edge(F.col("t") < top, F.col("t")).alias("head"),
+        edge(F.col("t") >= F.col("n") - top, F.col("n") - F.col("t")).alias("tail"),
+        *[F.sum(d * F.col(f"d{k}")).alias(f"p{k}") for k in range(1, top + 1)],
+    )
+
+    products = F.array(*[F.coalesce(f"p{k}", F.lit(0.0)) for k in range(1, top + 1)])
+    agg = agg.select(*KEY, "n", "s", "q", "head", "tail", products.alias("p"))
+
+    def information(k: Column) -> Column:
+        m = F.col("n") - k
+        cut = lambda side: F.slice(side, F.lit(1), k)
+        gone = lambda side: F.aggregate(cut(side), F.lit(0.0), lambda s, x: s + x)
+        gone2 = lambda side: F.aggregate(cut(side), F.lit(0.0), lambda s, x: s + x * x)
+        sa, sb = F.col("s") - gone("head"), F.col("s") - gone("tail")
+        va = F.col("q") - gone2("head") - F.try_divide(sa * sa, m)
+        vb = F.col("q") - gone2("tail") - F.try_divide(sb * sb, m)
+        cov = F.get("p", k - 1) - F.try_divide(sa * sb, m)
+        return F.when(m > 1, -0.5 * F.log(1 - F.try_divide(cov * cov, va * vb)))
+
     limit = F.least(F.lit(top), F.ceil(F.col("n") / 2)).cast("int")
-    rs = rs.select(*KEY, limit.alias("limit"), F.slice(info, 1, limit).alias("ami"))
+    ami = F.transform(F.sequence(F.lit(1), F.col("limit")), information)
+    rs = agg.withColumn("limit", limit).withColumn("ami", ami)
     low = first_index(
         F.col("ami"), lambda x, i: (i > 0) & (x < F.get("ami", i - 1)) & (x < F.get("ami", i + 1))
     )

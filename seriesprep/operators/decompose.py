@@ -19,7 +19,7 @@ def _slices(points: DataFrame, tested: DataFrame, block_len: int) -> DataFrame:
     reach = F.when(F.col("n") > block_len, kernels.stl_reach(widest)).otherwise(F.lit(0)).cast("bigint")
     plan = tested.select(*KEY, "n", "periods", reach.alias("reach"))
     rows = attach(split_blocks(points, block_len=block_len), plan.select(*KEY, "n", "reach"), block_len)
-    rows = rows.drop("block", "own")
+    rows = rows.drop("block", "own")  # placed again below, with the halo
     blocks = to_blocks(rows, F.col("reach"), F.col("reach"), block_len)
     start = F.col("block") * block_len
     own = F.least(F.col("n") - start, F.lit(block_len))
