@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -12,6 +14,8 @@ from ..params import Params
 from . import features as library
 from .report import core_report, rejects, short_report
 
+CONCURRENT_GROUPS = 4
+
 
 def _only(points: DataFrame, keep: DataFrame, block_len: int = BLOCK_LEN) -> DataFrame:
     """Points of the series in ``keep`` (KEY, n); joined per block, so no key is hot."""
@@ -45,16 +49,18 @@ def profile(
     ``features`` names columns or groups of ``plans.features``; only the groups
     that own a requested column are computed.  ``None`` asks for everything.
     Every group is one job whose result, one row per series, is stored before the
-    next starts; the final join only meets those small tables.
+    join; the final join only meets those small tables.
     """
     longest = longest_series(points, longest)
     points = complete_series(points)
     report = core_report(points, params, longest=longest)
     parts = library.computed(points, features, longest)
     if parts:
-        report = cut_lineage(report)
+        # independent jobs, a few at a time, so that the tail of one does not idle the cluster
+        with ThreadPoolExecutor(CONCURRENT_GROUPS) as pool:
+            report, *parts = pool.map(cut_lineage, [report, *parts])
     for part in parts:
-        report = report.join(cut_lineage(part), KEY, "left")
+        report = report.join(part, KEY, "left")
     if features is None:
         return report
     wanted = library.columns_of(features)
