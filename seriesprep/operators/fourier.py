@@ -61,8 +61,8 @@ def _chirp(t: Column) -> Column:
     return F.pmod(t * t, F.col("n") * 2).cast("double") * F.pi() / F.col("n")
 
 
-def long_amplitudes(points: DataFrame, sizes: DataFrame, block_len: int) -> DataFrame:
-    """``n`` and ``amps`` for the series in ``sizes``, 2|F_k|/n for k < n // 2."""
+def long_cells(points: DataFrame, sizes: DataFrame, block_len: int) -> DataFrame:
+    """One row per bin ``t`` with ``amp`` = 2|F_k|/n, k < n // 2, for the series in ``sizes``."""
     rows = attach(split_blocks(points, block_len=block_len), sizes, block_len).withColumn("e", _size(F.col("n")))
     a = _chirp(F.col("t"))
     left = rows.select(
@@ -84,8 +84,13 @@ def long_amplitudes(points: DataFrame, sizes: DataFrame, block_len: int) -> Data
     )
     back = split_transform(product).filter(F.col("t") < F.floor(F.col("n") / 2))
     amp = F.sqrt(F.col("re") * F.col("re") + F.col("im") * F.col("im")) / F.pow(F.lit(2.0), F.col("e")) * 2 / F.col("n")
+    return back.select(*KEY, "n", "t", amp.alias("amp"))
+
+
+def long_amplitudes(points: DataFrame, sizes: DataFrame, block_len: int) -> DataFrame:
+    """``n`` and ``amps`` for the series in ``sizes``, all bins in one array."""
     return (
-        back.select(*KEY, "n", "t", amp.alias("amp"))
+        long_cells(points, sizes, block_len)
         .groupBy(*KEY, "n")
         .agg(F.sort_array(F.collect_list(F.struct("t", "amp"))).alias("ta"))
         .select(*KEY, "n", F.col("ta.amp").alias("amps"))

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import kernels
 from ..functions.scalars import DEFAULT_PERIODS, adjust_period, bin_period, period_limit
-from ..layout import BLOCK_LEN, KEY, longest_series, to_blocks
-from .fourier import long_amplitudes
+from ..layout import BLOCK_LEN, KEY, in_order, longest_series, split_blocks, to_blocks
+from .fourier import long_amplitudes, long_cells
 
 
 def spectrum(points: DataFrame, block_len: int = BLOCK_LEN, longest: int | None = None) -> DataFrame:
@@ -65,6 +65,45 @@ def with_candidates(spectra: DataFrame, compat: bool = False, fmin: float = 0.0)
     return listed.withColumn("detected", F.slice(valid, 1, 3)).drop("peaks")
 
 
+def series_candidates(
+    points: DataFrame, compat: bool = False, block_len: int = BLOCK_LEN, longest: int | None = None
+) -> DataFrame:
+    """TOP1 straight from points; the spectrum of a long series never becomes one row.
+
+    Its bins stay rows: peaks by a window with a halo of one bin, then one row per
+    distinct adjusted period, of which the three strongest are kept.
+    """
+    if longest_series(points, longest) <= block_len:
+        return candidate_periods(spectrum(points, block_len, block_len), compat=compat)
+    sizes = points.groupBy(*KEY).agg(F.count("*").alias("n"))
+    blocks = to_blocks(points, block_len=block_len)
+    whole = blocks.join(sizes.filter(F.col("n") <= block_len), KEY)
+    short = candidate_periods(whole.select(*KEY, "n", kernels.amplitudes("values").alias("amps")), compat=compat)
+    bins = split_blocks(long_cells(points, sizes.filter(F.col("n") > block_len), block_len), 1, 1, block_len)
+    w = in_order()
+    peaks = (
+        bins.withColumn("a", F.lag("amp").over(w))
+        .withColumn("b", F.lead("amp").over(w))
+        .filter("own AND amp > a AND amp > b")
+        .select(*KEY, "n", F.col("t").alias("k"), "amp")
+    )
+    if compat:
+        peaks = peaks.groupBy(*KEY, "n", "amp").agg(F.min("k").alias("k"))
+    period = adjust_period(bin_period(F.col("n"), F.col("k")))
+    best = (
+        peaks.withColumn("period", period)
+        .filter("period >= 4")
+        .groupBy(*KEY, "n", "period")
+        .agg(F.max(F.struct("amp", (-F.col("k")).alias("k"))).alias("top"))
+    )
+    order = Window.partitionBy(*KEY).orderBy(F.desc("top"))
+    three = best.withColumn("pos", F.row_number().over(order)).filter("pos <= 3")
+    found = three.groupBy(*KEY).agg(F.sort_array(F.collect_list(F.struct("pos", "period")))["period"].alias("detected"))
+    none = F.array().cast("array<bigint>")
+    long = sizes.filter(F.col("n") > block_len).join(found, KEY, "left")
+    return short.unionByName(long.select(*KEY, "n", F.coalesce("detected", none).alias("detected")))
+
+
 def tested_periods(candidates: DataFrame) -> DataFrame:
     """SET1, F9: detected then default periods, distinct, below the length limit."""
     defaults = F.array(*[F.lit(p).cast("bigint") for p in DEFAULT_PERIODS])

@@ -126,9 +126,7 @@ def core_blockwise(
     """CORE_COLUMNS from points of any length, block by block."""
     longest = longest_series(points, longest)
     sums = autocorr.lag_sums(points, block_len, longest)
-    tested = spectrum.tested_periods(
-        spectrum.candidate_periods(spectrum.spectrum(points, block_len, longest), compat=params.compat)
-    )
+    tested = spectrum.tested_periods(spectrum.series_candidates(points, params.compat, block_len, longest))
     periods = decompose.best_periods(
         decompose.strengths(points, tested, block_len), tested, compat=params.compat
     )
