@@ -1,4 +1,4 @@
 """Imports every operator module, so that its queries are registered."""
 
-from seriesprep.llm import byte_bpe, mixing, token_blocks  # noqa: F401
+from seriesprep.llm import byte_bpe, exact_dedup, mixing, token_blocks  # noqa: F401
 from seriesprep.llm.common import ORACLES, QUERIES  # noqa: F401
