@@ -33,10 +33,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from seriesprep.llm.byte_bpe import bounded
+from seriesprep.llm.byte_bpe import slices
 from seriesprep.llm.common import query, shared_folder, shuffle_width, small, stage, table
 
 VOCABULARY = "word_bpe_49k.json"
@@ -44,7 +45,7 @@ END_ID = 1
 BLOCK = 128
 PERCENTILE = 0.92
 SEGMENT_TOKENS = 1_000_000
-CACHE_ENTRIES = 1_000_000
+CACHE_ENTRIES = 400_000  # of about 200 bytes
 MAGIC = b"PFB1"
 
 
@@ -261,14 +262,11 @@ def encode(docs: DataFrame, path: str | None = None, end_id: int = END_ID, id_co
         spec = docs.sparkSession.sparkContext.broadcast(f.read())
     end = struct.pack("<I", end_id)
 
-    @F.pandas_udf("binary")
-    def ids(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("binary")
+    def ids(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         coder = _encoder(spec.value)
         for batch in batches:
-            texts, coded = batch.tolist(), []
-            for a, b in bounded(texts):
-                coded += coder.encode(texts[a:b], end)
-            yield pd.Series(coded, dtype=object)
+            yield pa.concat_arrays([pa.array([], pa.binary()), *[pa.array(coder.encode(t, end), pa.binary()) for t in slices(batch)]])
 
     return docs.select(F.col(id_col).cast("bigint").alias("doc_id"), ids(F.coalesce(F.col(text_col), F.lit(""))).alias("ids"))
 
