@@ -45,7 +45,7 @@ END_ID = 1
 BLOCK = 128
 PERCENTILE = 0.92
 SEGMENT_TOKENS = 1_000_000
-CACHE_ENTRIES = 400_000  # of about 200 bytes
+CACHE_WORDS, CACHE_PRETOKENS = 200_000, 400_000  # of about 200 bytes
 MAGIC = b"PFB1"
 
 
@@ -194,8 +194,13 @@ class WordEncoder:
     NUMBER = "0-9\xb2\xb3\xb9\xbc-\xbe"
 
     def __init__(self, spec: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
+        # Latin-1 pre-tokens come in lower case and cut already: only their merges are left to do.
+        self.merge = Tokenizer.from_str(spec)
+        self.merge.encode_special_tokens = True
+        self.merge.normalizer = normalizers.Sequence([])
+        self.merge.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
         self.tk = Tokenizer.from_str(spec)
         self.tk.encode_special_tokens = True
         names = {i: t for t, i in self.tk.get_vocab().items()}
@@ -217,7 +222,7 @@ class WordEncoder:
         todo = list({t for ts in split for t in ts} - self.tokens.keys())
         for at in range(0, len(todo), 2000):
             part = todo[at : at + 2000]
-            ids = np.array(self.tk.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, "<u4")
+            ids = np.array(self.merge.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, "<u4")
             ends = np.flatnonzero(self.last[ids]) + 1
             if len(ends) != len(part):
                 raise ValueError("the vocabulary does not mark word ends")
@@ -228,8 +233,10 @@ class WordEncoder:
             self.words[w] = b"".join(map(self.tokens.__getitem__, ts))
 
     def encode(self, texts: list[str], end: bytes) -> list[bytes]:
-        if len(self.words) + len(self.tokens) > CACHE_ENTRIES:
-            self.words, self.tokens = {"": b""}, {}
+        if len(self.words) > CACHE_WORDS:
+            self.words = {"": b""}
+        if len(self.tokens) > CACHE_PRETOKENS:
+            self.tokens = {}
         gc.disable()  # nothing made here is cyclic
         try:
             split = [self.cut(t) if self.odd(t) else t.split() for t in texts]
