@@ -45,7 +45,7 @@ END_ID = 1
 BLOCK = 128
 PERCENTILE = 0.92
 SEGMENT_TOKENS = 1_000_000
-CACHE_WORDS, CACHE_PRETOKENS = 200_000, 400_000  # of about 200 bytes
+CACHE_WORDS, CACHE_PRETOKENS = 150_000, 400_000  # of about 200 bytes; words are kept for two rounds
 MAGIC = b"PFB1"
 
 
@@ -205,21 +205,21 @@ class WordEncoder:
         self.tk.encode_special_tokens = True
         names = {i: t for t, i in self.tk.get_vocab().items()}
         self.last = np.array([names.get(i, "").endswith("</w>") for i in range(max(names) + 1)])
-        self.find = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{self.LETTER}]+|[{self.NUMBER}]|[^ {self.LETTER}{self.NUMBER}]+").findall
-        self.plain = re.compile("[!-~\xa1-\xac\xae-\xff]+").fullmatch
+        self.find = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{self.LETTER}]+|[{self.NUMBER}]|[^ \n{self.LETTER}{self.NUMBER}]+|\n").findall
+        self.plain = re.compile("[!-~\xa1-\xac\xae-\xff\n]+").fullmatch
         self.odd = re.compile("[\x1c-\x1f]").search
         self.cut = re.compile("[ \t\n\r\f\v]+").split
-        self.words, self.tokens = {"": b""}, {}
+        self.words, self.older, self.tokens = {}, {}, {}
 
     def _learn(self, words: list[str]) -> None:
-        plain = []
-        for w in words:
-            if self.plain(w):
-                plain.append(w)
-            else:
-                self.words[w] = array("I", self.tk.encode(w, add_special_tokens=False).ids).tobytes()
-        split = [self.find(w.lower()) for w in plain]
-        todo = list({t for ts in split for t in ts} - self.tokens.keys())
+        """Encode words that are in no table: all their pre-tokens are found in one pass, a line per word."""
+        if not self.plain("\n".join(words)):
+            for w in words:
+                if not self.plain(w):
+                    self.words[w] = array("I", self.tk.encode(w, add_special_tokens=False).ids).tobytes()
+            words = [w for w in words if w not in self.words]
+        found = self.find("\n".join(words).lower())
+        todo = list(set(found) - self.tokens.keys() - {"\n"})
         for at in range(0, len(todo), 2000):
             part = todo[at : at + 2000]
             ids = np.array(self.merge.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, "<u4")
@@ -229,12 +229,16 @@ class WordEncoder:
             raw = ids.tobytes()
             ends = (ends * 4).tolist()
             self.tokens.update(zip(part, [raw[a:b] for a, b in zip([0, *ends], ends)]))
-        for w, ts in zip(plain, split):
-            self.words[w] = b"".join(map(self.tokens.__getitem__, ts))
+        self.tokens["\n"] = b""
+        ids = list(map(self.tokens.__getitem__, found))
+        ends = [i for i, t in enumerate(found) if t == "\n"]
+        ends.append(len(found))
+        starts = [0, *[i + 1 for i in ends]]
+        self.words.update(zip(words, [ids[a] if b - a == 1 else b"".join(ids[a:b]) for a, b in zip(starts, ends)]))
 
     def encode(self, texts: list[str], end: bytes) -> list[bytes]:
         if len(self.words) > CACHE_WORDS:
-            self.words = {"": b""}
+            self.words, self.older = {}, self.words
         if len(self.tokens) > CACHE_PRETOKENS:
             self.tokens = {}
         gc.disable()  # nothing made here is cyclic
@@ -243,7 +247,14 @@ class WordEncoder:
             new = set()
             for s in split:
                 new.update(s)
-            self._learn(list(new - self.words.keys()))
+            new -= self.words.keys()
+            known = new & self.older.keys()
+            self.words.update(zip(known, map(self.older.__getitem__, known)))
+            new -= known
+            new.discard("")
+            self.words[""] = b""
+            if new:
+                self._learn(list(new))
             get = self.words.__getitem__
             return [b"".join(map(get, s)) + end for s in split]
         finally:
