@@ -1,4 +1,4 @@
 """Imports every operator module, so that its queries are registered."""
 
-from seriesprep.llm import byte_bpe, exact_dedup, html_extract, jaccard_join, line_dedup, mixing, pivot_search, token_blocks, toxicity  # noqa: F401
+from seriesprep.llm import byte_bpe, exact_dedup, html_extract, jaccard_join, line_dedup, mixing, pivot_search, suffix_tree_lm, token_blocks, toxicity  # noqa: F401
 from seriesprep.llm.common import ORACLES, QUERIES  # noqa: F401
