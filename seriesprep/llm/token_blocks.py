@@ -32,7 +32,6 @@ from array import array
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -44,8 +43,8 @@ VOCABULARY = "word_bpe_49k.json"
 END_ID = 1
 BLOCK = 128
 PERCENTILE = 0.92
-SEGMENT_TOKENS = 1_000_000
-CACHE_WORDS, CACHE_PRETOKENS = 150_000, 400_000  # of about 200 bytes; words are kept for two rounds
+SEGMENT_TOKENS = 250_000
+CACHE_WORDS, CACHE_PRETOKENS = 120_000, 250_000  # of about 200 bytes; words are kept for two rounds
 MAGIC = b"PFB1"
 
 
@@ -280,13 +279,17 @@ def encode(docs: DataFrame, path: str | None = None, end_id: int = END_ID, id_co
         spec = docs.sparkSession.sparkContext.broadcast(f.read())
     end = struct.pack("<I", end_id)
 
-    @F.arrow_udf("binary")
-    def ids(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = _encoder(spec.value)
         for batch in batches:
-            yield pa.concat_arrays([pa.array([], pa.binary()), *[pa.array(coder.encode(t, end), pa.binary()) for t in slices(batch)]])
+            at = 0
+            for texts in slices(batch["text"]):
+                coded = pa.array(coder.encode(texts, end), pa.binary())
+                yield pa.RecordBatch.from_arrays([batch["doc_id"].slice(at, len(texts)), coded], ["doc_id", "ids"])
+                at += len(texts)
 
-    return docs.select(F.col(id_col).cast("bigint").alias("doc_id"), ids(F.coalesce(F.col(text_col), F.lit(""))).alias("ids"))
+    rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    return rows.mapInArrow(run, "doc_id bigint, ids binary")
 
 
 # ------------------------------------------------------------------- writing
@@ -307,29 +310,30 @@ def write(docs: DataFrame, path: str, **kw) -> None:
         place = F.when(F.col("doc_id").isNull(), 0).otherwise(F.size(F.filter(F.lit(limits), lambda x: x <= F.col("doc_id"))))
     ordered = coded.withColumn("range", place.cast("int")).repartition(F.col("range")).sortWithinPartitions("range", F.col("doc_id").asc_nulls_first(), "ids")
 
-    def segments(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size, at, number = [], 0, None, 0
 
         def flush():
             tokens = sum(len(x) for _, x in held) // 4
-            return pd.DataFrame({"range": [at], "segment": [number], "tokens": [tokens], "documents": [len(held)], "data": [write_segment(held)]})
+            row = {"range": pa.array([at], pa.int32()), "segment": pa.array([number], pa.int32()), "tokens": [tokens], "documents": [len(held)], "data": [write_segment(held)]}
+            return pa.RecordBatch.from_pydict(row)
 
         for batch in batches:
-            nulls = batch["doc_id"].isna()
-            for key, doc, null, ids in zip(batch["range"].tolist(), batch["doc_id"].tolist(), nulls.tolist(), batch["ids"]):
+            for key, doc, ids in zip(batch["range"].to_pylist(), batch["doc_id"].to_pylist(), batch["ids"]):
+                ids = ids.as_py()
                 if held and (key != at or size + len(ids) > 4 * SEGMENT_TOKENS):
                     yield flush()
                     number, held, size = number + 1 if key == at else 0, [], 0
                 elif not held and key != at:
                     number = 0
                 at = key
-                held.append((None if null else int(doc), ids))
+                held.append((doc, ids))
                 size += len(ids)
         if held:
             yield flush()
 
     schema = "range int, segment int, tokens bigint, documents bigint, data binary"
-    ordered.mapInPandas(segments, schema).write.parquet(path)
+    ordered.mapInArrow(segments, schema).write.parquet(path)
 
 
 def read(spark, path: str) -> DataFrame:
@@ -342,14 +346,14 @@ def read(spark, path: str) -> DataFrame:
     ranges = ranges.select("range", F.coalesce(F.sum("tokens").over(across), F.lit(0)).alias("base"))
     first = heads.select("range", "segment", F.coalesce(F.sum("tokens").over(inside), F.lit(0)).alias("first")).join(ranges, "range").select("range", "segment", (F.col("first") + F.col("base")).alias("first"))
 
-    def documents(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for first, image in zip(batch["first"].tolist(), batch["data"]):
-                rows = list(read_segment(image))
-                yield pd.DataFrame({"doc_id": pd.array([r[0] for r in rows], "Int64"), "start": [first + r[1] for r in rows], "ids": [r[2] for r in rows]})
+            for first, image in zip(batch["first"].to_pylist(), batch["data"]):
+                rows = list(read_segment(image.as_py()))
+                yield pa.RecordBatch.from_pydict({"doc_id": pa.array([r[0] for r in rows], pa.int64()), "start": pa.array([first + r[1] for r in rows], pa.int64()), "ids": [r[2] for r in rows]})
 
     placed = files.select("range", "segment", "data").join(small(stage(first, "token-starts")), ["range", "segment"])
-    return placed.select("first", "data").mapInPandas(documents, "doc_id bigint, start bigint, ids binary")
+    return placed.select("first", "data").mapInArrow(documents, "doc_id bigint, start bigint, ids binary")
 
 
 @query("op10_token_blocks")
