@@ -20,7 +20,8 @@ NEIGHBOURS = "(SELECT *, lag(ac) OVER w AS p, lead(ac) OVER w AS x FROM acf WIND
 @query("l5_first_1e_crossing", sql(BASIS, f"""SELECT s.series_id, s.channel, coalesce(x.v, s.n) AS CO_f1ecac FROM stats s LEFT JOIN (
   SELECT series_id, channel, arg_min(k - 1 + (exp(-1) - p) / (ac - p), k) AS v FROM {NEIGHBOURS} WHERE k > 0 AND k < n - 1 AND ac < exp(-1) GROUP BY ALL) x USING (series_id, channel)""", ["CO_f1ecac"]))
 def l5(spark, d):
-    rows = autocorr.acf_features(autocorr.lag_sums(base.weekly(spark, d), longest=base.WEEKS))
+    points = base.weekly(spark, d)
+    rows = autocorr.acf_features(points, autocorr.lag_sums(points, longest=base.WEEKS), longest=base.WEEKS)
     return rounded(rows.select(*KEY, "CO_f1ecac"))
 
 
@@ -29,7 +30,8 @@ def l5(spark, d):
   FROM stats s LEFT JOIN (SELECT series_id, channel, min(k) AS k FROM {NEIGHBOURS} WHERE k > 0 AND ac < p AND ac < x GROUP BY ALL) m USING (series_id, channel)
   LEFT JOIN (SELECT series_id, channel, min(k) AS k FROM acf WHERE ac < 0 GROUP BY ALL) z USING (series_id, channel)""", ["CO_FirstMin_ac", "firstmin_ac", "firstzero_ac"]))
 def l6(spark, d):
-    rows = autocorr.acf_features(autocorr.lag_sums(base.weekly(spark, d), longest=base.WEEKS))
+    points = base.weekly(spark, d)
+    rows = autocorr.acf_features(points, autocorr.lag_sums(points, longest=base.WEEKS), longest=base.WEEKS)
     return rounded(rows.drop("CO_f1ecac"))
 
 

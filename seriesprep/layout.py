@@ -15,9 +15,10 @@ per block.
 
 from __future__ import annotations
 
+import re
 import tempfile
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 KEY = ["series_id", "channel"]
@@ -133,20 +134,37 @@ def arrays_to_blocks(
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Checkpoint in the shared folder the session names; a local one only where none is set."""
-    spark = df.sparkSession
-    context = spark.sparkContext
+    """Checkpoint in the shared folder the session names."""
+    context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="seriesprep-")
-        context.setCheckpointDir(folder)
+        context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint()
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder for intermediate tables: ``spark.checkpoint.dir``, which all machines must see.
+
+    Only a session of one machine (a ``local`` master) that does not set it gets a folder of its own.
+    """
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        context = spark.sparkContext
+        if not re.fullmatch(r"local(\[.*\])?", context.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        folder = _LOCAL.setdefault(context.applicationId, "") or tempfile.mkdtemp(prefix="seriesprep-")
+        _LOCAL[context.applicationId] = folder
+    return folder.rstrip("/")
+
+
+_LOCAL: dict[str, str] = {}
+
+
 def longest_series(points: DataFrame, known: int | None = None) -> int:
     """Upper bound on the series length: ``known`` if given, else one scan of one column.
 
     Operators take it as ``longest``.  When every series fits one block they leave
-    out the steps that connect blocks; the result is the same either way.
+    out the steps that connect blocks; the result is the same either way.  ``within``
+    makes a bound that is too small an error.
     """
     if known is not None:
         return known
@@ -154,6 +172,14 @@ def longest_series(points: DataFrame, known: int | None = None) -> int:
     return 0 if last is None else last + 1
 
 
+def within(points: DataFrame, longest: int | None) -> DataFrame:
+    """The same points; the job fails if one lies at or beyond a length the caller gave as bound."""
+    if longest is None:
+        return points
+    beyond = F.raise_error(F.concat(F.lit(f"a series is longer than longest={longest}: t = "), F.col("t").cast("string")))
+    return points.withColumn("t", F.when(F.col("t") < longest, F.col("t")).otherwise(beyond.cast("bigint")))
+
+
 def merge_block_arrays(parts: DataFrame, column: str, block_len: int = BLOCK_LEN) -> DataFrame:
     """Element-wise sum of one array per block into one array per series.
 
@@ -175,12 +201,3 @@ def merge_block_arrays(parts: DataFrame, column: str, block_len: int = BLOCK_LEN
         .select(*keep, F.col("px.x").alias(column))
     )
     return whole.unionByName(summed)
-
-
-def points_to_arrays(points: DataFrame) -> DataFrame:
-    """Pack every series into one array row, for export only."""
-    return (
-        points.groupBy(*KEY)
-        .agg(F.sort_array(F.collect_list(F.struct("t", "v"))).alias("tv"))
-        .select(*KEY, F.col("tv.v").alias("values"))
-    )

@@ -17,12 +17,14 @@ from ..layout import (
     merge_block_arrays,
     split_blocks,
     to_blocks,
+    within,
 )
 from .order import describe
 
 
 def lag_sums(points: DataFrame, block_len: int = BLOCK_LEN, longest: int | None = None) -> DataFrame:
     """``n``, ``sd`` and ``s``: s[k] = sum over t of (v[t]-mean)(v[t+k]-mean), k below min(n, block_len)."""
+    points = within(points, longest)
     stats = describe(points)
     blocks = attach(
         to_blocks(points, after=block_len, block_len=block_len), stats.select(*KEY, "n", "mean"), block_len
@@ -75,6 +77,7 @@ def first_nonpositive(
     Lags beyond one block only exist for series longer than a block; those still
     unresolved are searched one block of lags at a time.
     """
+    points = within(points, longest)
     found = sums.select(*KEY, "n", "sd", first_index(F.col("s"), lambda x, _: x <= 0).alias("tau"))
     longest = longest_series(points, longest)
     if longest <= block_len:
@@ -95,8 +98,37 @@ def first_nonpositive(
     return out.unionByName(todo.withColumn("tau", F.col("n")))
 
 
-def acf_features(sums: DataFrame) -> DataFrame:
+def extended(
+    points: DataFrame, sums: DataFrame, wanted: Column, block_len: int = BLOCK_LEN, longest: int | None = None
+) -> DataFrame:
+    """``sums`` with as many lags as ``wanted`` (a condition on its columns) asks for.
+
+    ``lag_sums`` ends at one block; the series that want more get one further block
+    of lags at a time, up to their length.
+    """
+    longest = longest_series(points, longest)
+    hop = 1
+    while hop * block_len < longest:
+        todo = sums.filter((F.col("n") > hop * block_len) & wanted).select(*KEY, "n")
+        if todo.isEmpty():
+            break
+        stats = todo.join(describe(points).select(*KEY, "mean"), KEY)
+        left = F.least(F.col("n") - hop * block_len, F.lit(block_len)).cast("int")
+        more = farther_lag_sums(points, stats, hop, block_len).select(*KEY, F.slice("s", F.lit(1), left).alias("more"))
+        longer = F.when(F.col("more").isNull(), F.col("s")).otherwise(F.concat("s", "more"))
+        sums = cut_lineage(sums.join(more, KEY, "left").withColumn("s", longer).drop("more"))
+        hop += 1
+    return sums
+
+
+def acf_features(
+    points: DataFrame, sums: DataFrame, block_len: int = BLOCK_LEN, longest: int | None = None
+) -> DataFrame:
     """L5, L6, L31 from the lag products of each series; constant series give NULL."""
+    s0 = F.get("s", F.lit(0))
+    low = first_index(F.col("s"), lambda x, i: (i > 0) & (x < F.get("s", i - 1)) & (x < F.get("s", i + 1)))
+    early = first_index(F.slice("s", 2, F.size("s")), lambda x, _: x < 0)  # below zero is below 1/e too
+    sums = extended(points, sums, (F.col("sd") > 0) & (s0 > 0) & (low.isNull() | early.isNull()), block_len, longest)
     ac = F.when(F.col("sd") > 0, F.transform("s", lambda x: x / F.get("s", F.lit(0))))
     rows = sums.select(*KEY, "n", ac.alias("ac"))
     fall = first_index(F.slice("ac", 1, F.greatest(F.col("n") - 1, F.lit(1)).cast("int")), lambda x, i: (i > 0) & (x < F.exp(F.lit(-1.0))))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import kernels
 from ..layout import BLOCK_KEY, BLOCK_LEN, KEY, attach, in_order, longest_series, split_blocks, to_blocks
-from .autocorr import difference, first_nonpositive, lag_sums, lagged_correlations
+from .autocorr import extended, difference, first_nonpositive, lag_sums, lagged_correlations
 from .fourier import long_power
 from .order import describe, quantiles
 from .smoother import long_smooth
@@ -260,8 +260,9 @@ def periodicity(points: DataFrame, block_len: int = BLOCK_LEN, longest: int | No
     rest = attach(rows.drop("n", "own"), fit, block_len)
     trend = sum((F.get("b", F.lit(i)) * c for i, c in enumerate(basis)), F.lit(0.0))
     rest = rest.select(*KEY, "t", (F.col("v") - trend).alias("v"))
-    s = lag_sums(rest, block_len, longest_series(points, longest))
+    longest = longest_series(points, longest)
     top = F.ceil(F.col("n") / 3).cast("int")
+    s = extended(rest, lag_sums(rest, block_len, longest), F.size("s") <= top, block_len, longest)
     ac = s.select(*KEY, F.transform(F.slice("s", 2, top), lambda x, i: x / (F.col("n") - i - 1)).alias("ac"))
     marked = F.aggregate(
         F.sequence(F.lit(1), F.greatest(F.size("ac") - 2, F.lit(1))),

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import kernels
-from ..layout import BLOCK_KEY, BLOCK_LEN, KEY, attach, longest_series, split_blocks, to_blocks
+from ..layout import BLOCK_KEY, BLOCK_LEN, KEY, attach, longest_series, split_blocks, to_blocks, within
 
 
 def ranked(points: DataFrame, by: str = "v", block_len: int = BLOCK_LEN) -> DataFrame:
@@ -64,6 +64,7 @@ def quantiles(
     usual linear rule); ``midpoint=True`` uses ``q*n - 0.5``.  A series that fits
     one block is sorted inside its row; longer ones go through ``ranked``.
     """
+    points = within(points, longest)
     present = points.filter(F.col("v").isNotNull()).select(*KEY, "t", "v")
 
     def pos(n: Column, q: float) -> Column:
@@ -137,6 +138,7 @@ def inversions(points: DataFrame, block_len: int = BLOCK_LEN, longest: int | Non
     bits are ordered by value and each point on the 0 side counts the points on
     the 1 side below it.  A series with one block needs none of the second part.
     """
+    points = within(points, longest)
     inside = to_blocks(points, block_len=block_len).select(
         *KEY, kernels.inversion_count(F.col("values")).alias("c"), F.size("values").alias("m")
     )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..layout import BLOCK_KEY, BLOCK_LEN, KEY, attach, earlier_blocks, in_order, later_blocks, longest_series, split_blocks
+from ..layout import BLOCK_KEY, BLOCK_LEN, KEY, attach, earlier_blocks, in_order, later_blocks, longest_series, split_blocks, within
 from ..params import Params
 from .order import describe
 
@@ -66,6 +66,7 @@ def filled_rolling(
 ) -> DataFrame:
     """Frames that are not full take the next one, else the previous one;
     a zero std becomes the std of the series."""
+    points = within(points, longest)
     longest = longest_series(points, longest)
     rows = rolling(points, window, block_len)
     fit = F.when(
@@ -103,6 +104,7 @@ def repair(
     Anchors keep their original values; with one side missing the other is
     copied, with none the point stays.  Adds ``repaired`` and ``is_outlier``.
     """
+    points = within(points, longest)
     longest = longest_series(points, longest)
     flags = flag_outliers(points, params, block_len, longest).select(
         *BLOCK_KEY, "t", "v", (F.col("local_outlier") | F.col("low_outlier")).alias("is_outlier")

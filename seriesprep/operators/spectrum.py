@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import kernels
 from ..functions.scalars import DEFAULT_PERIODS, adjust_period, bin_period, period_limit
-from ..layout import BLOCK_LEN, KEY, in_order, longest_series, split_blocks, to_blocks
+from ..layout import BLOCK_LEN, KEY, in_order, longest_series, split_blocks, to_blocks, within
 from .fourier import long_amplitudes, long_cells
 
 
@@ -17,6 +17,7 @@ def spectrum(points: DataFrame, block_len: int = BLOCK_LEN, longest: int | None
     A series of one block is transformed inside its row; a longer one by a
     transform that is itself split over rows and columns.
     """
+    points = within(points, longest)
     longest = longest_series(points, longest)
     blocks = to_blocks(points, block_len=block_len)
     if longest <= block_len:
@@ -73,6 +74,7 @@ def series_candidates(
     Its bins stay rows: peaks by a window with a halo of one bin, then one row per
     distinct adjusted period, of which the three strongest are kept.
     """
+    points = within(points, longest)
     if longest_series(points, longest) <= block_len:
         return candidate_periods(spectrum(points, block_len, block_len), compat=compat)
     sizes = points.groupBy(*KEY).agg(F.count("*").alias("n"))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import kernels
 from ..functions.scalars import pretty_step
-from ..layout import BLOCK_KEY, BLOCK_LEN, KEY, attach, earlier_blocks, in_order, longest_series, split_blocks
+from ..layout import BLOCK_KEY, BLOCK_LEN, KEY, attach, earlier_blocks, in_order, longest_series, split_blocks, within
 from .autocorr import first_nonpositive
 from .order import array_at, describe, quantiles
 from .repair import nearest
@@ -32,6 +32,7 @@ def coded_pairs(points: DataFrame, block_len: int = BLOCK_LEN, longest: int | No
 
 def transition(points: DataFrame, sums: DataFrame, block_len: int = BLOCK_LEN, longest: int | None = None) -> DataFrame:
     """L1: thin by tau, code into terciles, sum the column variances of the transition shares."""
+    points = within(points, longest)
     longest = longest_series(points, longest)
     tau = first_nonpositive(points, sums, block_len, longest)
     live = tau.filter(F.col("sd") > 0).select(*KEY, "n", "tau")
@@ -236,6 +237,7 @@ def long_stretches(points: DataFrame, block_len: int = BLOCK_LEN, longest: int |
     The last point is left out and the stretch is measured between stops, as in
     the published feature set.
     """
+    points = within(points, longest)
     stats = describe(points)
     rows = attach(split_blocks(points, 0, 1, block_len), stats.select(*KEY, "n", "mean"), block_len)
     rows = rows.withColumn("next", F.lead("v").over(in_order())).filter("own").filter("t < n - 1").drop("own")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -18,12 +20,14 @@ from ..layout import (
     merge_block_arrays,
     split_blocks,
     to_blocks,
+    within,
 )
 from .autocorr import lag_sums
 from .order import describe
 
-# Widest lag search supported by the halo: enough for 8e10 observations.
-ADF_HALO = 2048
+def adf_halo(longest: int) -> int:
+    """Observations before a block that its lag products reach: the largest lag of the longest series, and two."""
+    return max(64, math.ceil(12 * (longest / 100.0) ** 0.25) + 2)
 
 
 def adf_lags(n: Column) -> Column:
@@ -37,19 +41,22 @@ def adf(points: DataFrame, block_len: int = BLOCK_LEN, longest: int | None = Non
     Blocks deliver cross-product matrices, which add up over the blocks of a
     series; the regressions are solved once per series on the summed matrix.
     """
+    points = within(points, longest)
     stats = describe(points)
+    longest = longest_series(points, longest)
+    halo = adf_halo(longest)
     usable = stats.filter((F.col("n") >= 4) & (F.col("sd") > 0)).select(
         *KEY, "n", "mean", adf_lags(F.col("n")).alias("lags")
     )
-    blocks = attach(to_blocks(points, before=ADF_HALO, block_len=block_len), usable, block_len)
+    blocks = attach(to_blocks(points, before=halo, block_len=block_len), usable, block_len)
     gram = kernels.adf_gram("values", "lo", F.col("block") * block_len, "lags", "mean")
-    if longest_series(points, longest) <= block_len:
+    if longest <= block_len:
         solved = blocks.select(*KEY, kernels.adf_solve(gram, "values", "lags", "n", "mean").alias("r"))
         solved = solved.select(*KEY, F.col("r.stat").alias("adf_stat"), F.col("r.lag").alias("adf_lag"))
         return _with_pvalue(stats, solved)
     parts = blocks.select(*BLOCK_KEY, "n", gram.alias("g"))
     heads = blocks.filter("block = 0").select(
-        *KEY, "mean", "lags", F.slice("values", 1, ADF_HALO).alias("head")
+        *KEY, "mean", "lags", F.slice("values", 1, halo).alias("head")
     )
     solved = (
         merge_block_arrays(parts, "g", block_len)
@@ -172,6 +179,7 @@ def unitroot_stats(
 
 def phillips_perron(points: DataFrame, block_len: int = BLOCK_LEN, longest: int | None = None) -> DataFrame:
     """Z-alpha of y(t) = a + rho y(t-1) + e with Bartlett-weighted residual products."""
+    points = within(points, longest)
     stats = describe(points)
     rows = attach(split_blocks(points, 1, 0, block_len), stats.select(*KEY, "n", "mean", "sd"), block_len)
     y = F.col("v") - F.col("mean")

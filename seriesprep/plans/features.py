@@ -25,7 +25,7 @@ GROUPS: dict[str, tuple[list[str], Callable]] = {
     "modes": (["DN_HistogramMode_5", "DN_HistogramMode_10", "histogram_mode"], lambda p, s, m: symbolic.histogram_modes(p)),
     "acf_points": (
         ["CO_f1ecac", "CO_FirstMin_ac", "firstmin_ac", "firstzero_ac"],
-        lambda p, s, m: autocorr.acf_features(s("sums")),
+        lambda p, s, m: autocorr.acf_features(p, s("sums"), longest=m),
     ),
     "lag2_information": (["CO_HistogramAMI_even_2_5"], lambda p, s, m: symbolic.lag2_information(p)),
     "stretches": (

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions import kernels
 from ..functions.scalars import adf_pvalue, kpss_pvalue
-from ..layout import BLOCK_KEY, BLOCK_LEN, KEY, arrays_to_blocks, longest_series, to_blocks
+from ..layout import BLOCK_KEY, BLOCK_LEN, KEY, arrays_to_blocks, arrays_to_points, longest_series, to_blocks, within
 from ..operators import autocorr, decompose, divergence, spectrum, symbolic, unitroot
 from ..params import Params
 
@@ -124,6 +124,7 @@ def core_blockwise(
     points: DataFrame, params: Params = Params(), block_len: int = BLOCK_LEN, longest: int | None = None
 ) -> DataFrame:
     """CORE_COLUMNS from points of any length, block by block."""
+    points = within(points, longest)
     longest = longest_series(points, longest)
     sums = autocorr.lag_sums(points, block_len, longest)
     tested = spectrum.tested_periods(spectrum.series_candidates(points, params.compat, block_len, longest))
@@ -148,11 +149,11 @@ def core_report(
     points: DataFrame, params: Params = Params(), block_len: int = BLOCK_LEN, longest: int | None = None
 ) -> DataFrame:
     """CORE_COLUMNS for points of mixed lengths; ``longest`` skips the length probe."""
+    points = within(points, longest)
     longest = longest_series(points, longest)
     size = divergence.aligned_block_len((params.short_window, params.long_window), block_len)
-    # one task per shuffle partition: the row functions are heavy for their bytes
-    tasks = int(points.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    spread = points.withColumn("block", F.floor(F.col("t") / size)).repartition(tasks, *BLOCK_KEY)
+    # without a count of its own, so that the partitions follow the size of the data
+    spread = points.withColumn("block", F.floor(F.col("t") / size)).repartition(*BLOCK_KEY)
     blocks = to_blocks(spread, block_len=size)
     whole = (F.col("block") == 0) & (F.size("values") < size)
     out = core_whole(blocks.filter(whole).select(*KEY, "values"), params)
@@ -164,9 +165,15 @@ def core_report(
 
 
 def core_report_arrays(arrays: DataFrame, params: Params = Params(), block_len: int = BLOCK_LEN) -> DataFrame:
-    """CORE_COLUMNS for sample arrays that fit one block: no shuffle anywhere."""
-    blocks = arrays_to_blocks(arrays, block_len=block_len)
-    return core_whole(blocks.filter("block = 0").select(*KEY, "values"), params)
+    """CORE_COLUMNS for sample arrays: no shuffle for those that fit a block, block by block for longer ones."""
+    size = divergence.aligned_block_len((params.short_window, params.long_window), block_len)
+    n = F.size("values")
+    longest = arrays.agg(F.max(n)).first()[0] or 0
+    blocks = arrays_to_blocks(arrays.filter(n < size), block_len=size)
+    out = core_whole(blocks.select(*KEY, "values"), params)
+    if longest < size:
+        return out
+    return out.unionByName(core_blockwise(arrays_to_points(arrays.filter(n >= size)), params, size, longest))
 
 
 def rejects(points: DataFrame) -> DataFrame:

@@ -1,4 +1,4 @@
-"""SRC2: ``.npy`` tensors of shape (N, L, 1) or (N, L) as a Spark data source.
+"""SRC2: ``.npy`` tensors of shape (N, L, 1), (N, L) or (L,) as a Spark data source.
 
     spark.dataSource.register(NpyTensorSource)
     spark.read.format("npy_tensor").load("/shared/data.npy")
@@ -35,7 +35,10 @@ class NpyTensorReader(DataSourceReader):
         out = []
         for path in self.files():
             shape = np.load(path, mmap_mode="r").shape
-            length = shape[1] if len(shape) > 1 else 1
+            if len(shape) == 1:  # one series: its length is the only dimension
+                out.append(SampleRange(path, 0, 1))
+                continue
+            length = shape[1]
             step = max(1, self.points_per_task // max(length, 1))
             out += [SampleRange(path, a, min(a + step, shape[0])) for a in range(0, shape[0], step)]
         return out
@@ -44,7 +47,8 @@ class NpyTensorReader(DataSourceReader):
         import numpy as np
         import pyarrow as pa
 
-        data = np.load(partition.path, mmap_mode="r")[partition.start : partition.stop]
+        data = np.load(partition.path, mmap_mode="r")
+        data = (data[None] if data.ndim == 1 else data)[partition.start : partition.stop]
         data = np.asarray(data, dtype="float64").reshape(len(data), -1)
         name = os.path.splitext(os.path.basename(partition.path))[0]
         ids = [f"{name}_{i}" for i in range(partition.start, partition.stop)]

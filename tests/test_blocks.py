@@ -1,6 +1,7 @@
 """Every operator gives the same rows when a series is cut into many blocks."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from helpers import assert_same, points, some_series
 from seriesprep.operators import autocorr, decompose, divergence, library, order, repair, spectrum, stats, symbolic, unitroot
@@ -21,6 +22,9 @@ CASES = {
     "points": lambda p, b: stats.point_features(p, list(stats.POINT_FEATURES), b),
     "repair": lambda p, b: repair.repair(p, block_len=b),
     "lag_sums_short": lambda p, b: autocorr.lag_sums(p, b).selectExpr("series_id", "channel", "n", "sd", "slice(s, 1, 30) AS s"),
+    "acf_features": lambda p, b: autocorr.acf_features(p, autocorr.lag_sums(p, b), b),
+    "lag_sums_full": lambda p, b: autocorr.extended(p, autocorr.lag_sums(p, b), F.lit(True), b),
+    "periodicity": lambda p, b: library.periodicity(p, b),
     "acf_pacf": lambda p, b: autocorr.acf_pacf(p, b),
     "gaussian": lambda p, b: autocorr.gaussian_information(p, b),
     "tau": lambda p, b: autocorr.first_nonpositive(p, autocorr.lag_sums(p, b), b),
@@ -82,3 +86,13 @@ def test_report_forms(spark):
     whole = report.core_report(p, params, longest=230)
     assert_same(whole, report.core_blockwise(p, params), tol=1e-6)
     assert_same(whole, report.core_report(p, params, block_len=90), tol=1e-6)
+    arrays = spark.createDataFrame([(k, [float(x) for x in v]) for k, v in some_series().items()], "series_id string, values array<double>")
+    assert_same(whole, report.core_report_arrays(arrays, params), tol=1e-6)
+    assert_same(whole, report.core_report_arrays(arrays, params, block_len=90), tol=1e-6)
+
+
+def test_a_bound_that_is_too_small_is_an_error(spark):
+    p = points(spark, some_series())
+    for run in (lambda: report.core_report(p, longest=50, block_len=90), lambda: repair.repair(p, longest=50), lambda: order.quantiles(p, {"a": 0.5}, longest=50)):
+        with pytest.raises(Exception, match="longer than longest=50"):
+            run().collect()

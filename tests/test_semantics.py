@@ -1,5 +1,7 @@
 """Edge cases and independent re-computation on small fixtures."""
 
+import math
+
 import numpy as np
 import pytest
 
@@ -120,36 +122,38 @@ def test_inversions_by_brute_force(spark):
 
 
 # --------------------------------------------------------------- divergence
-def reference_jsd(x, w):
-    """Straight from the definition, with numpy's own histogram."""
-    out = []
-    for a in range(0, len(x) // w * w, w):
-        part = x[a : a + w]
-        hist, edges = np.histogram(part, bins="stone", density=True)
-        mu, s = part.mean(), part.std()
-        if s == 0:
-            out.append(0.0)
-            continue
-        c = (edges[:-1] + edges[1:]) / 2
-        q = np.exp(-(((c - mu) / s) ** 2) / 2) / (s * np.sqrt(2 * np.pi))
-        m = (hist + q) / 2
-        kl = lambda p: np.sum(np.where(p > 0, p / p.sum() * np.log(np.where(p > 0, p / p.sum(), 1) / (m / m.sum())), 0))
-        out.append((kl(hist) + kl(q)) / 2)
-    return np.mean(out) if out else None
-
-
-def test_divergence_matches_numpy_histograms(spark):
+def bell(z):
+    return math.exp(-z * z / 2) / math.sqrt(2 * math.pi)
+
+
+def test_divergence_of_two_valued_windows(spark):
+    """Half zeros, half ones: mean and deviation 1/2, and the least risk is that of the most bins, 100, of which only
+    the first and last hold values.  The mixture is of densities, so it is scaled by its own sum."""
+    windows = {"one": [0.0, 1.0] * 15, "two": ([0.0, 1.0] * 15 + [5.0, 7.0] * 15)}
+    got = table(divergence.series_divergence(points(spark, windows)))
+    bins = 100
+    density = [bins / 2 if i in (0, bins - 1) else 0.0 for i in range(bins)]
+    curve = [2 * bell(((i + 0.5) / bins - 0.5) * 2) for i in range(bins)]
+    mixture = [(p + q) / 2 for p, q in zip(density, curve)]
+
+    def against(p):
+        total, other = sum(p), sum(mixture)
+        return sum(x / total * math.log(x / total / (m / other)) for x, m in zip(p, mixture) if x > 0)
+
+    want = (against(density) + against(curve)) / 2
+    for k in windows:  # shifting and stretching a window changes nothing
+        assert abs(got[(k, "0")]["short_term_jsd"] - want) < 1e-9 and got[(k, "0")]["long_term_jsd"] is None
+
+
+def test_divergence_of_flat_and_short_windows(spark):
     rng = np.random.default_rng(3)
-    data = {
-        "normal": rng.normal(size=700), "gamma": rng.gamma(1, 2, 700), "steps": np.round(rng.normal(size=700), 1),
-        "counts": rng.poisson(3, 700).astype(float), "short": rng.normal(size=200), "flat": np.r_[np.zeros(336), rng.normal(size=336)],
-    }
-    got = table(divergence.series_divergence(points(spark, data)))
-    for k, x in data.items():
-        for w, c in ((30, "short_term_jsd"), (336, "long_term_jsd")):
-            want = reference_jsd(x, w)
-            have = got[(k, "0")][c]
-            assert (want is None and have is None) or abs(want - have) < 1e-9, (k, w)
+    noise = rng.normal(size=30)
+    data = {"flat": [2.0] * 700, "half": [0.0] * 30 + list(noise), "noise": noise, "tail": list(noise) + [9.0] * 29, "short": [1.0, 2.0]}
+    got = {k[0]: r["short_term_jsd"] for k, r in table(divergence.series_divergence(points(spark, data))).items()}
+    assert got["flat"] == 0.0 and got["short"] is None
+    assert abs(got["half"] - got["noise"] / 2) < 1e-12  # a window without spread counts as 0
+    assert got["tail"] == got["noise"]  # an unfinished window is left out
+    assert 0 < got["noise"] < math.log(2)
 
 
 # ------------------------------------------------------------ decomposition

@@ -1,6 +1,10 @@
 """CSV layouts, tensors and the driver contract."""
 
+from types import SimpleNamespace
+
 import numpy as np
+import pytest
+from pyspark.sql import functions as F
 
 from helpers import table
 from seriesprep.layout import arrays_to_points, longest_series
@@ -21,7 +25,10 @@ def test_csv_layouts(spark, tmp_path):
     (d / "sub").mkdir()
     write(d / "sub" / "z.csv", "date,data,cols\n0,7,0\n")
     got = table(tables.read_long_csv(spark, str(d)), ("t",))
-    assert {k: v["v"] for k, v in got.items()} == {("x", "0", 0): 1.5, ("x", "0", 1): 2.5}
+    assert {k: v["v"] for k, v in got.items()} == {("x", "0", 0): 1.5, ("x", "0", 1): 2.5, ("y", "0", 0): 9.0}
+    write(d / "w.csv", "data,cols\n4,a\n5,a\n")
+    got = table(tables.read_long_csv(spark, str(d)), ("t",))
+    assert {k: v["v"] for k, v in got.items() if k[0] == "w"} == {("w", "a", 0): 4.0, ("w", "a", 1): 5.0} and len(got) == 5
     u = tmp_path / "undated"
     u.mkdir()
     write(u / "m.csv", "data,cols\n1,a\n2,a\n,b\n4,b\n1,label\n0,label\n")
@@ -48,6 +55,34 @@ def test_npy_tensor(spark, tmp_path):
     assert longest_series(arrays_to_points(df)) == 7
 
 
+def test_one_dimensional_tensor_is_one_series(spark, tmp_path):
+    np.save(tmp_path / "line.npy", np.arange(9.0))
+    spark.dataSource.register(NpyTensorSource)
+    rows = spark.read.format("npy_tensor").load(str(tmp_path / "line.npy")).collect()
+    assert [(r[0], r[1]) for r in rows] == [("line_0", list(np.arange(9.0)))]
+
+
+def test_large_whole_number_times_keep_their_order(spark):
+    base = 1_700_000_000_000_000_000
+    rows = [("s", base + i, float(i)) for i in np.random.default_rng(0).permutation(50).tolist()]
+    frame = spark.createDataFrame(rows, "s string, at bigint, v double")
+    got = table(tables.points_from_rows(frame, F.col("s"), F.col("at"), F.col("v")), ("t",))
+    assert all(r["v"] == float(k[2]) for k, r in got.items()) and len(got) == 50
+
+
+def test_no_shared_folder_is_an_error(spark):
+    from seriesprep.layout import shared_folder
+
+    def session(master, folder):
+        return SimpleNamespace(conf={"spark.checkpoint.dir": folder} if folder else {}, sparkContext=SimpleNamespace(master=master, applicationId="a"))
+
+    assert shared_folder(session("spark://host:7077", "hdfs://shared/x/")) == "hdfs://shared/x"
+    assert shared_folder(session("local[4]", None)) == shared_folder(session("local", None))
+    for master in ("spark://host:7077", "local-cluster[2,1,1024]", "yarn"):
+        with pytest.raises(ValueError):
+            shared_folder(session(master, None))
+
+
 def test_contract(spark):
     import __spark_entry__ as entry
 
