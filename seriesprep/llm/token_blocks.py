@@ -36,8 +36,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from seriesprep.layout import shared_folder
 from seriesprep.llm.byte_bpe import slices
-from seriesprep.llm.common import query, shared_folder, shuffle_width, small, stage, table
+from seriesprep.llm.common import query, shuffle_width, small, stage, table
 
 VOCABULARY = "word_bpe_49k.json"
 END_ID = 1
