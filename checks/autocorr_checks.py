@@ -73,7 +73,28 @@ def l20(spark, d):
     return rounded(rows.select(*KEY, *[c for c in rows.columns if "_acf" in c]))
 
 
-@query("l21_pacf5")
+def partial(name, source, label):
+    """Durbin-Levinson to order 5, written out order by order."""
+    r = ", ".join(f"max(CASE WHEN k = {k} THEN ac END) AS r{k}" for k in range(1, 6))
+    inner = f"SELECT series_id, channel, {r}, max(CASE WHEN k = 1 THEN ac END) AS p1_1 FROM {source} GROUP BY ALL"
+    for k in range(2, 6):
+        top = " - ".join([f"r{k}", *[f"p{k - 1}_{j} * r{k - j}" for j in range(1, k)]])
+        low = " - ".join(["1", *[f"p{k - 1}_{j} * r{j}" for j in range(1, k)]])
+        inner = f"SELECT *, ({top}) / ({low}) AS p{k}_{k} FROM ({inner})"
+        rest = ", ".join(f"p{k - 1}_{j} - p{k}_{k} * p{k - 1}_{k - j} AS p{k}_{j}" for j in range(1, k))
+        inner = f"SELECT *, {rest} FROM ({inner})"
+    total = " + ".join(f"p{k}_{k} * p{k}_{k}" for k in range(1, 6))
+    return f"{name} AS (SELECT series_id, channel, {total} AS {label}_pacf5 FROM ({inner}))"
+
+
+@query(
+    "l21_pacf5",
+    sql(
+        [WEEKLY, pts("weekly"), diffs("d1", "pts"), diffs("d2", "d1"), short_acf("a0", "pts"), short_acf("a1", "d1"), short_acf("a2", "d2"), partial("p0", "a0", "x"), partial("p1", "a1", "diff1x"), partial("p2", "a2", "diff2x")],
+        "SELECT * FROM p0 JOIN p1 USING (series_id, channel) JOIN p2 USING (series_id, channel)",
+        ["x_pacf5", "diff1x_pacf5", "diff2x_pacf5"],
+    ),
+)
 def l21(spark, d):
     rows = autocorr.acf_pacf(base.weekly(spark, d))
     return rounded(rows.select(*KEY, *[c for c in rows.columns if "_pacf" in c]))

@@ -124,12 +124,31 @@ def l12(spark, d):
     return rounded(library.embedding_misfit(base.weekly(spark, d)))
 
 
-def _rows(name, fn, digits=6):
-    @query(name)
+def _rows(name, fn, digits=6, oracle=None):
+    @query(name, oracle)
     def run(spark, d):
         return rounded(fn(base.weekly(spark, d)), digits)
 
 
+SERIES = "OVER (PARTITION BY series_id, channel ORDER BY t)"
+SQUARES = "SELECT series_id, channel, t, v * v AS y, " + ", ".join(f"lag(v * v, {k}) {SERIES} AS x{k}" for k in range(1, 13)) + " FROM z"
+POWERS = f"SELECT *, x1 * x1 AS x2, x1 * x1 * x1 AS x3 FROM (SELECT series_id, channel, t, v AS y, lag(v) {SERIES} AS x1 FROM z)"
+
+
+def regression(name, columns, rows):
+    """Residuals of y on a constant and the columns, one column at a time (Gram-Schmidt): ``{name}_fit`` with ``step``."""
+    keys = "series_id, channel, t"
+    whole = "OVER (PARTITION BY series_id, channel)"
+    complete = " AND ".join(f"{c} IS NOT NULL" for c in columns)
+    centred = ", ".join(f"{c} - avg({c}) {whole} AS {c}" for c in ["y", *columns])
+    ctes = [f"{name}_0 AS MATERIALIZED (SELECT {keys}, {centred} FROM ({rows}) WHERE {complete})"]
+    for i, q in enumerate(columns):
+        left = ", ".join(f"{c} - {q} * (sum({c} * {q}) {whole}) / (sum({q} * {q}) {whole}) AS {c}" for c in ["y", *columns[i + 1 :]])
+        ctes.append(f"{name}_{i + 1} AS MATERIALIZED (SELECT {keys}, {left} FROM {name}_{i})")
+    steps = " UNION ALL ".join(f"SELECT series_id, channel, y, {i} AS step FROM {name}_{i}" for i in range(len(columns) + 1))
+    return [*ctes, f"{name}_fit AS ({steps})"]
+
+
 _rows("l11_periodicity", library.periodicity)
 
 WELCH = """padded AS (SELECT *, CAST(pow(2, ceil(log2(n))) AS BIGINT) AS size FROM z),
@@ -155,9 +174,18 @@ def l15(spark, d):
 
 _rows("l17_fluctuation", library.fluctuation)
 _rows("l18_density_shift", library.density_shift)
-_rows("l22_arch_statistic", library.arch_statistic)
+_rows("l22_arch_statistic", library.arch_statistic, oracle=sql([*BASIS, *regression("sq", [f"x{k}" for k in range(1, 13)], SQUARES)], """SELECT s.series_id, s.channel, f.arch_stat FROM stats s LEFT JOIN (
+  SELECT series_id, channel, 1 - sum(y * y) FILTER (step = 12) / sum(y * y) FILTER (step = 0) AS arch_stat FROM sq_fit GROUP BY ALL) f USING (series_id, channel)""", ["arch_stat"]))
 _rows("l26_holt_parameters", library.holt_parameters)
-_rows("l29_nonlinearity", library.nonlinearity)
-_rows("l33_walker_crossing", library.walker_crossing)
+_rows("l29_nonlinearity", library.nonlinearity, oracle=sql([*BASIS, *regression("nl", ["x1", "x2", "x3"], POWERS)], """SELECT s.series_id, s.channel, f.nonlinearity FROM stats s LEFT JOIN (
+  SELECT series_id, channel, m * ln(a / b) * 10 / (m + 1) AS nonlinearity FROM (
+    SELECT series_id, channel, count(*) FILTER (step = 0) AS m, sum(y * y) FILTER (step = 1) AS a, sum(y * y) FILTER (step = 3) AS b FROM nl_fit GROUP BY ALL)) f
+  USING (series_id, channel)""", ["nonlinearity"]))
+_rows("l33_walker_crossing", library.walker_crossing, oracle=sql(BASIS, """SELECT s.series_id, s.channel, f.c / (s.n - 1) AS walker_propcross FROM stats s LEFT JOIN (
+  SELECT series_id, channel, CAST(count(*) FILTER ((pw - pv) * (w - v) < 0) AS DOUBLE) AS c FROM (
+    SELECT *, lag(w) OVER o AS pw, lag(v) OVER o AS pv FROM (
+      SELECT a.series_id, a.channel, a.t, a.v, coalesce(sum(0.1::DOUBLE * pow(0.9::DOUBLE, a.t - 1 - b.t) * b.v), 0) AS w
+      FROM z a LEFT JOIN z b ON a.series_id = b.series_id AND a.channel = b.channel AND b.t < a.t GROUP BY ALL)
+    WINDOW o AS (PARTITION BY series_id, channel ORDER BY t)) GROUP BY ALL) f USING (series_id, channel)""", ["walker_propcross"]))
 _rows("l34_heterogeneity", library.heterogeneity)
 _rows("l35_trend_features", library.trend_features)
