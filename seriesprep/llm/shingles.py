@@ -6,7 +6,7 @@ import numpy as np
 import xxhash
 
 SIZE = 5
-CACHE_ENTRIES = 500_000
+CACHE_ENTRIES = 150_000
 
 
 class WordHashes(dict):
