@@ -142,9 +142,13 @@ class Encoder:
         starts.append(len(found))
         self.later.update(zip(parts, [ids[a] if b - a == 1 else b"".join(ids[a:b]) for a, b in zip(starts, starts[1:])]))
 
+    def forget(self) -> None:
+        """Empty the tables: a worker keeps none of them from one task to the next."""
+        self.first, self.later, self.tokens = {}, {}, {}
+
     def encode(self, texts: list[str]) -> list[bytes]:
         if len(self.first) + len(self.later) + len(self.tokens) > CACHE_ENTRIES:
-            self.first, self.later, self.tokens = {}, {}, {}
+            self.forget()
         gc.disable()  # nothing made here is cyclic
         try:
             split = [t.split(" ") if not self.loose.search(t) else self.visible.split(t) for t in texts]
@@ -210,6 +214,7 @@ def encode(docs: DataFrame, model: bytes, pattern: str, text_col="text", out="id
         coder = _encoder(shared.value, pattern)
         for batch in batches:
             yield pa.concat_arrays([pa.array([], pa.binary()), *[pa.array(coder.encode(t), pa.binary()) for t in slices(batch)]])
+        coder.forget()
 
     return docs.withColumn(out, ids(F.coalesce(F.col(text_col), F.lit(""))))
 
@@ -243,6 +248,7 @@ def encode_and_decode(docs: DataFrame, model: bytes, pattern: str, text_col="tex
                 ids = coder.encode(texts)
                 done.append(pa.StructArray.from_arrays([pa.array(ids, pa.binary()), pa.array([coder.decode(x) for x in ids], pa.binary())], names))
             yield pa.concat_arrays(done)
+        coder.forget()
 
     return docs.withColumn(out, both(F.coalesce(F.col(text_col), F.lit(""))))
 
