@@ -258,7 +258,8 @@ def extract(pages: DataFrame, html_col="html", url_col="url", out="text") -> Dat
                     known.clear()
             yield pa.concat_arrays(done)
 
-    gone = stage(removable(importance(style_tree(pages, html_col, url_col))), "style-trees").select(F.col("host").alias("_host"), F.col("paths").alias("_gone"))
+    tree = stage(style_tree(pages, html_col, url_col), "style-counts")  # read three times
+    gone = stage(removable(importance(tree)), "style-trees").select(F.col("host").alias("_host"), F.col("paths").alias("_gone"))
     rows = pages.select(F.struct(*[F.col(f"`{c}`") for c in pages.columns]).alias("_row"), host(F.col(url_col)).alias("_site"))
     both = rows.join(small(gone), F.col("_site") == F.col("_host"), "left")
     return both.select("_row.*", text(F.coalesce(F.col("_row")[html_col], F.lit("")), F.col("_gone")).alias(out))
