@@ -1,17 +1,23 @@
-"""Remove passages that repeat across documents, by content-defined chunks of lines.
+"""Remove passages that repeat across documents, by content-defined chunks and runs of lines.
 
 Lines are hashed, and a rolling hash over the last ``WINDOW`` line hashes ends a chunk where it is divisible by
 ``DIVISOR``; so where a passage was inserted or lines were added before it, the same chunks come back after
 a line or two.  A chunk of at least ``LEAST_LINES`` lines with visible text that occurs elsewhere is
-removed from all places but its first: the smallest document id, then the earliest line.  Chunks count as equal
-only when their bytes are: equal hashes are compared in full by ``exact_dedup``'s table, batch by batch before
-the shuffle, so a passage that a third of all documents share reaches one task once per batch.
+removed from all places but its first: the smallest document id, then the earliest line.
+
+Chunks alone lose the ends of a passage and most short ones.  With ``least_words`` every shortest run of whole lines
+with so many words is looked up too, from each line on and up to each line.  A shared passage of at least
+``least_words`` words, of one line or more, is the union of such runs inside it, so all of its lines are found.
+
+Pieces (chunks and runs) are keyed by 128 bits.  Those of one document whose first places continue each other are one span,
+and spans count as equal only when their bytes are: they are compared in full with their first place by ``exact_dedup``'s
+table, part by part before the shuffle, so a passage that a third of all documents share reaches one task once per part.
 
 Documents stay, with the lines that are left; their other columns are untouched but for the text.
 
-Edge cases: null text stays null; empty and one-line texts stay as they are; a document that repeats a chunk
-of its own keeps its first; rows that share both id and text are one document and treated alike; null ids come last
-in the order of documents; very long texts are cut whole; an empty table gives an empty result.
+Edge cases: null text stays null; empty texts stay as they are; a document that repeats a passage
+of its own keeps its first, also where the two overlap; rows that share both id and text are one document and treated alike;
+null ids come last in the order of documents; very long texts are cut whole; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -21,7 +27,8 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from seriesprep.llm.byte_bpe import slices
@@ -32,7 +39,10 @@ WINDOW = 2  # lines the boundary hash looks at
 DIVISOR = 3  # one line in so many ends a chunk
 LEAST_LINES = 2
 MOST_LINES = 64  # a chunk never grows beyond, so that runs of one line are cut too
+LEAST_WORDS = 50  # of a passage that goes wherever it lies
 FACTOR = np.uint64(0x9E3779B97F4A7C15)
+FACTORS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)  # of the two halves of a key
+CONTENT_BYTES = 4_000_000  # compared at a time before the shuffle
 
 
 def boundaries(lines: list[str]) -> list[int]:
@@ -64,84 +74,137 @@ def chunks(text: str) -> Iterator[tuple[int, int, str]]:
             yield a, b - a, "\n".join(lines[a:b])
 
 
+def runs(lines: list[str], least_words: int) -> set[tuple[int, int]]:
+    """``(first line, lines)`` of the shortest runs with ``least_words`` words from each line on and up to each line."""
+    words = np.concatenate(([0], np.cumsum([len(x.split()) for x in lines])))
+    ends = np.searchsorted(words, words[:-1] + least_words, "left")
+    starts = np.searchsorted(words, words[1:] - least_words, "right") - 1
+    found = {(a, b - a) for a, b in enumerate(ends.tolist()) if b <= len(lines)}
+    return found | {(a, b - a) for b, a in enumerate(starts.tolist(), 1) if a >= 0}
+
+
+def pieces(text: str, least_words: int | None = None) -> tuple[np.ndarray, ...]:
+    """``(first line, lines, key, mate)`` of every chunk and, with ``least_words``, every run; key and mate stand for the content."""
+    spans = {(a, n) for a, n, _ in chunks(text)}
+    lines = text.split("\n")
+    if least_words:
+        spans |= runs(lines, least_words)
+    if not spans:
+        return (np.zeros(0, np.int64),) * 4
+    first, count = np.array(sorted(spans), np.int64).T
+    keys = []
+    for seed, factor in enumerate(FACTORS):
+        hashes = np.fromiter((xxhash.xxh3_64_intdigest(x, seed) for x in lines), np.uint64, len(lines))
+        powers = np.cumprod(np.full(len(lines), factor, np.uint64))
+        back = np.cumprod(np.full(len(lines), pow(factor, -1, 1 << 64), np.uint64))
+        sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(hashes * powers, dtype=np.uint64)))
+        keys.append(((sums[first + count] - sums[first]) * back[first]).view(np.int64))
+    return first, count, *keys
+
+
 def _first_row():
     """Documents in order of id with nulls last, rows of one id told apart by the text."""
     return "id bigint, text_hash bigint"
 
 
-def chunk_rows(docs: DataFrame) -> DataFrame:
-    """``(id, text_hash, line, lines, digest)`` of every multi-line chunk, staged without its content."""
+def piece_rows(docs: DataFrame, least_words: int | None) -> DataFrame:
+    """``(id, text_hash, line, lines, key, mate)`` of every piece, staged without its content."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["id", "text_hash", "line", "lines", "digest"]
+        names = ["id", "text_hash", "line", "lines", "key", "mate"]
         for batch in batches:
             at = 0
-            ids, hashes = batch["id"].to_pylist(), batch["text_hash"].to_pylist()
             for texts in slices(batch["text"]):
-                rows: list[tuple] = []
-                for text in texts:
-                    rows += [(ids[at], hashes[at], a, n, xxhash.xxh3_128_hexdigest(c.encode("utf-8", "surrogatepass"))) for a, n, c in chunks(text)]
-                    at += 1
-                columns = list(zip(*rows)) if rows else [[]] * 5
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.string() if k == "digest" else pa.int64()) for k, c in zip(names, columns)], names)
+                found = [pieces(text, least_words) for text in texts]
+                row = pa.array(np.repeat(np.arange(at, at + len(texts)), [len(x[0]) for x in found]))
+                at += len(texts)
+                columns = [pa.array(np.concatenate(c)) for c in zip(*found)]
+                yield pa.RecordBatch.from_arrays([batch["id"].take(row), batch["text_hash"].take(row), *columns], names)
 
-    return stage(docs.mapInArrow(run, f"{_first_row()}, line bigint, lines bigint, digest string"), "line-chunks")
+    return stage(docs.mapInArrow(run, f"{_first_row()}, line bigint, lines bigint, key bigint, mate bigint"), "line-pieces")
 
 
-def _contents(docs: DataFrame, repeated: DataFrame) -> DataFrame:
-    """``(id, text_hash, line, lines, digest, content)`` of the chunks whose digest is repeated.
+def _same_place():
+    """Whether a row is its own first place."""
+    return F.col("id").eqNullSafe(F.col("first_id")) & (F.col("text_hash") == F.col("first_hash")) & (F.col("line") == F.col("first_line"))
 
-    The documents that hold such a chunk are scanned again with the list of its lines.
-    """
-    marks = repeated.groupBy("id", "text_hash").agg(F.collect_set(F.struct("line", "lines", "digest")).alias("marks"))  # chunks of one text
-    marks = stage(marks, "line-marks").select(F.col("id").alias("_id"), F.col("text_hash").alias("_hash"), "marks")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["id", "text_hash", "line", "lines", "digest", "content"]
-        for batch in batches:
-            at = 0
-            ids, hashes = batch["id"].to_pylist(), batch["text_hash"].to_pylist()
-            for texts in slices(batch["text"]):
-                rows: list[tuple] = []
-                for text in texts:
-                    lines = text.split("\n")
-                    for m in batch["marks"][at].as_py():
-                        rows.append((ids[at], hashes[at], m["line"], m["lines"], m["digest"], "\n".join(lines[m["line"] : m["line"] + m["lines"]])))
-                    at += 1
-                columns = list(zip(*rows)) if rows else [[]] * 6
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.string() if k in ("digest", "content") else pa.int64()) for k, c in zip(names, columns)], names)
+def _merged(spans: DataFrame, by: list[str]) -> DataFrame:
+    """Spans ``(line, lines)`` of each group that overlap or touch, made one."""
+    order = Window.partitionBy(*by).orderBy("line")
+    end = F.col("line") + F.col("lines")
+    apart = spans.withColumn("_reach", F.max(end).over(order.rowsBetween(Window.unboundedPreceding, -1)))
+    apart = apart.withColumn("_new", (F.col("_reach").isNull() | (F.col("line") > F.col("_reach"))).cast("bigint"))
+    part = F.sum("_new").over(order.rowsBetween(Window.unboundedPreceding, 0))
+    return apart.withColumn("_part", part).groupBy(*by, "_part").agg(F.min("line").alias("line"), (F.max(end) - F.min("line")).alias("lines")).drop("_part")
 
-    held = docs.join(small(marks), F.col("id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash")))
-    return held.select("id", "text_hash", "text", "marks").mapInArrow(run, f"{_first_row()}, line bigint, lines bigint, digest string, content string")
 
+def _pairs(cut: DataFrame) -> DataFrame:
+    """``(id, text_hash, line, lines, first_id, first_hash, first_line)``: spans of repeated pieces and where their keys come first."""
+    keys = ["key", "mate"]
+    repeated = stage(cut.groupBy(*keys).count().filter("count > 1").select(*keys), "line-repeated")
+    held = stage(cut.join(small(repeated), keys), "line-held")
+    place = F.struct(F.col("id").isNull().alias("last"), "id", "text_hash", "line")
+    firsts = stage(held.groupBy(*keys).agg(F.min(place).alias("first")), "line-firsts")
+    firsts = firsts.select(*keys, F.col("first.id").alias("first_id"), F.col("first.text_hash").alias("first_hash"), F.col("first.line").alias("first_line"))
+    later = held.join(small(firsts), keys).filter(~_same_place()).withColumn("ahead", F.col("line") - F.col("first_line"))
+    spans = _merged(later, ["id", "text_hash", "first_id", "first_hash", "ahead"])
+    return stage(spans.withColumn("first_line", F.col("line") - F.col("ahead")).drop("ahead"), "line-pairs")
 
-def _places(contents: DataFrame) -> DataFrame:
-    """``(id, text_hash, line, lines, rep, content, digest)``: equal contents of a batch share ``rep``.
 
-    Only the row that is first among them keeps the content.
+def _places(docs: DataFrame, spans: DataFrame) -> DataFrame:
+    """``(id, text_hash, line, lines, rep, digest, content)`` of spans: equal contents of a part share ``rep``.
+
+    The documents that hold a span are scanned again with the list of its lines.
+    Only the row that is first among equal ones keeps the content.
     """
+    marks = spans.distinct().groupBy("id", "text_hash").agg(F.collect_list(F.struct("line", "lines")).alias("marks"))  # spans of one text
+    marks = stage(marks, "line-marks").select(F.col("id").alias("_id"), F.col("text_hash").alias("_hash"), "marks")
     kinds = [("id", pa.int64()), ("text_hash", pa.int64()), ("line", pa.int64()), ("lines", pa.int64()), ("rep", pa.int64()), ("digest", pa.string()), ("content", pa.string())]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = batch.to_pydict()
-            place = list(zip(rows["id"], rows["text_hash"], rows["line"]))
+        row = TaskContext.get().partitionId() << 33
+
+        def part(place: list[tuple], contents: list[str]) -> pa.RecordBatch:
             n = len(place)
+            digests = [xxhash.xxh3_128_hexdigest(c.encode("utf-8", "surrogatepass")) for c in contents]
             rep, keep = [0] * n, [None] * n
-            for group in resolve(iter(zip((d * 2 for d in rows["digest"]), rows["content"], range(n))), memory=1 << 62):
+            for group in resolve(iter(zip((d * 2 for d in digests), contents, range(n))), memory=1 << 62):
                 first = min(group, key=lambda i: (place[i][0] is None, place[i][0] or 0, place[i][1], place[i][2]))
-                keep[first] = rows["content"][first]
+                keep[first] = contents[first]
                 for i in group:
-                    rep[i] = rows["row"][first]
-            columns = rows | {"rep": rep, "content": keep}
-            yield pa.RecordBatch.from_arrays([pa.array(columns[k], t) for k, t in kinds], [k for k, _ in kinds])
+                    rep[i] = row + first
+            columns = [*zip(*place), rep, digests, keep]
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, (_, t) in zip(columns, kinds)], [k for k, _ in kinds])
 
-    numbered = contents.withColumn("row", F.monotonically_increasing_id())
-    return stage(numbered.mapInArrow(run, f"{_first_row()}, line bigint, lines bigint, rep bigint, digest string, content string"), "line-places")
+        place: list[tuple] = []
+        contents: list[str] = []
+        size = 0
+        for batch in batches:
+            at = 0
+            ids, hashes = batch["id"].to_pylist(), batch["text_hash"].to_pylist()
+            for texts in slices(batch["text"]):
+                for text in texts:
+                    lines = text.split("\n")
+                    for m in batch["marks"][at].as_py():
+                        place.append((ids[at], hashes[at], m["line"], m["lines"]))
+                        contents.append("\n".join(lines[m["line"] : m["line"] + m["lines"]]))
+                        size += len(contents[-1]) + 100
+                        if size > CONTENT_BYTES:
+                            yield part(place, contents)
+                            row, size = row + len(place), 0
+                            place, contents = [], []
+                    at += 1
+        if place:
+            yield part(place, contents)
+
+    held = docs.join(small(marks), F.col("id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash")))
+    held = held.select("id", "text_hash", "text", "marks")
+    return stage(held.mapInArrow(run, f"{_first_row()}, line bigint, lines bigint, rep bigint, digest string, content string"), "line-places")
 
 
 def _later(places: DataFrame) -> DataFrame:
-    """``(id, text_hash, line, lines)`` of every occurrence but the first of its content."""
+    """``(id, text_hash, line, lines)`` of every occurrence but the first of its content, less what the first itself covers."""
     kinds = [("rep", pa.int64()), ("first_id", pa.int64()), ("first_hash", pa.int64()), ("first_line", pa.int64())]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -162,26 +225,31 @@ def _later(places: DataFrame) -> DataFrame:
 
     firsts = places.filter("content IS NOT NULL").select("digest", "content", "rep", "id", "text_hash", "line")
     groups = firsts.repartition(F.substring("digest", 1, 4)).mapInArrow(run, "rep bigint, first_id bigint, first_hash bigint, first_line bigint")
-    same = F.col("id").eqNullSafe(F.col("first_id")) & (F.col("text_hash") == F.col("first_hash")) & (F.col("line") == F.col("first_line"))
-    return places.drop("content", "digest").join(groups, "rep").filter(~same).select("id", "text_hash", "line", "lines")
+    later = places.drop("content", "digest").join(groups, "rep").filter(~_same_place())
+    own = F.col("id").eqNullSafe(F.col("first_id")) & (F.col("text_hash") == F.col("first_hash"))
+    start = F.when(own, F.greatest(F.col("line"), F.col("first_line") + F.col("lines"))).otherwise(F.col("line"))
+    return later.select("id", "text_hash", start.alias("line"), (F.col("line") + F.col("lines") - start).alias("lines"))
 
 
-def removals(docs: DataFrame, id_col="doc_id", text_col="text") -> DataFrame:
-    """``(id, text_hash, spans)``: the lines to remove from each document that repeats an earlier chunk."""
+def removals(docs: DataFrame, id_col="doc_id", text_col="text", least_words: int | None = None) -> DataFrame:
+    """``(id, text_hash, spans)``: the lines to remove from each document that repeats an earlier passage."""
     text = F.col(text_col)
     rows = docs.filter(text.isNotNull()).select(F.col(id_col).cast("bigint").alias("id"), F.xxhash64(text).alias("text_hash"), text.alias("text"))
-    cut = chunk_rows(rows)
-    counts = stage(cut.groupBy("digest").count().filter("count > 1").select("digest"), "line-repeated")
-    repeated = cut.join(small(counts), "digest")
-    later = _later(_places(_contents(rows, repeated)))
-    return later.distinct().groupBy("id", "text_hash").agg(F.sort_array(F.collect_list(F.struct("line", "lines"))).alias("spans"))
+    pairs = _pairs(piece_rows(rows, least_words))
+    firsts = pairs.select(F.col("first_id").alias("id"), F.col("first_hash").alias("text_hash"), F.col("first_line").alias("line"), "lines")
+    later = _later(_places(rows, pairs.select("id", "text_hash", "line", "lines").unionByName(firsts)))
+    spans = _merged(later, ["id", "text_hash"])
+    return spans.groupBy("id", "text_hash").agg(F.sort_array(F.collect_list(F.struct("line", "lines"))).alias("spans"))
 
 
-def deduplicate(docs: DataFrame, id_col="doc_id", text_col="text", spans: str | None = None) -> DataFrame:
-    """``docs`` with later occurrences of repeated chunks cut out of the text; ``spans`` names an optional column of the cuts."""
+def deduplicate(docs: DataFrame, id_col="doc_id", text_col="text", spans: str | None = None, least_words: int | None = None) -> DataFrame:
+    """``docs`` with later occurrences of repeated chunks cut out of the text; ``spans`` names an optional column of the cuts.
+
+    With ``least_words`` every repeated run of lines with so many words goes too, whole.
+    """
     if spans in docs.columns:
         raise ValueError(f"the table already has a column {spans}")
-    gone = stage(removals(docs, id_col, text_col), "line-removals").select(F.col("id").alias("_id"), F.col("text_hash").alias("_hash"), F.col("spans").alias("_spans"))
+    gone = stage(removals(docs, id_col, text_col, least_words), "line-removals").select(F.col("id").alias("_id"), F.col("text_hash").alias("_hash"), F.col("spans").alias("_spans"))
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.col(id_col).cast("bigint").alias("_key"), F.xxhash64(F.col(text_col)).alias("_text"))
     both = rows.join(small(gone), F.col("_key").eqNullSafe(F.col("_id")) & (F.col("_text") == F.col("_hash")), "left")
 
@@ -207,4 +275,4 @@ def deduplicate(docs: DataFrame, id_col="doc_id", text_col="text", spans: str |
 @query("op4_line_dedup")
 def op4(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return deduplicate(docs, spans="removed").withColumn("n_removed", F.aggregate("removed", F.lit(0).cast("bigint"), lambda a, x: a + x["lines"]))
+    return deduplicate(docs, spans="removed", least_words=LEAST_WORDS).withColumn("n_removed", F.aggregate("removed", F.lit(0).cast("bigint"), lambda a, x: a + x["lines"]))

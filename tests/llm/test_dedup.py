@@ -67,6 +67,28 @@ def test_line_dedup(spark, docs):
     assert line_dedup.deduplicate(empty(spark)).count() == 0
 
 
+@pytest.mark.parametrize("count", [1, 2, 3, 4, 5, 6])
+def test_planted_passages_go_whole(spark, count):
+    rng = random.Random(count)
+    line = lambda n: " ".join(f"w{rng.randrange(10**6)}" for _ in range(n))
+    rows, want = [], []
+    for i in range(12):
+        passage = [line(-(-60 // count)) for _ in range(count)]
+        for k in range(3):
+            before, after = [[line(12) for _ in range(rng.randint(0, 4))] for _ in range(2)]
+            rows.append((3 * i + k, "\n".join(before + passage + after)))
+            want.append((3 * i + k, "\n".join(before + (passage if k == 0 else []) + after)))
+    again = line(10)
+    rows += [(100, "\n".join([again] * 20)), (None, rows[0][1])]  # repeats inside a document, overlapping its first place
+    want += [(100, "\n".join([again] * 5)), (None, "")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = line_dedup.deduplicate(docs, least_words=50, spans="removed").collect()
+    assert {r["doc_id"]: r["text"] for r in got} == dict(want)
+    for r in got:
+        assert all(a["line"] + a["lines"] < b["line"] for a, b in zip(r["removed"], r["removed"][1:]))
+    assert line_dedup.deduplicate(docs.limit(0), least_words=50).count() == 0
+
+
 # --------------------------------------------------------------- components
 @pytest.mark.parametrize("task", [400_000, 20])
 def test_components(spark, task, monkeypatch):
