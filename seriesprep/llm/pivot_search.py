@@ -13,8 +13,8 @@ Blocks hold at most about ``max(BLOCK_ROWS, rows / BLOCKS)`` vectors of one cell
 rows, or many copies of one vector, is many blocks.  Block headers (at most a few per ``BLOCKS`` and pivot) are broadcast.
 
 Edge cases: vectors that are null or hold null or non-finite components take no part; shorter vectors count as
-padded with zeros; a query's own id is never its neighbour, also where rows repeat it, and equal rows with one id count once; ties go to the
-smaller id; fewer than k candidates give fewer rows; an empty table gives an empty result.  Components whose
+padded with zeros; a query's own id is never its neighbour, also where rows repeat it; equal rows with one id count once and are
+left out before blocks are formed, while different vectors of one id count each, as in the SQL; ties go to the smaller id; fewer than k candidates give fewer rows; an empty table gives an empty result.  Components whose
 products exceed 2**53 in sum raise ``OverflowError``.
 """
 
@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from seriesprep.llm.common import query, stage, table
+from seriesprep.llm.common import query, small, stage, table
 
 SCALE = 256
 TOP = 5
@@ -196,6 +196,16 @@ def _matches(pairs: DataFrame, search: Search, grow: bool) -> DataFrame:
     return pairs.mapInArrow(run, "query_id bigint, vec_id bigint, score bigint")
 
 
+def distinct_rows(vectors: DataFrame) -> DataFrame:
+    """``(id, v)`` with repeats of a row left out; only rows whose id repeats are shuffled with their vectors."""
+    ids = stage(vectors.groupBy("id").count().filter("count > 1").select("id"), "pivot-repeated")
+    n = ids.count()
+    if not n:
+        return vectors
+    once, often = (vectors.join(small(ids, n), "id", kind) for kind in ("left_anti", "left_semi"))
+    return stage(once.unionByName(often.distinct()), "pivot-distinct")
+
+
 def ranked(found: DataFrame, k: int) -> DataFrame:
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
@@ -203,6 +213,7 @@ def ranked(found: DataFrame, k: int) -> DataFrame:
 
 def search(vectors: DataFrame, queries: DataFrame, k: int = TOP) -> DataFrame:
     """``(query_id, rank, vec_id, score)`` for ``(id, v)`` tables of equal vector length."""
+    vectors, queries = distinct_rows(vectors), queries.distinct()
     n = vectors.count()
     norm = F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x)
     largest = vectors.agg(F.max(norm)).first()[0] or 0.0
@@ -216,7 +227,7 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = TOP) -> DataFrame:
     index = stage(blocked(keyed(vectors, pivots, largest, False), max(BLOCK_ROWS, -(-n // BLOCKS)), "x"), "pivot-index")
     asked = stage(keyed(queries, pivots, largest, True), "pivot-queries")
     first = stage(_matches(blocked(asked, QUERY_ROWS, "q").join(index, F.col("q_cell") == F.col("x_cell")), engine, True), "pivot-first")
-    floors = ranked(first.distinct(), k).filter(F.col("rank") == k).select(F.col("query_id").alias("id"), F.col("score").cast("double").alias("floor"))
+    floors = ranked(first, k).filter(F.col("rank") == k).select(F.col("query_id").alias("id"), F.col("score").cast("double").alias("floor"))
     known = stage(blocked(asked.join(floors, "id", "left").fillna({"floor": float("-inf")}), QUERY_ROWS, "q"), "pivot-query-blocks")
     headers = index.select("x_cell", "x_slot", "x_low", "x_high").collect()  # at most BLOCKS + PIVOTS rows
     cells, slots = np.array([h["x_cell"] for h in headers]), np.array([h["x_slot"] for h in headers])
@@ -241,7 +252,7 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = TOP) -> DataFrame:
     pairs = known.mapInArrow(reachable, "c int, s int, x_cell int, x_slot int")
     pairs = pairs.join(index, ["x_cell", "x_slot"]).join(known, (F.col("c") == F.col("q_cell")) & (F.col("s") == F.col("q_slot")))
     rest = _matches(pairs, engine, False)
-    return ranked(first.unionByName(rest).distinct(), k).select("query_id", "rank", "vec_id", "score")
+    return ranked(first.unionByName(rest), k).select("query_id", "rank", "vec_id", "score")
 
 
 SQL = """

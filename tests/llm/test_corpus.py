@@ -150,6 +150,20 @@ def test_search_equals_brute_force(spark, block, monkeypatch):
     assert pivot_search.search(vectors.limit(0), vectors.limit(0), 5).count() == 0
 
 
+def test_repeated_rows_hide_no_neighbour(spark, monkeypatch):
+    monkeypatch.setattr(pivot_search, "ANNULUS", 8)
+    rng = np.random.default_rng(6)
+    rows = [(i, rng.normal(size=6).round(2).tolist()) for i in range(200)]
+    rows += [(i, [9.0 + i / 100] * 6) for i in (300, 301, 303)] * 6  # at the top of every query, six times each
+    rows += [rows[50]] * 5 + [(7, [8.0] * 6), (7, [0.0] * 5 + [48.0]), (400, [1.0] * 6)]  # a repeated query, different vectors of one id
+    vectors = pivot_search.quantised(spark.createDataFrame(rows, "vec_id bigint, embedding array<double>"))
+    got = pivot_search.search(vectors, vectors.filter("id % 50 = 0"), 5).collect()
+    known = {(i, tuple(np.floor(256 * np.array(v)))) for i, v in rows}
+    for q, x in ((q, np.array(x)) for q, x in known if q % 50 == 0):
+        want = sorted((-int(x @ np.array(v)), i) for i, v in known if i != q)[:5]
+        assert [(r["vec_id"], r["score"]) for r in sorted((r for r in got if r["query_id"] == q), key=lambda r: r["rank"])] == [(i, -s) for s, i in want]
+
+
 # ----------------------------------------------------------- language model
 def brute_scores(rows, held):
     """The model of the docstring, written out."""
