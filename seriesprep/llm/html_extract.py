@@ -14,6 +14,8 @@ Elements whose tag, class, id or role says that they are not part of an article
 also on hosts too small for statistics; paragraphs of an ``article`` or ``main`` element
 are kept even where a site repeats its articles.  Where a page has such an element, its text is taken from there.
 
+Pages count by their html: copies of a page on one host are one page of the site.
+
 All work of a page is one bounded call; the trees are aggregates over (host, path, content), summed before the
 shuffle, so one host with most pages is no hot key.
 
@@ -189,7 +191,10 @@ def host(url) -> F.Column:
 
 
 def style_tree(pages: DataFrame, html_col="html", url_col="url") -> DataFrame:
-    """``(host, path, kind, value, pages)``: pages of a host on which a node shows a presentation or a content."""
+    """``(host, path, kind, value, pages)``: distinct pages of a host on which a node shows a presentation or a content.
+
+    Each of n rows of one host with the same html weighs 1 / n, so that copies of a page count once.
+    """
 
     def nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -197,13 +202,14 @@ def style_tree(pages: DataFrame, html_col="html", url_col="url") -> DataFrame:
             at = 0
             for texts in slices(batch["html"]):
                 for source in texts:
-                    site = batch["host"][at].as_py()
+                    site, weight = batch["host"][at].as_py(), batch["weight"][at].as_py()
                     at += 1
                     page = Page(source)
                     values = {("p", path, xxhash.xxh64_intdigest(below) >> 1) for path, below in page.children}
                     values |= {("c", path, xxhash.xxh64_intdigest(text) >> 1) for path, _, noise, text in page.blocks if not noise}
                     values.add(("", "", 0))  # the page itself
-                    seen.update((site, path, kind, value) for kind, path, value in values)
+                    for kind, path, value in values:
+                        seen[site, path, kind, value] += weight
             rows = list(seen)
             for a in range(0, len(rows), 50_000):
                 part = rows[a : a + 50_000]
@@ -211,8 +217,11 @@ def style_tree(pages: DataFrame, html_col="html", url_col="url") -> DataFrame:
                 yield pa.RecordBatch.from_pydict({"host": columns[0], "path": columns[1], "kind": columns[2], "value": columns[3], "pages": [seen[r] for r in part]})
 
     sources = pages.select(host(F.col(url_col)).alias("host"), F.coalesce(F.col(html_col), F.lit("")).alias("html"))
-    counted = sources.mapInArrow(nodes, "host string, path string, kind string, value bigint, pages bigint")
-    return counted.groupBy("host", "path", "kind", "value").agg(F.sum("pages").alias("pages"))
+    sources = sources.withColumn("key", F.xxhash64("html")).withColumn("mate", F.xxhash64(F.lit(1), F.col("host"), F.col("html")))
+    copies = stage(sources.groupBy("key", "mate").count().filter("count > 1"), "style-copies")
+    weighed = sources.join(small(copies), ["key", "mate"], "left").select("host", "html", (1 / F.coalesce("count", F.lit(1))).alias("weight"))
+    counted = weighed.mapInArrow(nodes, "host string, path string, kind string, value bigint, pages double")
+    return counted.groupBy("host", "path", "kind", "value").agg(F.round(F.sum("pages")).cast("bigint").alias("pages"))
 
 
 def importance(tree: DataFrame) -> DataFrame:

@@ -130,6 +130,19 @@ def test_low_importance_branches_go(spark):
         html_extract.extract(pages, out="host")
 
 
+def test_copies_of_a_page_weigh_once(spark):
+    body = "<html><body><div class='x'><p>Subscribe to us today</p></div><div class='content'><p>story {0} tells {0}</p></div></body></html>"
+    rows = [(i, "http://most.example/", body.format(0 if i < 80 else i)) for i in range(100)]  # most pages are copies of one
+    rows += [(200 + i, "http://all.example/", body.format(0)) for i in range(30)]
+    rows += [(300 + i, None, body.format(i)) for i in (0, 1)]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string").repartition(5)
+    got = {r["page_id"]: r["text"].split("\n") for r in html_extract.extract(pages).collect()}
+    assert all(got[i] == [f"story {0 if i < 80 else i} tells {0 if i < 80 else i}"] for i in range(100))
+    assert all("story 0 tells 0" in got[200 + i] for i in range(30))
+    counts = html_extract.style_tree(pages).filter("kind = ''").collect()
+    assert {r["host"]: r["pages"] for r in counts} == {"most.example": 21, "all.example": 1, "": 2}
+
+
 # ------------------------------------------------------------------- search
 @pytest.mark.parametrize("block", [2048, 16])
 def test_search_equals_brute_force(spark, block, monkeypatch):
