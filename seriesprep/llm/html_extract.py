@@ -10,8 +10,8 @@ each page; what remains is cut into blocks, one line each.
     presentation(node) entropy of its child sequences over pages, in logarithms to the base of their number
     importance         (1 - DAMP) * presentation + DAMP * content
 
-Elements whose tag, class, id or role says that they are not part of an article are removed on any site,
-also on hosts too small for statistics; paragraphs of an ``article`` or ``main`` element
+Elements whose tag, role, or a whole class or id says that they are not part of an article are removed on any site,
+also on hosts too small for statistics; names that may be a topic (related, legal, search) are left to the tree; paragraphs of an ``article`` or ``main`` element
 are kept even where a site repeats its articles.  Where a page has such an element, its text is taken from there.
 
 Pages count by their html: copies of a page on one host are one page of the site.
@@ -55,12 +55,20 @@ CLOSED_BY_OWN = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"t
 
 NOISE_TAGS = RAW | set("head nav footer aside form button menu dialog label input".split())
 MAIN_TAGS = {"article", "main"}
-NOISE_NAME = re.compile(
-    r"(?:^|[\s_-])(?:ads?|adverts?|advertisements?|advertising|banners?|breadcrumbs?|comments?|comment-?list|replies|discussion|cookies?|consent|disclaimers?|footers?|headers?|masthead|"
-    r"menus?|navs?|navbar|navigation|newsletters?|notices?|notifications?|pagination|pager|popups?|modals?|promos?|promoted|promotions?|related|recommend(?:ed|ations)?|"
-    r"share|sharing|sidebars?|skip|social|sponsors?|sponsored|subscribe|toolbar|widgets?|copyright|legal|login|signup|search)(?:$|[\s_-])",
-    re.I,
+# Names that tell no topic and no layout: they remove an element by themselves.  Others (related, search, legal, discussion,
+# comments of a review, notices) are left to the style tree.
+NOISE_NAMES = set(
+    "ad ads advert adverts advertisement advertisements advertising banner banners breadcrumb breadcrumbs comment comments replies cookie cookies consent footer footers "
+    "masthead menu menus nav navs navbar navigation newsletter newsletters pagination pager popup popups modal modals promo promos promoted share sharing "
+    "sidebar sidebars skip social sponsor sponsors sponsored subscribe toolbar widget widgets login signup".split()
 )
+# Words that may stand beside such a name in one class or id without changing what it says.
+BESIDE = NOISE_NAMES | set(
+    "area bar block box bottom buttons center column form global group inner inline item items left link links list main mobile outer page panel post primary "
+    "right row secondary section site slot sticky text top unit user users header headers".split()
+)
+HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
+WHOLE = {"html", "body", "article", "main"}
 NOISE_ROLES = set("navigation banner contentinfo complementary search form dialog alert menu menubar".split())
 
 MARK = re.compile(r"<!--.*?(?:-->|$)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
@@ -68,6 +76,26 @@ RAW_ENDS = {tag: re.compile(rf"</{tag}\s*>", re.I) for tag in RAW}
 NAMES = re.compile(r"(?:^|\s)(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 
 
+def noise_name(own: dict[str, str], tag: str, main: bool) -> bool:
+    """Whether class or id name the element as no part of an article.
+
+    Each class counts as a whole: modifiers such as ``with-sidebar`` or ``no-ads`` say nothing, for a word beside the name
+    changes it.  Headings are never named away, nor is a section of an article whose id is its topic.
+    """
+    if tag in WHOLE or tag in HEADINGS:
+        return False
+    for kind in ("class", "id"):
+        if kind == "id" and main and tag == "section":
+            continue
+        for name in own.get(kind, "").lower().split():
+            words = [w for w in re.split(r"[_-]+", name) if w and not w.isdigit()]
+            if not NOISE_NAMES.isdisjoint(words) and BESIDE.issuperset(words):
+                return True
+            if not main and words and words[-1] in ("header", "headers") and BESIDE.issuperset(words):
+                return True
+    return False
+
+
 class Page:
     """One pass over the marks of a page: its blocks and its elements.
 
@@ -152,8 +180,7 @@ class Page:
         main = main or tag in MAIN_TAGS
         noise = noise or tag in NOISE_TAGS or own.get("role") in NOISE_ROLES or path in self.removed
         noise = noise or tag == "header" and not main
-        if own and tag not in ("html", "body", "article", "main"):
-            noise = noise or any(NOISE_NAME.search(own[k]) for k in ("class", "id") if k in own)
+        noise = noise or bool(own) and noise_name(own, tag, main)
         self.open.append([tag, path, main, noise, []])
 
     def _imply(self, tag: str) -> None:

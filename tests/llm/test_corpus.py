@@ -117,6 +117,16 @@ def test_page_parts():
     assert text("<div>a</div></p></b><p>b") == "a\nb"
 
 
+def test_names_of_topics_and_layouts_keep_text():
+    text = lambda s: html_extract.Page(s).text()
+    for kept in ("<section id='discussion'><p>x</p></section>", "<h2 id='legal'>x</h2>", "<h2 id='related-work' class='nav'>x</h2>", "<div id='search'><p>x</p></div>", "<section id='comments'>x</section>"):
+        assert text(page(kept)) == "x"
+    for name in ("page with-sidebar", "has-header", "no-ads", "ad-free", "without-footer wide"):
+        assert text(f"<body><div class='{name}'><p>x</p></div></body>") == "x"
+    for name in ("sidebar", "left-sidebar", "wide sidebar-2", "user_comments", "site-header", "ad", "share-buttons"):
+        assert text(f"<body><div class='{name}'><p>x</p></div><p>y</p></body>") == "y"
+
+
 def test_low_importance_branches_go(spark):
     body = "<html><body><div class='x'><p>Subscribe to us today</p></div><div class='y'><p>story {0} tells {0}</p></div></body></html>"
     rows = [(i, f"http://site.example/{i}", body.format(i), "k") for i in range(30)]
