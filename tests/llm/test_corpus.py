@@ -266,6 +266,14 @@ def test_stages_keep_columns_and_rows(spark):
     assert out.count() == docs.count() and out.filter("NOT round_trip").count() == 0
 
 
+def test_near_duplicates_go_by_row(spark):
+    long = lambda k: " ".join(f"w{k}x{i}" for i in range(60))
+    rows = [(1, long(1)), (2, long(1) + " tail"), (2, long(2)), (None, long(3)), (None, long(3)), (None, long(4)), (3, long(4)), (4, None), (4, "")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    kept = sorted(map(tuple, corpus_pipeline.drop_near_duplicates(spark, docs, SF).collect()), key=str)
+    assert kept == sorted([(1, long(1)), (2, long(2)), (None, long(3)), (3, long(4)), (4, None), (4, "")], key=str)
+
+
 def test_stages_take_an_empty_table(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").limit(0)
     for _, step in corpus_pipeline.STAGES:
