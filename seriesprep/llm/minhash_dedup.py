@@ -239,7 +239,9 @@ def _across(rows: DataFrame, found: DataFrame, tables: DataFrame) -> DataFrame:
     found = stage(_inside(_tiled(leaders)).unionByName(found), "minhash-leaders")
     rooted = stage(_rooted(rows, found), "minhash-rooted")
     places = stage(rooted.select("key", "cluster", "tile", "root"), "minhash-places")
-    held = tables.join(small(places), "key").groupBy("cluster", "bucket", "tile").agg(F.min("root").alias("r1"), F.max("root").alias("r2"))
+    keys = tables.groupBy("key").agg(F.collect_list("bucket").alias("buckets"))  # at most SIDE * SIDE of a class
+    held = keys.join(small(places), "key").select("cluster", "tile", "root", F.explode("buckets").alias("bucket"))
+    held = held.groupBy("cluster", "bucket", "tile").agg(F.min("root").alias("r1"), F.max("root").alias("r2"))
     # Tables that still tie different groups together, and the pairs of tiles that meet there.
     mixed_tables = held.groupBy("cluster", "bucket").agg(F.min("r1").alias("m1"), F.max("r2").alias("m2")).filter("m1 <> m2").select("bucket")
     held = stage(held.join(small(stage(mixed_tables, "minhash-open")), "bucket", "left_semi"), "minhash-held")
@@ -266,12 +268,14 @@ def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
             for texts in slices(batch["text"]):
                 sets = [shingle_set(t, hashes, SIZE) for t in texts]
                 right = [i for i, s in enumerate(sets) if signature(s) == signs[at + i]]  # equal ids may hold other texts
-                part = batch.slice(at, len(sets)).drop_columns(["text", "s1", "s2"]).take(pa.array(right, pa.int64()))
-                yield part.append_column("tokens", pa.array([sets[i].tobytes() for i in right], pa.binary()))
+                if right:
+                    part = batch.slice(at, len(sets)).drop_columns(["text", "s1", "s2"]).take(pa.array(right))
+                    part = part.append_column("halves", pa.array([h.astype("<u8").tobytes() for h in halves([sets[i] for i in right])], pa.binary()))
+                    yield part.append_column("tokens", pa.array([sets[i].tobytes() for i in right], pa.binary()))
                 at += len(sets)
 
     joined = docs.join(small(wanted.withColumnRenamed("doc_id", "_id")), F.col("doc_id").eqNullSafe(F.col("_id")))
-    found = joined.select("key", "cluster", "n", "halves", "text", "s1", "s2").mapInArrow(run, "key bigint, cluster bigint, n bigint, halves binary, tokens binary")
+    found = joined.select("key", "cluster", "n", "text", "s1", "s2").mapInArrow(run, "key bigint, cluster bigint, n bigint, halves binary, tokens binary")
     return found.dropDuplicates(["key"])  # rows may repeat id and text
 
 
@@ -286,7 +290,7 @@ def near_duplicates(docs: DataFrame, id_col="doc_id", text_col="text") -> DataFr
     firsts = nodes.filter("n > 0").groupBy("s1", "s2").agg(*facts)
     classes = stage(firsts.withColumn("key", F.monotonically_increasing_id()), "minhash-classes")
     tables = _table_rows(classes)
-    wanted = stage(classes.join(small(_clusters(tables)), "key").drop("copies"), "minhash-wanted")
+    wanted = stage(classes.join(small(_clusters(tables)), "key").drop("copies", "halves"), "minhash-wanted")
     rows = stage(_tiled(_sets(texts, wanted)), "minhash-sets")
     found = stage(_inside(rows), "minhash-links")
     large = rows.filter("tiles > 1")
