@@ -16,11 +16,15 @@ of any length is one chunk at most; an empty table gives an empty result; other
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import hashlib
+import json
 import os
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -32,9 +36,11 @@ from seriesprep.llm.byte_bpe import slices
 from seriesprep.llm.common import query, stage, table, text_or_empty
 
 BYTE_VOCABULARY, PIECE_VOCABULARY = "byte_bpe_50k.json", "piece_bpe_32k.model"
-CHUNK_LINKS = 1_500_000
+CHUNK_LINKS = 600_000
+PIECE_LINKS = 100_000  # rows of the table stay small, whatever a chunk holds
+DOCUMENT_LINKS = 20  # a document weighs so much more than its links
 SLICE_BYTES = 250_000
-BUCKETS = 1024  # a bucket holds the pairs of 1 in BUCKETS ids of the second tokenizer
+BUCKETS = 512  # a bucket holds the pairs of 1 in BUCKETS ids of the second tokenizer
 MERGE_PAIRS = 2_000_000
 
 
@@ -58,18 +64,45 @@ class Side:
 
 
 class ByteSide(Side):
+    """Latin texts without very long runs are encoded by ranks, which gives the same ids several times faster."""
+
+    # The published split pattern of byte-level vocabularies.
+    PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+    LATIN = re.compile("[\0-\u024f]*").fullmatch
+    LONG_RUN = re.compile(r"\s{400}|\S{2000}").search
+
     def __init__(self, spec: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs the tasks
-        from tokenizers import Tokenizer
+        import tiktoken
 
-        self.tk = Tokenizer.from_str(spec)
-        self.tk.encode_special_tokens = True
+        self.spec, self.tk = spec, None
+        parts = json.loads(spec)
         byte = byte_letters()
-        names = {i: t for t, i in self.tk.get_vocab(with_added_tokens=True).items()}
-        super().__init__([bytes(byte[c] for c in names.get(i, "")) for i in range(max(names) + 1)])
+        names = {i: t for t, i in parts["model"]["vocab"].items()}
+        special = {x["id"]: x["content"] for x in parts["added_tokens"]}
+        names.update(special)
+        super().__init__([bytes(byte[c] for c in names[i]) if i in names and i not in special else names.get(i, "").encode() for i in range(max(names) + 1)])
+        ranks = {self.bytes[i]: i for i in names if i not in special}
+        # Ranks say all there is only if every merge makes the next id and nothing else changes the text.
+        merged = [ranks[b"".join(bytes(byte[c] for c in x) for x in (m.split(" ") if isinstance(m, str) else m))] for m in parts["model"]["merges"]]
+        plain = parts["normalizer"] is None and parts["pre_tokenizer"] == {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True}
+        self.by_rank = tiktoken.Encoding("ranks", pat_str=self.PATTERN, mergeable_ranks=ranks, special_tokens={}) if plain and merged == sorted(merged) else None
+
+    def library(self):
+        """The tokenizer itself, loaded when a text needs it."""
+        if self.tk is None:
+            from tokenizers import Tokenizer
+
+            self.tk = Tokenizer.from_str(self.spec)
+            self.tk.encode_special_tokens = True
+        return self.tk
 
     def encode(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tk.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)]
+        out: list = [self.by_rank.encode_ordinary(" " + t) if self.by_rank and self.LATIN(t) and not self.LONG_RUN(t) else None for t in texts]
+        rest = [i for i, x in enumerate(out) if x is None]
+        for i, e in zip(rest, self.library().encode_batch_fast([" " + texts[i] for i in rest], add_special_tokens=False) if rest else ()):
+            out[i] = e.ids
+        return out
 
 
 class PieceSide(Side):
@@ -151,7 +184,7 @@ def aligned(texts: list[str], a: Side, b: Side, writer: Writer) -> Aligned:
         if not text or a.joined(ids_a[k]) != raw or b.joined(ids_b[k]) != raw:
             ids_a[k], ids_b[k] = [], []
     n_a, n_b = (np.array([len(x) for x in ids], np.int64) for ids in (ids_a, ids_b))
-    flat_a, flat_b = (np.fromiter((i for x in ids for i in x), np.int64, int(n.sum())) for ids, n in ((ids_a, n_a), (ids_b, n_b)))
+    flat_a, flat_b = (np.fromiter(chain.from_iterable(ids), np.int64, int(n.sum())) for ids, n in ((ids_a, n_a), (ids_b, n_b)))
     out = Aligned(n_a, n_b, np.zeros(len(texts), np.int64), np.zeros(len(texts), np.int64), [b""] * len(texts), flat_a[:0], flat_b[:0])
     full = np.flatnonzero(n_a)
     if not len(full):
@@ -206,7 +239,7 @@ def _bucket(code: np.ndarray, size_a: int) -> np.ndarray:
 
 
 def _chunk_rows(chunk: int, facts: list, parts: list[np.ndarray], size_a: int) -> Iterator[pa.RecordBatch]:
-    """One row about the documents of a chunk and their links, and a row per bucket of its distinct pairs."""
+    """One row about the documents of a chunk, rows with pieces of their links, and a row per bucket of its distinct pairs."""
     code = np.concatenate(parts)
     distinct, place, n = np.unique(code, return_inverse=True, return_counts=True)
     bucket = _bucket(distinct, size_a)
@@ -218,20 +251,31 @@ def _chunk_rows(chunk: int, facts: list, parts: list[np.ndarray], size_a: int) -
     starts = np.flatnonzero(np.diff(bucket, prepend=-1))
     stops = [*starts[1:].tolist(), len(bucket)]
     spans = list(zip(starts.tolist(), stops))
+    pieces = [place[x : x + PIECE_LINKS] for x in range(0, len(place), PIECE_LINKS)]
     # Two planes of 16 bits, as the upper one compresses well.
-    planes = (place & np.uint32(0xFFFF)).astype("<u2").tobytes() + (place >> np.uint32(16)).astype("<u2").tobytes()
+    planes = [(x & np.uint32(0xFFFF)).astype("<u2").tobytes() + (x >> np.uint32(16)).astype("<u2").tobytes() for x in pieces]
     yield pa.RecordBatch.from_pydict({
-        "kind": pa.array([0] + [1] * len(spans), pa.int32()),
-        "chunk": pa.array([chunk] * (1 + len(spans)), pa.int64()),
-        "bucket": pa.array([-1, *bucket[starts].tolist()], pa.int32()),
-        "pairs": pa.array([np.concatenate(facts).tobytes(), *(distinct[x:y].tobytes() for x, y in spans)], pa.binary()),
-        "data": pa.array([planes, *(n[x:y].tobytes() for x, y in spans)], pa.binary()),
+        "kind": pa.array([0] * (1 + len(pieces)) + [1] * len(spans), pa.int32()),
+        "chunk": pa.array([chunk] * (1 + len(pieces) + len(spans)), pa.int64()),
+        "bucket": pa.array([*range(-1 - len(pieces), 0), *bucket[starts].tolist()], pa.int32()),
+        "pairs": pa.array([np.concatenate(facts).tobytes(), *[None] * len(pieces), *(distinct[x:y].tobytes() for x, y in spans)], pa.binary()),
+        "data": pa.array([None, *planes, *(n[x:y].tobytes() for x, y in spans)], pa.binary()),
     })
 
 
 ROWS = "kind int, chunk bigint, bucket int, pairs binary, data binary"
 
 
+def _give_back() -> None:
+    """Return freed memory to the machine: a worker serves later tasks too."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except OSError:  # another C library
+        pass
+
+
 def _code_type(size_a: int, size_b: int) -> str:
     return "<u4" if size_a * size_b <= 1 << 32 else "<u8"
 
@@ -260,12 +304,14 @@ def _chunks(docs: DataFrame, shared) -> DataFrame:
                 about["sha"] = np.frombuffer(b"".join(hashlib.sha256(g).digest() for g in x.groups), "V32")
                 facts.append(about)
                 parts.append((x.linked_b.astype(dtype) * np.array(size_a, dtype) + x.linked_a.astype(dtype)).astype(dtype))
-                held += len(parts[-1])
+                held += len(parts[-1]) + DOCUMENT_LINKS * len(texts)
                 if held > CHUNK_LINKS:
                     yield from _chunk_rows(chunk, facts, parts, size_a)
                     chunk, facts, parts, held = chunk + 1, [], [], 0
         if facts:
             yield from _chunk_rows(chunk, facts, parts, size_a)
+        del a, b, writer, facts, parts
+        _give_back()
 
     return docs.mapInArrow(run, ROWS)
 
@@ -335,10 +381,13 @@ def _scored(chunks: DataFrame) -> DataFrame:
     """The documents of every chunk with the sums over their links."""
 
     def run(group: pa.Table) -> pa.Table:
-        group = group.sort_by("bucket")  # the documents first, then the answers in the order of the chunk's pairs
+        group = group.sort_by("bucket")  # the documents first, then their links, then the answers in the order of the chunk's pairs
         facts = np.frombuffer(group["pairs"][0].as_py(), FACTS)
-        planes = np.frombuffer(group["data"][0].as_py(), "<u2").reshape(2, -1).astype(np.int64)
-        answer = np.frombuffer(b"".join(group["data"].to_pylist()[1:]), "<i8")[planes[0] | planes[1] << 16]
+        first = int(np.searchsorted(group["bucket"].to_numpy(), 0))
+        data = group["data"].to_pylist()
+        planes = [np.frombuffer(x, "<u2").reshape(2, -1).astype(np.int64) for x in data[1:first]]
+        place = np.concatenate([np.zeros(0, np.int64), *[low | high << 16 for low, high in planes]])
+        answer = np.frombuffer(b"".join(data[first:]), "<i8")[place]
         stops = np.cumsum(facts["n_links"])
         per = lambda x: np.diff(np.concatenate(([0], np.cumsum(x)))[stops], prepend=0)
         none = facts["n_a"] == 0
@@ -358,7 +407,7 @@ def align(docs: DataFrame, spec: str, model: bytes, id_col="doc_id", text_col="t
     shared = docs.sparkSession.sparkContext.broadcast((spec, model))  # two vocabulary files
     a, b = ByteSide(spec), PieceSide(model)
     dtype = _code_type(len(a.bytes), len(b.bytes))
-    rows = stage(_chunks(_texts(docs, id_col, text_col), shared), "alignment-chunks", ("kind",)).select("kind", "chunk", "bucket", "pairs", "data")
+    rows = stage(_chunks(_texts(docs, id_col, text_col), shared), "alignment-chunks")
     blocks = rows.filter("kind = 1")
     totals = stage(_totals(blocks, len(a.bytes), dtype), "alignment-totals")
     answers = _answers(totals, blocks, dtype)

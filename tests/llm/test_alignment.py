@@ -77,6 +77,7 @@ def texts_with_surprises():
 def test_align_equals_brute_force(spark, docs, vocabularies, chunk, monkeypatch):
     monkeypatch.setattr(ta, "CHUNK_LINKS", chunk)
     monkeypatch.setattr(ta, "MERGE_PAIRS", chunk)
+    monkeypatch.setattr(ta, "PIECE_LINKS", chunk // 2)
     rows = [(r["doc_id"], r["text"]) for r in docs.collect() if len(r["text"] or "") < 20_000] + list(enumerate(texts_with_surprises(), 1000))
     table = spark.createDataFrame(rows, "doc_id bigint, text string").selectExpr("*", "1 chunk", "2 bucket", "3 kind").repartition(4)
     got = sorted((tuple(r) for r in ta.align(table, *vocabularies).collect()), key=str)
@@ -110,3 +111,12 @@ def test_terminals_over_long_chains():
 
 def test_code_type():
     assert ta._code_type(50_257, 32_000) == "<u4" and ta._code_type(1 << 20, 1 << 20) == "<u8"
+
+
+def test_ranks_give_the_ids_of_the_library(vocabularies):
+    side = ta.ByteSide(vocabularies[0])
+    rng = random.Random(8)
+    latin = "".join(map(chr, range(0x250)))
+    texts = ["".join(rng.choice(latin if k % 2 else "aehtil  '\n\t1.,sdé") for _ in range(rng.randint(0, 200))) for k in range(3000)] + [" " * 5000, "y" * 5000, "\n" * 399 + "z"]
+    assert side.by_rank is not None
+    assert side.encode(texts) == [e.ids for e in side.library().encode_batch([" " + t for t in texts], add_special_tokens=False)]
