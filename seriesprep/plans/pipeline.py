@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..layout import BLOCK_LEN, KEY, attach, cut_lineage, longest_series, split_blocks, to_blocks
+from ..arrange import Part, arrange, co_located
+from ..layout import BLOCK_LEN, KEY, attach, cut_lineage, split_blocks, to_blocks
 from ..operators import channels, screen as screening, stats
 from ..operators.repair import repair
 from ..params import Params
@@ -48,25 +50,33 @@ def profile(
 
     ``features`` names columns or groups of ``plans.features``; only the groups
     that own a requested column are computed.  ``None`` asks for everything.
-    Every group is one job whose result, one row per series, is stored before the
+    The points are arranged once and every group reads that arrangement.  Every group
+    is one job whose result, one row per series, is stored before the
     join; the final join only meets those small tables.
     """
-    longest = longest_series(points, longest)
-    points = complete_series(points)
-    report = core_report(points, params, longest=longest)
-    parts = library.computed(points, features, longest)
-    if parts:
-        # independent jobs, a few at a time, so that the tail of one does not idle the cluster
-        with ThreadPoolExecutor(CONCURRENT_GROUPS) as pool:
-            report, *parts = pool.map(cut_lineage, [report, *parts])
-    for part in parts:
-        report = report.join(part, KEY, "left")
+    report = None
+    with co_located(points.sparkSession):
+        for part in arrange(points, longest):
+            rows = _profiled(part, features, params)
+            report = rows if report is None else report.unionByName(rows)
     if features is None:
         return report
     wanted = library.columns_of(features)
     return report.select(*[c for c in report.columns if c in KEY or c in wanted or c in library.CORE])
 
 
+def _profiled(part: Part, features: list[str] | None, params: Params) -> DataFrame:
+    report = core_report(part.points, params, longest=part.longest, placed=part.placed)
+    parts = library.computed(part.points, features, part.longest)
+    if parts:
+        # independent jobs, a few at a time, so that the tail of one does not idle the cluster
+        with ThreadPoolExecutor(CONCURRENT_GROUPS) as pool:
+            report, *parts = pool.map(cut_lineage, [report, *parts])
+    for columns in parts:
+        report = report.join(columns, KEY, "left")
+    return report
+
+
 def screen(points: DataFrame, report: DataFrame, params: Params = Params()) -> DataFrame:
     """Verdict per series from a stored or fresh report and the raw points."""
     table = report if "Trend" in report.columns else short_report(report)
@@ -86,16 +96,21 @@ def clean(points: DataFrame, params: Params = Params(), longest: int | None = No
     The zero check is an AND with the screen, so it runs first and only live
     series are profiled.
     """
-    longest = longest_series(points, longest)
-    points = complete_series(points)
+    with co_located(points.sparkSession):
+        cleaned = [_cleaned(part, params) for part in arrange(points, longest)]
+    return reduce(DataFrame.unionByName, cleaned)
+
+
+def _cleaned(part: Part, params: Params) -> DataFrame:
+    points = part.points
     zeros = screening.zero_flags(points, params)
     sizes = points.groupBy(*KEY).agg(F.count("*").alias("n"))
     live = _only(points, sizes.join(zeros.filter("NOT zero_or_constant").select(*KEY), KEY, "left_semi"))
     # the report is written once: the screen and repair read it, the profile must not run again
-    report = cut_lineage(short_report(core_report(live, params, longest=longest)))
+    report = cut_lineage(short_report(core_report(live, params, longest=part.longest, placed=part.placed)))
     kept = report.filter(screening.passes_quality(params)).select(*KEY)
     alive = _only(points, sizes.join(kept, KEY, "left_semi"))
-    return repair(alive, params, longest=longest).select(*KEY, "t", F.col("repaired").alias("v"))
+    return repair(alive, params, longest=part.longest).select(*KEY, "t", F.col("repaired").alias("v"))
 
 
 def profile_groups(points: DataFrame, params: Params = Params(), longest: int | None = None) -> DataFrame:

@@ -146,14 +146,16 @@ def core_blockwise(
 
 
 def core_report(
-    points: DataFrame, params: Params = Params(), block_len: int = BLOCK_LEN, longest: int | None = None
+    points: DataFrame, params: Params = Params(), block_len: int = BLOCK_LEN, longest: int | None = None, placed: bool = False
 ) -> DataFrame:
-    """CORE_COLUMNS for points of mixed lengths; ``longest`` skips the length probe."""
+    """CORE_COLUMNS for points of mixed lengths; ``longest`` skips the length probe, and points that are
+    ``placed`` by series (see ``arrange``) are not moved."""
     points = within(points, longest)
     longest = longest_series(points, longest)
     size = divergence.aligned_block_len((params.short_window, params.long_window), block_len)
     # without a count of its own, so that the partitions follow the size of the data
-    spread = points.withColumn("block", F.floor(F.col("t") / size)).repartition(*BLOCK_KEY)
+    spread = points.withColumn("block", F.floor(F.col("t") / size))
+    spread = spread if placed else spread.repartition(*BLOCK_KEY)
     blocks = to_blocks(spread, block_len=size)
     whole = (F.col("block") == 0) & (F.size("values") < size)
     out = core_whole(blocks.filter(whole).select(*KEY, "values"), params)
