@@ -11,7 +11,6 @@ from ..layout import (
     BLOCK_LEN,
     KEY,
     attach,
-    cut_lineage,
     in_order,
     longest_series,
     merge_block_arrays,
@@ -19,48 +18,58 @@ from ..layout import (
     to_blocks,
     within,
 )
+from .fourier import split_transform
 from .order import describe
 
 
+# A series longer than a block keeps so many lags in its row; what asks for more reads them as rows.
+ROW_LAGS = 4096
+
+
 def lag_sums(points: DataFrame, block_len: int = BLOCK_LEN, longest: int | None = None) -> DataFrame:
-    """``n``, ``sd`` and ``s``: s[k] = sum over t of (v[t]-mean)(v[t+k]-mean), k below min(n, block_len)."""
+    """``n``, ``sd`` and ``s``: s[k] = sum over t of (v[t]-mean)(v[t+k]-mean).
+
+    All lags k < n of a series that fits one block, the first ROW_LAGS of a longer one.
+    """
     points = within(points, longest)
     stats = describe(points)
+    several = longest_series(points, longest) > block_len
+    most = min(ROW_LAGS, block_len)
     blocks = attach(
-        to_blocks(points, after=block_len, block_len=block_len), stats.select(*KEY, "n", "mean"), block_len
+        to_blocks(points, after=most if several else 0, block_len=block_len), stats.select(*KEY, "n", "mean"), block_len
     )
-    count = F.least(F.col("n"), F.lit(block_len))
+    count = F.when(F.col("n") <= block_len, F.col("n")).otherwise(F.lit(most))
     own = F.slice("values", 1, block_len)
     parts = blocks.select(
         *BLOCK_KEY, "n", kernels.lag_products(own, "values", "mean", F.lit(0), count).alias("s")
     )
-    if longest_series(points, longest) <= block_len:
-        parts = parts.drop("block")
-    else:
-        parts = merge_block_arrays(parts, "s", block_len)
+    parts = merge_block_arrays(parts, "s", block_len) if several else parts.drop("block")
     return parts.join(stats.select(*KEY, "sd"), KEY)
 
 
-def farther_lag_sums(points: DataFrame, stats: DataFrame, hop: int, block_len: int = BLOCK_LEN) -> DataFrame:
-    """Lag products for lags hop*block_len .. (hop+1)*block_len - 1 of the series in ``stats``.
+def lag_rows(points: DataFrame, wanted: DataFrame, block_len: int = BLOCK_LEN) -> DataFrame:
+    """``(KEY, n, t, s)``: the lag product ``s`` of every lag t < n, one row each, for the series in ``wanted``
+    (KEY, n, mean).
 
-    Each block meets the two blocks ``hop`` and ``hop + 1`` positions later.
+    The products are the transform of the squared modulus of the series' own transform, padded to twice
+    its length; both are spread over many rows, so no series is ever one array.
     """
-    blocks = attach(to_blocks(points, block_len=block_len), stats, block_len).select(
-        *BLOCK_KEY, "n", "mean", "values"
-    )
-
-    def shifted(by: int, name: str) -> DataFrame:
-        return blocks.select(*KEY, (F.col("block") - by).alias("block"), F.col("values").alias(name))
-
-    both = blocks.join(shifted(hop, "r1"), BLOCK_KEY).join(shifted(hop + 1, "r2"), BLOCK_KEY, "left")
-    right = F.concat("r1", F.coalesce("r2", F.array().cast("array<double>")))
-    parts = both.select(
-        *BLOCK_KEY,
-        "n",
-        kernels.lag_products("values", right, "mean", F.lit(0), F.lit(block_len)).alias("s"),
-    )
-    return merge_block_arrays(parts, "s", block_len)
+    rows = attach(split_blocks(points, block_len=block_len), wanted.select(*KEY, "n", "mean"), block_len)
+    padded = rows.withColumn("e", F.ceil(F.log2(F.col("n") * 2)).cast("int"))
+    cell = [*KEY, "n", "e", "t"]
+    spectrum = split_transform(padded.select(*cell, (F.col("v") - F.col("mean")).alias("re"), F.lit(0.0).alias("im")))
+    power = F.col("re") * F.col("re") + F.col("im") * F.col("im")
+    back = split_transform(spectrum.select(*cell, power.alias("re"), F.lit(0.0).alias("im")))
+    # the power is real and even, so its forward transform is the inverse one but for the scale
+    return back.filter("t < n").select(*KEY, "n", "t", (F.col("re") / F.pow(F.lit(2.0), F.col("e"))).alias("s"))
+
+
+def beside(rows: DataFrame, column: str, block_len: int = BLOCK_LEN) -> DataFrame:
+    """Add ``before`` and ``after``: ``column`` of the neighbouring t, whatever block it lies in."""
+    w = in_order()
+    spread = split_blocks(rows, before=1, after=1, block_len=block_len)
+    near = spread.withColumn("before", F.lag(column).over(w)).withColumn("after", F.lead(column).over(w))
+    return near.filter("own").drop("own")
 
 
 def first_index(s: Column, test) -> Column:
@@ -74,78 +83,65 @@ def first_nonpositive(
 ) -> DataFrame:
     """tau: first lag whose autocorrelation is <= 0, the length if there is none.
 
-    Lags beyond one block only exist for series longer than a block; those still
-    unresolved are searched one block of lags at a time.
+    Series that don't have it among the lags of their row take the least of their lag rows.
     """
     points = within(points, longest)
-    found = sums.select(*KEY, "n", "sd", first_index(F.col("s"), lambda x, _: x <= 0).alias("tau"))
-    longest = longest_series(points, longest)
-    if longest <= block_len:
-        return found.withColumn("tau", F.coalesce("tau", F.col("n")))
-    out = found.filter(F.col("tau").isNotNull())
-    todo = found.filter(F.col("tau").isNull())
-    hop = 1
-    while hop * block_len < longest:
-        stats = todo.filter(F.col("n") > hop * block_len).join(describe(points).select(*KEY, "mean"), KEY)
-        s = farther_lag_sums(points, stats.select(*KEY, "n", "mean"), hop, block_len)
-        hit = s.select(*KEY, (first_index(F.col("s"), lambda x, _: x <= 0) + hop * block_len).alias("hit"))
-        step = todo.drop("tau").join(hit, KEY, "left").withColumnRenamed("hit", "tau")
-        step = cut_lineage(step)
-        out = out.unionByName(step.filter(F.col("tau").isNotNull()))
-        todo = step.filter(F.col("tau").isNull())
-        longest = todo.filter(F.col("sd") > 0).agg(F.max("n")).first()[0] or 0
-        hop += 1
-    return out.unionByName(todo.withColumn("tau", F.col("n")))
-
-
-def extended(
-    points: DataFrame, sums: DataFrame, wanted: Column, block_len: int = BLOCK_LEN, longest: int | None = None
-) -> DataFrame:
-    """``sums`` with as many lags as ``wanted`` (a condition on its columns) asks for.
-
-    ``lag_sums`` ends at one block; the series that want more get one further block
-    of lags at a time, up to their length.
-    """
-    longest = longest_series(points, longest)
-    hop = 1
-    while hop * block_len < longest:
-        todo = sums.filter((F.col("n") > hop * block_len) & wanted).select(*KEY, "n")
-        if todo.isEmpty():
-            break
-        stats = todo.join(describe(points).select(*KEY, "mean"), KEY)
-        left = F.least(F.col("n") - hop * block_len, F.lit(block_len)).cast("int")
-        more = farther_lag_sums(points, stats, hop, block_len).select(*KEY, F.slice("s", F.lit(1), left).alias("more"))
-        longer = F.when(F.col("more").isNull(), F.col("s")).otherwise(F.concat("s", "more"))
-        sums = cut_lineage(sums.join(more, KEY, "left").withColumn("s", longer).drop("more"))
-        hop += 1
-    return sums
+    found = sums.select(*KEY, "n", "sd", F.size("s").alias("m"), first_index(F.col("s"), lambda x, _: x <= 0).alias("tau"))
+    if longest_series(points, longest) <= block_len:
+        return found.drop("m").withColumn("tau", F.coalesce("tau", F.col("n")))
+    open_ = found.filter(F.col("tau").isNull() & (F.col("m") < F.col("n"))).select(*KEY)
+    hits = lag_rows(points, describe(points).join(open_, KEY, "left_semi"), block_len).filter("s <= 0")
+    hits = hits.groupBy(*KEY).agg(F.min("t").alias("hit"))
+    return found.join(hits, KEY, "left").select(*KEY, "n", "sd", F.coalesce("tau", "hit", "n").alias("tau"))
+
+
+def _acf_columns(ok: Column, cross: Column, low: Column, zero: Column) -> list[Column]:
+    n = F.col("n")
+    return [
+        F.when(ok, F.coalesce(cross, n.cast("double"))).alias("CO_f1ecac"),
+        F.when(ok, F.coalesce(low, n)).cast("double").alias("CO_FirstMin_ac"),
+        F.when(ok, F.coalesce(low, n - 1)).cast("double").alias("firstmin_ac"),
+        F.when(ok, F.coalesce(zero, F.lit(0))).cast("double").alias("firstzero_ac"),
+    ]
 
 
 def acf_features(
     points: DataFrame, sums: DataFrame, block_len: int = BLOCK_LEN, longest: int | None = None
 ) -> DataFrame:
-    """L5, L6, L31 from the lag products of each series; constant series give NULL."""
-    s0 = F.get("s", F.lit(0))
-    low = first_index(F.col("s"), lambda x, i: (i > 0) & (x < F.get("s", i - 1)) & (x < F.get("s", i + 1)))
-    early = first_index(F.slice("s", 2, F.size("s")), lambda x, _: x < 0)  # below zero is below 1/e too
-    sums = extended(points, sums, (F.col("sd") > 0) & (s0 > 0) & (low.isNull() | early.isNull()), block_len, longest)
+    """L5, L6, L31 from the lag products of each series; constant series give NULL.
+
+    Series longer than a block whose row of lags ends too early are read as lag rows.
+    """
     ac = F.when(F.col("sd") > 0, F.transform("s", lambda x: x / F.get("s", F.lit(0))))
     rows = sums.select(*KEY, "n", ac.alias("ac"))
-    fall = first_index(F.slice("ac", 1, F.greatest(F.col("n") - 1, F.lit(1)).cast("int")), lambda x, i: (i > 0) & (x < F.exp(F.lit(-1.0))))
+    bound = F.exp(F.lit(-1.0))
+    fall = first_index(F.slice("ac", 1, F.greatest(F.col("n") - 1, F.lit(1)).cast("int")), lambda x, i: (i > 0) & (x < bound))
     a, b = F.get("ac", (fall - 1).cast("int")), F.get("ac", fall.cast("int"))
-    cross = fall - 1 + (F.exp(F.lit(-1.0)) - a) / (b - a)
     low = first_index(
         F.col("ac"), lambda x, i: (i > 0) & (x < F.get("ac", i - 1)) & (x < F.get("ac", i + 1))
     )
-    ok = F.col("ac").isNotNull()
-    zero = first_index(F.col("ac"), lambda x, i: x < 0)
-    return rows.select(
-        *KEY,
-        F.when(ok, F.coalesce(cross, F.col("n").cast("double"))).alias("CO_f1ecac"),
-        F.when(ok, F.coalesce(low, F.col("n"))).cast("double").alias("CO_FirstMin_ac"),
-        F.when(ok, F.coalesce(low, F.col("n") - 1)).cast("double").alias("firstmin_ac"),
-        F.when(ok, F.coalesce(zero, F.lit(0))).cast("double").alias("firstzero_ac"),
+    zero = first_index(F.col("ac"), lambda x, i: x < 0)  # below zero is below 1/e too
+    columns = _acf_columns(F.col("ac").isNotNull(), fall - 1 + (bound - a) / (b - a), low, zero)
+    if longest_series(points, longest) <= block_len:
+        return rows.select(*KEY, *columns)
+    ended = F.coalesce((F.size("ac") < F.col("n")) & (low.isNull() | zero.isNull()), F.lit(False))
+    rows = rows.withColumn("ended", ended)
+    rest = describe(points).join(rows.filter("ended").select(*KEY), KEY, "left_semi")
+    lags = lag_rows(points, rest, block_len)
+    first = lags.filter("t = 0").select(*KEY, "n", F.col("s").alias("s0"))
+    scaled = attach(split_blocks(lags.select(*KEY, "t", "s"), block_len=block_len), first, block_len).drop("block", "own")
+    near = beside(scaled.withColumn("ac", F.col("s") / F.col("s0")), "ac", block_len)
+    x, past, i = F.col("ac"), F.col("before"), F.col("t")
+    falls = F.when((i > 0) & (i <= F.col("n") - 2) & (x < bound), F.struct("t", "before", "ac"))
+    found = near.groupBy(*KEY).agg(
+        F.first("n").alias("n"),
+        F.min(falls).alias("fall"),
+        F.min(F.when((i > 0) & (x < past) & (x < F.col("after")), i)).alias("low"),
+        F.min(F.when(x < 0, i)).alias("zero"),
     )
+    a, b = F.col("fall.before"), F.col("fall.ac")
+    far = _acf_columns(F.lit(True), F.col("fall.t") - 1 + (bound - a) / (b - a), F.col("low"), F.col("zero"))
+    return rows.filter("NOT ended").select(*KEY, *columns).unionByName(found.select(*KEY, *far))
 
 
 def difference(points: DataFrame, block_len: int = BLOCK_LEN) -> DataFrame:

@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 
 from ..functions import kernels
 from ..layout import BLOCK_KEY, BLOCK_LEN, KEY, attach, in_order, longest_series, split_blocks, to_blocks
-from .autocorr import extended, difference, first_nonpositive, lag_sums, lagged_correlations
+from .autocorr import beside, difference, first_nonpositive, lag_rows, lag_sums, lagged_correlations
 from .fourier import long_power
 from .order import describe, quantiles
+from .repair import nearest
 from .smoother import long_smooth
 
 
@@ -262,8 +263,18 @@ def periodicity(points: DataFrame, block_len: int = BLOCK_LEN, longest: int | No
     rest = rest.select(*KEY, "t", (F.col("v") - trend).alias("v"))
     longest = longest_series(points, longest)
     top = F.ceil(F.col("n") / 3).cast("int")
-    s = extended(rest, lag_sums(rest, block_len, longest), F.size("s") <= top, block_len, longest)
-    ac = s.select(*KEY, F.transform(F.slice("s", 2, top), lambda x, i: x / (F.col("n") - i - 1)).alias("ac"))
+    s = lag_sums(rest, block_len, longest)
+    name = "PD_PeriodicityWang_th0_01"
+    out = _first_peak(s.filter(F.col("n") <= block_len), top).select(*KEY, F.col("out").alias(name))
+    if longest > block_len:
+        far = _first_peak_of_rows(rest, s.filter(F.col("n") > block_len).select(*KEY), top, block_len)
+        out = out.unionByName(far.select(*KEY, F.col("out").alias(name)))
+    return points.select(*KEY).distinct().join(out, KEY, "left")
+
+
+def _first_peak(sums: DataFrame, top: Column) -> DataFrame:
+    """``out``: the first qualifying peak among lags 1..top of lag product arrays, 0 if there is none."""
+    ac = sums.select(*KEY, F.transform(F.slice("s", 2, top), lambda x, i: x / (F.col("n") - i - 1)).alias("ac"))
     marked = F.aggregate(
         F.sequence(F.lit(1), F.greatest(F.size("ac") - 2, F.lit(1))),
         F.struct(F.lit(None).cast("double").alias("low"), F.lit(None).cast("int").alias("out")),
@@ -281,8 +292,18 @@ def periodicity(points: DataFrame, block_len: int = BLOCK_LEN, longest: int | No
         )
         .otherwise(a),
     )
-    out = ac.select(*KEY, F.coalesce(marked["out"], F.lit(0)).cast("double").alias("PD_PeriodicityWang_th0_01"))
-    return points.select(*KEY).distinct().join(out, KEY, "left")
+    return ac.select(*KEY, F.coalesce(marked["out"], F.lit(0)).cast("double").alias("out"))
+
+
+def _first_peak_of_rows(points: DataFrame, keys: DataFrame, top: Column, block_len: int) -> DataFrame:
+    """The same from lag rows; the trough before a lag is carried over the blocks of lags."""
+    lags = lag_rows(points, describe(points).join(keys, KEY, "left_semi"), block_len).filter((F.col("t") >= 1) & (F.col("t") <= top))
+    ac = lags.select(*KEY, "t", (F.col("s") / (F.col("n") - F.col("t"))).alias("ac"))
+    x, a, b = F.col("ac"), F.col("before"), F.col("after")
+    rows = nearest(beside(ac, "ac", block_len), F.when((x < a) & (x < b), x), "trough", "_next", inclusive=False)
+    peak = (x > a) & (x > b) & (x - F.col("trough") >= 0.01) & (x >= 0)
+    first = rows.groupBy(*KEY).agg(F.min(F.when(peak, F.col("t") - 1)).alias("first"))
+    return first.select(*KEY, F.coalesce("first", F.lit(0)).cast("double").alias("out"))
 
 
 def embedding_misfit(points: DataFrame, block_len: int = BLOCK_LEN, longest: int | None = None) -> DataFrame:

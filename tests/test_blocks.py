@@ -15,6 +15,15 @@ def periods(spark, p, longest=None, block_len=10**6):
     return spectrum.tested_periods(spectrum.candidate_periods(spectrum.spectrum(p, block_len, longest)))
 
 
+def all_lags(p, b):
+    """Every lag of every series: from the rows of whole series, or from lag rows."""
+    if b > 1000:
+        return autocorr.lag_sums(p, b).select("series_id", "channel", "n", "s")
+    lags = autocorr.lag_rows(p, order.describe(p), b)
+    packed = lags.groupBy("series_id", "channel", "n").agg(F.sort_array(F.collect_list(F.struct("t", "s"))).alias("ts"))
+    return packed.select("series_id", "channel", "n", F.col("ts.s").alias("s"))
+
+
 CASES = {
     "quantiles": lambda p, b: order.quantiles(p, {"a": 0.25, "b": 0.5, "c": 0.9}, block_len=b),
     "midpoint": lambda p, b: order.quantiles(p, {"a": 1 / 3, "b": 2 / 3}, midpoint=True, block_len=b),
@@ -23,7 +32,7 @@ CASES = {
     "repair": lambda p, b: repair.repair(p, block_len=b),
     "lag_sums_short": lambda p, b: autocorr.lag_sums(p, b).selectExpr("series_id", "channel", "n", "sd", "slice(s, 1, 30) AS s"),
     "acf_features": lambda p, b: autocorr.acf_features(p, autocorr.lag_sums(p, b), b),
-    "lag_sums_full": lambda p, b: autocorr.extended(p, autocorr.lag_sums(p, b), F.lit(True), b),
+    "lag_sums_full": lambda p, b: all_lags(p, b),
     "periodicity": lambda p, b: library.periodicity(p, b),
     "acf_pacf": lambda p, b: autocorr.acf_pacf(p, b),
     "gaussian": lambda p, b: autocorr.gaussian_information(p, b),
