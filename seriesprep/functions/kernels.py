@@ -6,6 +6,7 @@ merges with a ``groupBy``; none of them sees more than one block and its halo.
 
 from __future__ import annotations
 
+import math
 from functools import lru_cache
 
 import numpy as np
@@ -185,9 +186,12 @@ def _tricube(pos: float, left: int, right: int, q: int, n: int, span: float) ->
     return w
 
 
+DENSE_WIDTH = 256  # up to this width edge weights are kept as rows; wider ones are summed from moments
+
+
 @lru_cache(maxsize=512)
 def _loess_plan(n: int, q: int, span: float):
-    """Edge weight rows and the interior weights of a loess of width q on n points."""
+    """Edge weight rows and the interior weights of a loess of width q <= DENSE_WIDTH on n points."""
     if n <= q:
         return np.array([_tricube(i, 0, n - 1, q, n, span) for i in range(n)]), None, None
     half = (q - 1) // 2
@@ -195,9 +199,57 @@ def _loess_plan(n: int, q: int, span: float):
     return head, _tricube(half, 0, q - 1, q, n, span), head[::-1, ::-1]
 
 
+def _edge_fits(y: np.ndarray, count: int, q: int, n: int, span: float) -> np.ndarray:
+    """Local-linear fits at positions 0..count-1 of the last axis of ``y``, all of it being the window.
+
+    The weight (1 - (d/h)**3)**3 is a polynomial of degree 9 in the distance on either side, so its sums
+    against 1, x, x**2, y and x*y are differences of prefix sums of x**k and x**k * y: no row of weights is formed.
+    x runs from -1/2 to 1/2 over the window, which keeps the powers well scaled.
+    """
+    width = y.shape[-1]
+    i = np.arange(count)
+    h = np.maximum(i, width - 1 - i) + ((q - n) // 2 if q > n else 0)
+    scale = float(max(width - 1, 1))
+    x = np.arange(width) / scale - 0.5
+    powers = x ** np.arange(12)[:, None]
+
+    def prefix(z: np.ndarray) -> np.ndarray:
+        # extended precision: ten powers of a running sum are subtracted from each other
+        return np.concatenate([np.zeros((*z.shape[:-1], 1)), np.cumsum(z, axis=-1, dtype=np.longdouble)], axis=-1)
+
+    plain = prefix(powers)
+    weighted = [prefix(powers[k] * y) for k in range(11)]
+    near, far = np.floor(0.001 * h).astype(np.int64), np.floor(0.999 * h).astype(np.int64)
+    clip = lambda j: np.clip(j, 0, width)
+    at = x[:count]
+    hs = h / scale
+    # (first, end, sign): left flank, centre of weight one, right flank
+    flanks = [(clip(i - far), clip(i - near), -1.0), (clip(i - near), clip(i + near + 1), 0.0), (clip(i + near + 1), clip(i + far + 1), 1.0)]
+    s = [np.zeros(count, np.longdouble) for _ in range(3)]
+    t = [np.zeros((*y.shape[:-1], count), np.longdouble) for _ in range(2)]
+    for lo, hi, sign in flanks:
+        hi = np.maximum(lo, hi)
+        steps = [plain[k][hi] - plain[k][lo] for k in range(12)]
+        turns = [w[..., hi] - w[..., lo] for w in weighted]
+        for r, c in ((0, 1.0), (3, -3.0), (6, 3.0), (9, -1.0)) if sign else ((0, 1.0),):
+            for k in range(r + 1):  # binomial terms of (x - at)**r
+                f = c * sign**r / hs**r * math.comb(r, k) * (-at) ** (r - k)
+                for m in range(3):
+                    s[m] += f * steps[k + m]
+                for m in range(2):
+                    t[m] += f * turns[k + m]
+    centre = s[1] / s[0]
+    spread = s[2] / s[0] - centre * centre
+    tilted = np.sqrt(np.maximum(spread, 0)) * scale > 0.001 * span
+    slope = np.where(tilted, (at - centre) / np.where(tilted, spread, 1.0), 0.0)
+    return (t[0] / s[0] + slope * (t[1] / s[0] - centre * t[0] / s[0])).astype(float)
+
+
 def _loess(y: np.ndarray, q: int, span: float) -> np.ndarray:
     """Smooth the last axis of ``y``."""
     n = y.shape[-1]
+    if min(n, q) > DENSE_WIDTH:
+        return _wide_loess(y, q, span)
     head, mid, tail = _loess_plan(n, q, span)
     if mid is None:
         return y @ head.T
@@ -205,12 +257,31 @@ def _loess(y: np.ndarray, q: int, span: float) -> np.ndarray:
     if q <= 48:
         inner = sum(w * y[..., k : k + m] for k, w in enumerate(mid))
     else:
-        size = 1 << int(n + q).bit_length()
-        spec = np.fft.rfft(y, size) * np.fft.rfft(mid[::-1], size)
-        inner = np.fft.irfft(spec, size)[..., q - 1 : q - 1 + m]
+        inner = _correlated(y, mid)
     return np.concatenate([y[..., :q] @ head.T, inner, y[..., -q:] @ tail.T], axis=-1)
 
 
+def _correlated(y: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """Sums of every full window against the weights."""
+    n, q = y.shape[-1], len(weights)
+    size = 1 << int(n + q).bit_length()
+    spec = np.fft.rfft(y, size) * np.fft.rfft(weights[::-1], size)
+    return np.fft.irfft(spec, size)[..., q - 1 : n]
+
+
+def _wide_loess(y: np.ndarray, q: int, span: float) -> np.ndarray:
+    """The same smooth in memory proportional to the series, whatever the width."""
+    n = y.shape[-1]
+    level = y.mean(axis=-1, keepdims=True)  # fits are exact on constants: less to cancel
+    y = y - level
+    if n <= q:
+        return _edge_fits(y, n, q, n, span) + level
+    half = (q - 1) // 2
+    head = _edge_fits(y[..., :q], half, q, n, span)
+    tail = _edge_fits(y[..., : -q - 1 : -1], half, q, n, span)[..., ::-1]
+    return np.concatenate([head, _correlated(y, _tricube(half, 0, q - 1, q, n, span)), tail], axis=-1) + level
+
+
 def _moving_mean(y: np.ndarray, w: int) -> np.ndarray:
     c = np.cumsum(y, axis=-1)
     c = np.concatenate([np.zeros((*y.shape[:-1], 1)), c], axis=-1)
