@@ -82,6 +82,17 @@ def later_blocks() -> Window:
     return Window.partitionBy(*KEY).orderBy("block").rowsBetween(1, Window.unboundedFollowing)
 
 
+def running_sum(rows: DataFrame, column: str, out: str, block_len: int = BLOCK_LEN) -> DataFrame:
+    """Add ``out``: the sum of ``column`` over all rows of the series up to this t.
+
+    A scan inside each block, and one over a summary row per block.
+    """
+    scanned = split_blocks(rows, block_len=block_len).drop("own").withColumn("_in", F.sum(column).over(in_order()))
+    ends = scanned.groupBy(*BLOCK_KEY).agg(F.max_by("_in", "t").alias("_end"))
+    base = ends.select(*BLOCK_KEY, F.coalesce(F.sum("_end").over(earlier_blocks()), F.lit(0.0)).alias("_base"))
+    return scanned.join(base, BLOCK_KEY).withColumn(out, F.col("_in") + F.col("_base")).drop("_in", "_base", "block")
+
+
 def to_blocks(
     points: DataFrame, before: int | Column = 0, after: int | Column = 0, block_len: int = BLOCK_LEN
 ) -> DataFrame:

@@ -87,26 +87,11 @@ def long_cells(points: DataFrame, sizes: DataFrame, block_len: int) -> DataFrame
     return back.select(*KEY, "n", "t", amp.alias("amp"))
 
 
-def long_amplitudes(points: DataFrame, sizes: DataFrame, block_len: int) -> DataFrame:
-    """``n`` and ``amps`` for the series in ``sizes``, all bins in one array."""
-    return (
-        long_cells(points, sizes, block_len)
-        .groupBy(*KEY, "n")
-        .agg(F.sort_array(F.collect_list(F.struct("t", "amp"))).alias("ta"))
-        .select(*KEY, "n", F.col("ta.amp").alias("amps"))
-    )
-
-
 def long_power(points: DataFrame, sizes: DataFrame, block_len: int) -> DataFrame:
-    """``n`` and ``power``: |F_k|^2 of a zero-mean series padded to a power of two, k = 0 .. half."""
+    """One row per bin ``t`` with ``power`` = |F_k|^2 of a zero-mean series padded to a power of two, and ``half``, the last bin."""
     exponent = F.ceil(F.log2(F.col("n"))).cast("int")
     rows = attach(split_blocks(points, block_len=block_len), sizes, block_len).withColumn("e", exponent)
     cells = split_transform(rows.select(*KEY, "n", "e", "t", F.col("v").alias("re"), F.lit(0.0).alias("im")))
-    half = F.pow(F.lit(2.0), F.col("e") - 1)
-    p = F.col("re") * F.col("re") + F.col("im") * F.col("im")
-    return (
-        cells.filter(F.col("t") <= half)
-        .groupBy(*KEY, "n")
-        .agg(F.sort_array(F.collect_list(F.struct("t", p.alias("p")))).alias("tp"))
-        .select(*KEY, "n", F.col("tp.p").alias("power"))
-    )
+    half = F.pow(F.lit(2.0), F.col("e") - 1).cast("bigint")
+    power = F.col("re") * F.col("re") + F.col("im") * F.col("im")
+    return cells.select(*KEY, "n", "t", half.alias("half"), power.alias("power")).filter("t <= half")

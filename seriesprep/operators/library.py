@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import kernels
-from ..layout import BLOCK_KEY, BLOCK_LEN, KEY, attach, in_order, longest_series, split_blocks, to_blocks
+from ..layout import BLOCK_KEY, BLOCK_LEN, KEY, attach, in_order, longest_series, running_sum, split_blocks, to_blocks
 from .autocorr import beside, difference, first_nonpositive, lag_rows, lag_sums, lagged_correlations
 from .fourier import long_power
 from .order import describe, quantiles
@@ -176,25 +176,41 @@ def heterogeneity(points: DataFrame, block_len: int = BLOCK_LEN, longest: int |
 
 
 # ----------------------------------------------------------------- spectrum
-def spectral_entropy(spectra: DataFrame) -> DataFrame:
-    """Entropy of the normalised two-sided power, 0.001 of it spread evenly."""
+def spectral_entropy(spectra: DataFrame, bins: DataFrame | None = None, block_len: int = BLOCK_LEN) -> DataFrame:
+    """Entropy of the normalised two-sided power, 0.001 of it spread evenly.
+
+    ``spectra`` has the amplitudes of one-block series as arrays, ``bins`` those of longer ones as rows.
+    """
     power = F.transform(F.slice("amps", 2, F.greatest(F.size("amps") - 1, F.lit(1))), lambda a: a * a)
     rows = spectra.filter(F.size("amps") >= 3).withColumn("p", power).withColumn("total", _total(F.col("p")))
-    bins = F.size("p") * 2
-    share = lambda x: x / (F.col("total") * 2) * 0.999 + F.lit(0.001) / bins
-    h = F.aggregate("p", F.lit(0.0), lambda s, x: s - share(x) * F.log(share(x)) * 2)
-    out = rows.filter(F.col("total") > 0).select(*KEY, F.least(F.lit(1.0), h / F.log(bins.cast("double"))).alias("entropy"))
-    return spectra.select(*KEY).join(out, KEY, "left")
+    sides = F.size("p") * 2
+    share = lambda x, total, sides: x / (total * 2) * 0.999 + F.lit(0.001) / sides
+    part = lambda x, total, sides: share(x, total, sides) * F.log(share(x, total, sides)) * 2
+    h = F.aggregate("p", F.lit(0.0), lambda s, x: s - part(x, F.col("total"), sides))
+    level = lambda h, sides: F.least(F.lit(1.0), h / F.log(sides.cast("double"))).alias("entropy")
+    out = spectra.select(*KEY).join(rows.filter(F.col("total") > 0).select(*KEY, level(h, sides)), KEY, "left")
+    if bins is None:
+        return out
+    p = bins.filter("t >= 1").select(*KEY, "n", "t", (F.col("amp") * F.col("amp")).alias("p"))
+    totals = p.groupBy(*KEY, "n").agg(F.sum("p").alias("total"), F.count("*").alias("m"))
+    full = attach(split_blocks(p.drop("n"), block_len=block_len), totals.filter("total > 0 AND m >= 2"), block_len)
+    far = full.groupBy(*KEY).agg(F.first("m").alias("m"), (-F.sum(part(F.col("p"), F.col("total"), F.col("m") * 2))).alias("h"))
+    far = totals.select(*KEY).join(far.select(*KEY, level(F.col("h"), F.col("m") * 2)), KEY, "left")
+    return out.unionByName(far)
 
 
-def log_periodogram(spectra: DataFrame) -> DataFrame:
+def log_periodogram(spectra: DataFrame, bins: DataFrame | None = None) -> DataFrame:
     """L27 (``hurst``): 0.5 + slope of the log power on -2 log(2 sin(w/2)), lowest sqrt(n) bins."""
     m = F.floor(F.sqrt("n")).cast("int")
-    rows = spectra.select(*KEY, "n", F.posexplode(F.slice("amps", 2, m)).alias("i", "a")).filter("a > 0")
-    w = F.lit(2.0) * F.pi() * (F.col("i") + 1) / F.col("n")
+    rows = spectra.select(*KEY, "n", F.posexplode(F.slice("amps", 2, m)).alias("i", "a")).select(*KEY, "n", (F.col("i") + 1).cast("bigint").alias("k"), "a")
+    keys = spectra.select(*KEY)
+    if bins is not None:
+        rows = rows.unionByName(bins.filter((F.col("t") >= 1) & (F.col("t") <= m)).select(*KEY, "n", F.col("t").alias("k"), F.col("amp").alias("a")))
+        keys = keys.unionByName(bins.filter("t = 0").select(*KEY))
+    w = F.lit(2.0) * F.pi() * F.col("k") / F.col("n")
     x = F.log(F.sin(w / 2) * 2) * -2
-    fit = rows.groupBy(*KEY).agg((F.regr_slope(F.log(F.col("a") * F.col("a")), x) + 0.5).alias("hurst"))
-    return spectra.select(*KEY).join(fit, KEY, "left")
+    fit = rows.filter("a > 0").groupBy(*KEY).agg((F.regr_slope(F.log(F.col("a") * F.col("a")), x) + 0.5).alias("hurst"))
+    return keys.join(fit, KEY, "left")
 
 
 def welch_features(points: DataFrame, block_len: int = BLOCK_LEN, longest: int | None = None) -> DataFrame:
@@ -203,16 +219,10 @@ def welch_features(points: DataFrame, block_len: int = BLOCK_LEN, longest: int |
     stats = describe(z).select(*KEY, "n", "mean")
     blocks = attach(to_blocks(z, block_len=block_len), stats.filter(F.col("n") <= block_len), block_len)
     short = blocks.select(*KEY, "n", kernels.padded_power("values", "mean").alias("power"))
-    longest = longest_series(points, longest)
-    both = short
-    if longest > block_len:
-        both = short.unionByName(long_power(z, stats.filter(F.col("n") > block_len).select(*KEY, "n"), block_len))
     last = F.size("power") - 1
-    scale = F.transform(
-        "power",
-        lambda p, i: p / F.col("n") / (F.lit(2.0) * F.pi()) * F.when((i > 0) & (i < last), 2.0).otherwise(1.0),
-    )
-    rows = both.withColumn("last", last).withColumn("sw", scale).withColumn("total", _total(F.col("sw")))
+    weight = lambda p, n, i, last: p / n / (F.lit(2.0) * F.pi()) * F.when((i > 0) & (i < last), 2.0).otherwise(1.0)
+    scale = F.transform("power", lambda p, i: weight(p, F.col("n"), i, last))
+    rows = short.withColumn("last", last).withColumn("sw", scale).withColumn("total", _total(F.col("sw")))
     dw = F.pi() / F.col("last")
     fifth = _total(F.slice("sw", F.lit(1), F.floor(F.size("sw") / 5).cast("int"))) * dw
     found = F.aggregate(
@@ -220,9 +230,19 @@ def welch_features(points: DataFrame, block_len: int = BLOCK_LEN, longest: int |
         F.struct(F.lit(0.0).alias("sum"), F.lit(0).alias("k")),
         lambda a, x: F.struct((a["sum"] + x).alias("sum"), (a["k"] + (a["sum"] + x <= F.col("total") * 0.5).cast("int")).alias("k")),
     )
-    out = rows.select(
-        *KEY, fifth.alias("SP_Summaries_welch_rect_area_5_1"), (found["k"] * dw).alias("SP_Summaries_welch_rect_centroid")
-    )
+    names = "SP_Summaries_welch_rect_area_5_1", "SP_Summaries_welch_rect_centroid"
+    out = rows.select(*KEY, fifth.alias(names[0]), (found["k"] * dw).alias(names[1]))
+    if longest_series(points, longest) > block_len:
+        # the bins of a long series are rows: sums over them, and the running power for the median
+        bins = long_power(z, stats.filter(F.col("n") > block_len).select(*KEY, "n"), block_len)
+        bins = bins.select(*KEY, "t", F.col("half").alias("last"), weight(F.col("power"), F.col("n"), F.col("t"), F.col("half")).alias("sw"))
+        low = F.sum(F.when(F.col("t") < F.floor((F.col("last") + 1) / 5), F.col("sw")))
+        sums = bins.groupBy(*KEY, "last").agg(F.sum("sw").alias("total"), F.coalesce(low, F.lit(0.0)).alias("low"))
+        scanned = running_sum(bins.drop("last"), "sw", "power", block_len)
+        known = sums.select(*KEY, "total", (F.col("last") + 1).alias("n"))
+        below = attach(split_blocks(scanned, block_len=block_len), known, block_len).filter(F.col("power") <= F.col("total") * 0.5)
+        far = sums.join(below.groupBy(*KEY).agg(F.count("*").alias("k")), KEY, "left")
+        out = out.unionByName(far.select(*KEY, (F.col("low") * dw).alias(names[0]), (F.coalesce("k", F.lit(0)) * dw).alias(names[1])))
     return points.select(*KEY).distinct().join(out, KEY, "left")
 
 

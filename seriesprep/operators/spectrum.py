@@ -8,14 +8,13 @@ from pyspark.sql import functions as F
 from ..functions import kernels
 from ..functions.scalars import DEFAULT_PERIODS, adjust_period, bin_period, period_limit
 from ..layout import BLOCK_LEN, KEY, in_order, longest_series, split_blocks, to_blocks, within
-from .fourier import long_amplitudes, long_cells
+from .fourier import long_cells
 
 
 def spectrum(points: DataFrame, block_len: int = BLOCK_LEN, longest: int | None = None) -> DataFrame:
-    """MATH2: ``n`` and ``amps`` (bin k at index k) per series.
+    """MATH2: ``n`` and ``amps`` (bin k at index k) of every series that fits one block.
 
-    A series of one block is transformed inside its row; a longer one by a
-    transform that is itself split over rows and columns.
+    The bins of longer series are rows and never one array, see ``long_bins`` and ``spectrum_bins``.
     """
     points = within(points, longest)
     longest = longest_series(points, longest)
@@ -25,8 +24,24 @@ def spectrum(points: DataFrame, block_len: int = BLOCK_LEN, longest: int | None
         return blocks.select(*KEY, n.alias("n"), kernels.amplitudes("values").alias("amps"))
     sizes = points.groupBy(*KEY).agg(F.count("*").alias("n"))
     whole = blocks.join(sizes.filter(F.col("n") <= block_len), KEY)
-    short = whole.select(*KEY, "n", kernels.amplitudes("values").alias("amps"))
-    return short.unionByName(long_amplitudes(points, sizes.filter(F.col("n") > block_len), block_len))
+    return whole.select(*KEY, "n", kernels.amplitudes("values").alias("amps"))
+
+
+def long_bins(points: DataFrame, block_len: int = BLOCK_LEN, longest: int | None = None) -> DataFrame | None:
+    """``(KEY, n, t, amp)``: one row per bin t of every series longer than a block; None if there can't be any."""
+    points = within(points, longest)
+    if longest_series(points, longest) <= block_len:
+        return None
+    sizes = points.groupBy(*KEY).agg(F.count("*").alias("n"))
+    return long_cells(points, sizes.filter(F.col("n") > block_len), block_len)
+
+
+def spectrum_bins(points: DataFrame, block_len: int = BLOCK_LEN, longest: int | None = None) -> DataFrame:
+    """MATH2 as rows: ``(KEY, n, k, amp)`` for series of any length."""
+    whole = spectrum(points, block_len, longest).select(*KEY, "n", F.posexplode("amps").alias("k", "amp"))
+    whole = whole.withColumn("k", F.col("k").cast("bigint"))
+    far = long_bins(points, block_len, longest)
+    return whole if far is None else whole.unionByName(far.withColumnRenamed("t", "k"))
 
 
 def peak_list(amps: Column, fmin: float = 0.0, compat: bool = False) -> Column:

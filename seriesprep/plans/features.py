@@ -55,10 +55,10 @@ GROUPS: dict[str, tuple[list[str], Callable]] = {
         lambda p, s, m: autocorr.acf_pacf(p),
     ),
     "arch": (["arch_stat"], lambda p, s, m: library.arch_statistic(p)),
-    "entropy": (["entropy"], lambda p, s, m: library.spectral_entropy(s("spectra"))),
+    "entropy": (["entropy"], lambda p, s, m: library.spectral_entropy(s("spectra"), s("bins"))),
     "flat_spots": (["flat_spots"], lambda p, s, m: symbolic.flat_spots(p)),
     "holt": (["alpha", "beta"], lambda p, s, m: library.holt_parameters(p)),
-    "hurst": (["hurst"], lambda p, s, m: library.log_periodogram(s("spectra"))),
+    "hurst": (["hurst"], lambda p, s, m: library.log_periodogram(s("spectra"), s("bins"))),
     "tiles": (["lumpiness", "tile_stability"], lambda p, s, m: library.tile_features(p).withColumnRenamed("stability", "tile_stability")),
     "nonlinearity": (["nonlinearity"], lambda p, s, m: library.nonlinearity(p)),
     "unitroot": (["unitroot_kpss", "unitroot_pp"], lambda p, s, m: unitroot.unitroot_stats(p, s("sums"), longest=m)),
@@ -90,11 +90,12 @@ def columns_of(features: list[str]) -> set[str]:
 def computed(points: DataFrame, features: list[str] | None = None, longest: int | None = None) -> list[DataFrame]:
     """One DataFrame per needed group, all keyed by series and channel."""
     longest = longest_series(points, longest)
-    shared: dict[str, DataFrame] = {}
+    makers = {"sums": autocorr.lag_sums, "spectra": spectrum.spectrum, "bins": spectrum.long_bins}
+    shared: dict[str, DataFrame | None] = {}
 
-    def supply(name: str) -> DataFrame:
+    def supply(name: str) -> DataFrame | None:
         if name not in shared:
-            shared[name] = autocorr.lag_sums(points, longest=longest) if name == "sums" else spectrum.spectrum(points, longest=longest)
+            shared[name] = makers[name](points, longest=longest)
         return shared[name]
 
     return [GROUPS[g][1](points, supply, longest) for g in _groups(features)]

@@ -55,7 +55,7 @@ def test_parts_hold_the_complete_series_once(spark):
 def test_the_profile_moves_the_points_once(spark):
     points = series(spark, [80, 90, 70])
     (part,) = arrange.arrange(points)
-    shared = {"sums": autocorr.lag_sums, "spectra": spectrum.spectrum}
+    shared = {"sums": autocorr.lag_sums, "spectra": spectrum.spectrum, "bins": spectrum.long_bins}
     found = {}
     with arrange.co_located(spark):
         for name, (_, build) in features.GROUPS.items():

@@ -64,9 +64,11 @@ CASES = {
     "jsd": lambda p, b: divergence.series_divergence(p, 10, 30, b),
     "drop_missing": lambda p, b: tables.drop_missing(p, b),
     "candidates": lambda p, b: spectrum.series_candidates(p, False, b).selectExpr("series_id", "channel", "n", "array_join(detected, ',') AS d"),
-    "amplitudes": lambda p, b: spectrum.spectrum(p, b),
+    "amplitudes": lambda p, b: spectrum.spectrum_bins(p, b),
+    "entropy": lambda p, b: library.spectral_entropy(spectrum.spectrum(p, b), spectrum.long_bins(p, b), b),
+    "hurst": lambda p, b: library.log_periodogram(spectrum.spectrum(p, b), spectrum.long_bins(p, b)),
 }
-EXTRA = {"repair": ("t",), "drop_missing": ("t",)}
+EXTRA = {"repair": ("t",), "drop_missing": ("t",), "amplitudes": ("k",)}
 
 
 @pytest.mark.parametrize("name", CASES)
