@@ -46,6 +46,17 @@ def inversion_count(values: pd.Series) -> pd.Series:
     return pd.Series([_inversions(_arr(v)) for v in values], dtype="int64")
 
 
+@pandas_udf(ArrayType(LONG))
+def value_slots(values: pd.Series, splitters: pd.Series) -> pd.Series:
+    """Slot of every value among ascending splitters: 2i strictly between two of them, 2i + 1 on the i-th one."""
+    out = []
+    for v, s in zip(values, splitters):
+        x, cuts = _arr(v), np.unique(_arr(s))
+        below = np.searchsorted(cuts, x, "left")
+        out.append(below + np.searchsorted(cuts, x, "right"))
+    return pd.Series(out, dtype=object)
+
+
 # ---------------------------------------------------------------- divergence
 def _bin_index(x, unit, lo, step, k):
     """Equal-width bin per value, ``unit`` being (x - lo) / range; the right edge is in the last bin.

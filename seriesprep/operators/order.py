@@ -9,38 +9,52 @@ from ..functions import kernels
 from ..layout import BLOCK_KEY, BLOCK_LEN, KEY, attach, longest_series, split_blocks, to_blocks, within
 
 
-def ranked(points: DataFrame, by: str = "v", block_len: int = BLOCK_LEN) -> DataFrame:
-    """Add ``n`` and ``rank`` (0-based, by value then t) to every point.
+SPLITTERS = 1024  # quantiles that a summary of a series is asked for
 
-    A long series is cut into value buckets; ranks inside a bucket come from a
-    window, the offset of a bucket from the counts of the lower ones.
+
+def by_value(points: DataFrame, block_len: int = BLOCK_LEN) -> DataFrame:
+    """``(KEY, n, block, t, v, bucket)``: every present point with a bucket that follows the order of values.
+
+    The bucket borders are quantiles from mergeable summaries, about four to a block, so they follow the
+    data however skewed it is.  A value that takes a large share of a series is itself a border: borders have
+    buckets of their own (odd numbers), which hold one value only, so whoever orders them may cut them by t.
     """
-    x = F.col(by).cast("double")
-    shape = points.groupBy(*KEY).agg(
-        F.count("*").alias("n"), F.avg(x).alias("_mu"), F.stddev_pop(x).alias("_sd")
-    )
-    rows = attach(split_blocks(points, block_len=block_len), shape, block_len).drop("block", "own")
-    buckets = F.ceil(F.col("n") / block_len)
-    share = F.try_divide(x - F.col("_mu"), F.col("_sd") * 8) + 0.5
-    slot = F.floor(F.least(F.greatest(share, F.lit(0.0)), F.lit(1.0)) * buckets)
-    rows = rows.withColumn(
-        "bucket",
-        F.when((buckets > 1) & (F.col("_sd") > 0), F.least(slot, buckets - 1)).otherwise(F.lit(0)),
-    ).drop("_mu", "_sd")
-    key = [*KEY, "bucket"]
-    below = Window.partitionBy(*KEY).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offset = (
-        rows.groupBy(*key)
-        .agg(F.count("*").alias("_c"))
-        .select(*key, F.coalesce(F.sum("_c").over(below), F.lit(0)).alias("_base"))
-    )
-    within = Window.partitionBy(*key).orderBy(by, "t")
-    return (
-        rows.withColumn("_r", F.row_number().over(within) - 1)
-        .join(offset, key)
-        .withColumn("rank", F.col("_base") + F.col("_r"))
-        .drop("_r", "_base", "bucket")
+    fractions = F.array(*[F.lit(i / SPLITTERS) for i in range(1, SPLITTERS)])
+    shape = points.groupBy(*KEY).agg(F.count("*").alias("n"), F.percentile_approx("v", fractions, 10 * SPLITTERS).alias("q"))
+    parts = F.least(F.ceil(F.col("n") / block_len) * 4, F.lit(SPLITTERS)).cast("int")
+    chosen = F.transform(F.sequence(F.lit(1), parts - 1), lambda i: F.get("q", F.floor(i * SPLITTERS / parts).cast("int") - 1))
+    none = F.array().cast("array<double>")
+    shape = shape.select(*KEY, "n", F.when(F.col("n") > block_len, chosen).otherwise(none).alias("q"))
+    packed = split_blocks(points, block_len=block_len).groupBy(*BLOCK_KEY).agg(F.sort_array(F.collect_list(F.struct("t", "v"))).alias("tv"))
+    cover = points.groupBy(*KEY).agg((F.max("t") + 1).alias("n"))  # t may have gaps
+    rows = attach(packed, cover, block_len).drop("n").join(
+        # per block, so that the key of a long series isn't hot
+        cover.join(shape.withColumnRenamed("n", "_n"), KEY)
+        .select(*KEY, "_n", "q", F.explode(F.sequence(F.lit(0), F.floor((F.col("n") - 1) / block_len))).alias("block")),
+        BLOCK_KEY,
     )
+    zipped = F.arrays_zip(F.col("tv.t").alias("t"), F.col("tv.v").alias("v"), kernels.value_slots("tv.v", "q").alias("bucket"))
+    return rows.select(*BLOCK_KEY, F.col("_n").alias("n"), F.explode(zipped).alias("x")).select(*KEY, "n", "block", "x.*")
+
+
+def ranked(points: DataFrame, block_len: int = BLOCK_LEN) -> DataFrame:
+    """Add ``n`` and ``rank`` (0-based, by value then t) to every present point.
+
+    Ranks inside a bucket of ``by_value`` come from a window, the offset of a bucket from the counts of the lower
+    ones.  A bucket of equal values is cut by the block of t, which is its order.
+    """
+    rows = by_value(points, block_len).withColumn("sub", F.when(F.col("bucket") % 2 == 1, F.col("block")).otherwise(F.lit(0)))
+    key = [*KEY, "bucket", "sub"]
+    counts = rows.groupBy(*key).agg(F.count("*").alias("_c"))
+    lower = Window.partitionBy(*KEY).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    buckets = counts.groupBy(*KEY, "bucket").agg(F.sum("_c").alias("_c"))
+    buckets = buckets.select(*KEY, "bucket", F.coalesce(F.sum("_c").over(lower), F.lit(0)).alias("_base"))
+    earlier = Window.partitionBy(*KEY, "bucket").orderBy("sub").rowsBetween(Window.unboundedPreceding, -1)
+    offset = counts.select(*key, F.coalesce(F.sum("_c").over(earlier), F.lit(0)).alias("_part")).join(buckets, [*KEY, "bucket"])
+    inside = Window.partitionBy(*key).orderBy("v", "t")
+    placed = rows.withColumn("_r", F.row_number().over(inside) - 1).join(offset, key)
+    rank = F.col("_base") + F.col("_part") + F.col("_r")
+    return placed.select(*KEY, "n", "t", "v", rank.alias("rank"))
 
 
 def array_at(sorted_values: Column, pos: Column) -> Column:
@@ -144,19 +158,12 @@ def inversions(points: DataFrame, block_len: int = BLOCK_LEN, longest: int | Non
     )
     if longest_series(points, longest) <= block_len:
         return inside.select(*KEY, F.col("c").alias("pairs"), (F.col("c") / F.col("m")).alias("inversions"))
-    sizes = points.groupBy(*KEY).agg(
-        F.count("*").alias("n"), F.avg("v").alias("_mu"), F.stddev_pop("v").alias("_sd")
-    )
-    many = attach(
-        split_blocks(points, block_len=block_len), sizes.filter(F.col("n") > block_len), block_len
-    )
+    sizes = points.groupBy(*KEY).agg(F.count("*").alias("n")).filter(F.col("n") > block_len)
+    many = attach(split_blocks(points, block_len=block_len), sizes, block_len).select(*KEY, "t", "v")
     last = F.floor((F.col("n") - 1) / block_len)
     bits = F.floor(F.log2(last)) + 1
-    buckets = F.ceil(F.col("n") / block_len)
-    share = F.try_divide(F.col("v") - F.col("_mu"), F.col("_sd") * 8) + 0.5
-    slot = F.floor(F.least(F.greatest(share, F.lit(0.0)), F.lit(1.0)) * buckets)
     levels = (
-        many.withColumn("bucket", F.when(F.col("_sd") > 0, F.least(slot, buckets - 1)).otherwise(F.lit(0)))
+        by_value(many, block_len)
         .withColumn("bit", F.explode(F.sequence(F.lit(0), (bits - 1).cast("int"))))
         .select(
             *KEY,
@@ -168,23 +175,19 @@ def inversions(points: DataFrame, block_len: int = BLOCK_LEN, longest: int | Non
         )
     )
     group = [*KEY, "bit", "prefix"]
-    sides = levels.groupBy(*group, "bucket").agg(F.sum("side").alias("later"))
+    sides = levels.groupBy(*group, "bucket").agg(F.sum("side").alias("later"), F.sum(1 - F.col("side")).alias("zeros"))
     lower = Window.partitionBy(*group).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     carry = sides.select(
-        *group, "bucket", F.coalesce(F.sum("later").over(lower), F.lit(0)).alias("carry")
+        *group, "bucket", "zeros", F.coalesce(F.sum("later").over(lower), F.lit(0)).alias("carry")
     )
+    # Only buckets between two borders hold different values; in those of equal values nothing lies below.
     # ties: the 0 side sorts first, so an equal value on the 1 side is not counted
-    by_value = Window.partitionBy(*group, "bucket").orderBy("v", "side").rowsBetween(
+    order = Window.partitionBy(*group, "bucket").orderBy("v", "side").rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
-    across = (
-        levels.withColumn("below", F.sum("side").over(by_value))
-        .filter("side = 0")
-        .groupBy(*group, "bucket")
-        .agg(F.sum("below").alias("below"), F.count("*").alias("zeros"))
-        .join(carry, [*group, "bucket"])
-        .select(*KEY, (F.col("below") + F.col("zeros") * F.col("carry")).alias("c"), F.lit(0).alias("m"))
-    )
+    below = levels.filter("bucket % 2 = 0").withColumn("below", F.sum("side").over(order)).filter("side = 0")
+    within_bucket = below.select(*KEY, F.col("below").alias("c"), F.lit(0).alias("m"))
+    across = within_bucket.unionByName(carry.select(*KEY, (F.col("zeros") * F.col("carry")).alias("c"), F.lit(0).alias("m")))
     return (
         inside.unionByName(across)
         .groupBy(*KEY)

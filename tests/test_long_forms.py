@@ -6,10 +6,11 @@ from pathlib import Path
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from helpers import assert_same, points, some_series
 from seriesprep.functions import kernels
-from seriesprep.operators import autocorr
+from seriesprep.operators import autocorr, order
 
 
 def dense(y, q, span):
@@ -69,3 +70,29 @@ def test_lag_rows_are_read_where_the_row_of_lags_ends(spark, form, monkeypatch):
     sums = autocorr.lag_sums(p, 60)
     assert max(r[0] for r in sums.selectExpr("size(s)").collect()) == 40  # only the series of one block keeps all
     assert_same(whole, build(p, sums, 60), tol=1e-6)
+
+
+@pytest.mark.parametrize("kind", ["ties", "outlier", "heavy", "spread"])
+def test_value_buckets_stay_small_and_ranks_exact(spark, kind):
+    rng = np.random.default_rng(9)
+    n, block = 1500, 60
+    v = {
+        "ties": np.where(rng.random(n) < 0.99, 5.0, rng.normal(size=n)),
+        "outlier": np.append(rng.normal(size=n - 1), 1e12),
+        "heavy": rng.choice([1.0, 2.0, 2.5, 7.0], n, p=[0.4, 0.3, 0.29, 0.01]),
+        "spread": np.exp(rng.normal(size=n) * 8),
+    }[kind]
+    p = points(spark, {"a": v, "short": v[:40]}).repartition(3).cache()
+    placed = order.by_value(p, block)
+    # a task orders one even bucket, or one block of an odd one
+    sizes = placed.selectExpr("*", "if(bucket % 2 = 1, block, 0) AS sub").groupBy("series_id", "bucket", "sub").count()
+    assert sizes.agg({"count": "max"}).first()[0] <= block
+    odd = placed.filter("bucket % 2 = 1").groupBy("series_id", "bucket").agg(F.countDistinct("v").alias("k"))
+    assert odd.filter("k > 1").count() == 0
+    got = {(r["series_id"], r["t"]): (r["rank"], r["n"]) for r in order.ranked(p, block).collect()}
+    for name, x in (("a", v), ("short", v[:40])):
+        rank = np.empty(len(x), int)
+        rank[np.lexsort((np.arange(len(x)), x))] = np.arange(len(x))
+        assert all(got[name, t] == (r, len(x)) for t, r in enumerate(rank.tolist()))
+    pairs = {r["series_id"]: r["pairs"] for r in order.inversions(p, block).collect()}
+    assert pairs["a"] == sum(int((v[i] > v[i + 1 :]).sum()) for i in range(n))
