@@ -18,13 +18,14 @@ Documents are written in ascending id order (null ids first, equal ids by their
 ranges of ids from percentiles of the id column alone, one shuffle of encoded documents,
 then a sort inside each range.  Starts are running sums over segment headers, first within a range, then over ranges.
 
-Edge cases: null and empty texts have no ids of their own, only the end id; an empty table writes an
-empty folder and reads as empty; columns of ``docs`` other than id and text are not written.
+Edge cases: strings of special tokens inside texts get those tokens' ids, as the library gives them; null and
+empty texts have no ids of their own, only the end id; an empty table writes an empty folder and reads as empty; columns of ``docs`` other than id and text are not written.
 """
 
 from __future__ import annotations
 
 import gc
+import json
 import re
 import struct
 import uuid
@@ -202,7 +203,9 @@ class WordEncoder:
         self.merge.normalizer = normalizers.Sequence([])
         self.merge.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
         self.tk = Tokenizer.from_str(spec)
-        self.tk.encode_special_tokens = True
+        # Strings of special tokens stand for these, as the library has it: words that hold one are left to it.
+        special = [x["content"] for x in json.loads(spec)["added_tokens"]]
+        self.special = re.compile("|".join(map(re.escape, special)), re.IGNORECASE).search if special else lambda word: None
         names = {i: t for t, i in self.tk.get_vocab().items()}
         self.last = np.array([names.get(i, "").endswith("</w>") for i in range(max(names) + 1)])
         self.find = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{self.LETTER}]+|[{self.NUMBER}]|[^ \n{self.LETTER}{self.NUMBER}]+|\n").findall
@@ -213,9 +216,10 @@ class WordEncoder:
 
     def _learn(self, words: list[str]) -> None:
         """Encode words that are in no table: all their pre-tokens are found in one pass, a line per word."""
-        if not self.plain("\n".join(words)):
+        every = "\n".join(words)
+        if not self.plain(every) or self.special(every):
             for w in words:
-                if not self.plain(w):
+                if not self.plain(w) or self.special(w):
                     self.words[w] = array("I", self.tk.encode(w, add_special_tokens=False).ids).tobytes()
             words = [w for w in words if w not in self.words]
         found = self.find("\n".join(words).lower())

@@ -71,7 +71,6 @@ def test_blocks_round_trip(n, most):
 
 def plain_words():
     tk = Tokenizer.from_file(public_tokenizers.path(token_blocks.VOCABULARY))
-    tk.encode_special_tokens = True
     return lambda text: tk.encode(text, add_special_tokens=False).ids
 
 
@@ -79,9 +78,11 @@ def test_words_equal_the_library():
     with open(public_tokenizers.path(token_blocks.VOCABULARY), encoding="utf-8") as f:
         coder = token_blocks.WordEncoder(f.read())
     plain = plain_words()
-    texts = strings(3000)
+    special = ["a <|endoftext|> b", "x<|startoftext|>y", "<|endoftext|><|endoftext|>", "<|ENDOFTEXT|> <|EndOfText|>", "<| endoftext |>", "é<|endoftext|>漢", "<|endoftext|", "<|endoftext|>"]
+    texts = strings(3000) + special
     for text, raw in zip(texts, coder.encode(texts, b"")):
         assert ids_of(raw) == plain(text)
+    assert ids_of(coder.encode(special[:1], b"")[0]) == [320, 49407, 321]
 
 
 def test_files_hold_all_documents_in_order(spark, docs, monkeypatch):
