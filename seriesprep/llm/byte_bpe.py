@@ -32,7 +32,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from seriesprep.llm.common import query, table
+from seriesprep.llm.common import give_back, query, table
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 CACHE_ENTRIES = 400_000  # of about 200 bytes
@@ -253,6 +253,29 @@ def encode_and_decode(docs: DataFrame, model: bytes, pattern: str, text_col="tex
     return docs.withColumn(out, both(F.coalesce(F.col(text_col), F.lit(""))))
 
 
+def encode_checked(docs: DataFrame, model: bytes, pattern: str, text_col="text", out="coded") -> DataFrame:
+    """Add the struct ``out`` of ``ids`` and ``round_trip``: whether they decode to the text.  The decoded bytes never leave the worker."""
+    _added(docs, out)
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    names = ["ids", "round_trip"]
+
+    @F.arrow_udf("ids binary, round_trip boolean")
+    def checked(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        give_back()  # what earlier stages left in this worker
+        coder = _encoder(shared.value, pattern)
+        for batch in batches:
+            done = [pa.StructArray.from_arrays([pa.array([], pa.binary()), pa.array([], pa.bool_())], names)]
+            for texts in slices(batch):
+                ids = coder.encode(texts)
+                intact = [coder.decode(x) == t.encode() for x, t in zip(ids, texts)]
+                done.append(pa.StructArray.from_arrays([pa.array(ids, pa.binary()), pa.array(intact, pa.bool_())], names))
+            yield pa.concat_arrays(done)
+        coder.forget()
+        give_back()
+
+    return docs.withColumn(out, checked(F.coalesce(F.col(text_col), F.lit(""))))
+
+
 @query("op1_byte_bpe")
 def op1(spark, sf_dir):
     model, pattern = vocabulary()

@@ -16,8 +16,6 @@ of any length is one chunk at most; an empty table gives an empty result; other
 
 from __future__ import annotations
 
-import ctypes
-import gc
 import hashlib
 import json
 import os
@@ -33,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from seriesprep.llm.byte_bpe import slices
-from seriesprep.llm.common import query, stage, table, text_or_empty
+from seriesprep.llm.common import give_back, query, stage, table, text_or_empty
 
 BYTE_VOCABULARY, PIECE_VOCABULARY = "byte_bpe_50k.json", "piece_bpe_32k.model"
 CHUNK_LINKS = 600_000
@@ -266,16 +264,6 @@ def _chunk_rows(chunk: int, facts: list, parts: list[np.ndarray], size_a: int) -
 ROWS = "kind int, chunk bigint, bucket int, pairs binary, data binary"
 
 
-def _give_back() -> None:
-    """Return freed memory to the machine: a worker serves later tasks too."""
-    gc.collect()
-    pa.default_memory_pool().release_unused()
-    try:
-        ctypes.CDLL("libc.so.6").malloc_trim(0)
-    except OSError:  # another C library
-        pass
-
-
 def _code_type(size_a: int, size_b: int) -> str:
     return "<u4" if size_a * size_b <= 1 << 32 else "<u8"
 
@@ -311,7 +299,7 @@ def _chunks(docs: DataFrame, shared) -> DataFrame:
         if facts:
             yield from _chunk_rows(chunk, facts, parts, size_a)
         del a, b, writer, facts, parts
-        _give_back()
+        give_back()
 
     return docs.mapInArrow(run, ROWS)
 

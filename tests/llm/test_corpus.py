@@ -284,3 +284,15 @@ def test_stages_take_an_empty_table(spark):
 def test_queries_equal_their_sql(spark, name):
     ok, message = compare.compare(spark, compare.duck(SF), name, QUERIES[name], ORACLES[name], SF)
     assert ok, message
+
+
+def test_stages_keep_columns_whatever_they_are_called(spark, docs):
+    names = ["_place", "score", "evidence", "coded", "ids", "row", "_group", "a.b", "_judged"]
+    clashing = docs.select("*", *[F.lit(f"keep {n}").alias(n) for n in names])
+    for name, step in (corpus_pipeline.STAGES[0], corpus_pipeline.STAGES[2]):
+        out = step(spark, clashing, SF)
+        assert out.columns == clashing.columns, name
+        rows = out.select(*[F.col(f"`{n}`") for n in names]).distinct().collect()
+        assert [tuple(r) for r in rows] == [tuple(f"keep {n}" for n in names)], name
+    out = corpus_pipeline.encode(spark, clashing, SF).collect()
+    assert len(out) == docs.count() and all(r["round_trip"] for r in out)
