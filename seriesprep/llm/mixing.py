@@ -1,7 +1,7 @@
 """Mix sources to target weights by hash thresholds, without sorting documents.
 
 Sizes are word counts.  Per source, tokens are summed by the leading bits of a hash of the
-document id; running sums over these at most 4096 buckets find the bucket in which the budget
+document's id and text; running sums over these at most 4096 buckets find the bucket in which the budget
 ends; only that boundary bucket is summed again by its next bits.  After ``levels`` rounds one
 threshold per source remains, and a document is taken if its hash lies below it.  Thresholds
 are nested: a larger budget takes a superset.
@@ -10,7 +10,8 @@ A source with a target above its size is taken whole as often as it fits, and th
 threshold, so no document is taken more than ``max_repeat`` times.
 
 Edge cases: null text has size 0; a null source is a source of its own, last in order; rows with
-the same id share one hash and are taken together; an empty table gives an empty result; other
+the same id and text share one hash and are taken together, so they can move a source from its target by half their words;
+rows without an id are told apart by their texts; an empty table gives an empty result; other
 columns, whatever their names, pass through ``mix`` untouched.
 """
 
@@ -27,9 +28,11 @@ BITS = 12  # per level
 LEVELS = 4
 
 
-def document_hash(doc_id="doc_id"):
-    """48 bits of the MD5 of the id written as text, the same in any engine."""
-    return F.conv(F.substring(F.md5(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")), 1, 12), 16, 10).cast("bigint")
+def document_hash(doc_id="doc_id", text="text"):
+    """48 bits of the MD5 of the id written as text, a colon and the text's own MD5, the same in any engine."""
+    written, content = (F.coalesce(F.col(c).cast("string"), F.lit("")) for c in (doc_id, text))
+    both = F.concat(written, F.lit(":"), F.md5(content.cast("binary")))
+    return F.conv(F.substring(F.md5(both.cast("binary")), 1, 12), 16, 10).cast("bigint")
 
 
 def sizes(docs: DataFrame, id_col="doc_id", text_col="text", source_col="source") -> DataFrame:
@@ -38,7 +41,7 @@ def sizes(docs: DataFrame, id_col="doc_id", text_col="text", source_col="source"
         F.col(id_col).alias("doc_id"),
         F.col(source_col).cast("string").alias("source"),
         F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORD)), F.lit(0)).cast("bigint").alias("size"),
-        document_hash(id_col).alias("hash"),
+        document_hash(id_col, text_col).alias("hash"),
     )
 
 
@@ -86,7 +89,7 @@ def thresholds(sized: DataFrame, goals: DataFrame, max_repeat=MAX_REPEAT, bits=B
     for level in range(1, levels + 1):
         prefix = F.shiftright("hash", total - bits * level)
         named = state.select(F.col("source").alias("s"), F.col("prefix").alias("p"), "budget")
-        inside = sized.join(F.broadcast(named) if level == 1 else small(named), F.col("source").eqNullSafe(F.col("s")))
+        inside = sized.join(small(named), F.col("source").eqNullSafe(F.col("s")))
         if level > 1:
             inside = inside.filter(F.shiftright("hash", total - bits * (level - 1)) == F.col("p"))
         hist = inside.groupBy("source", prefix.alias("bucket")).agg(F.sum("size").alias("size"), F.max("budget").alias("budget"))
@@ -133,7 +136,7 @@ def mix(docs: DataFrame, id_col="doc_id", text_col="text", source_col="source",
     """The mixed corpus: each row of ``docs`` as often as the mix takes it, columns unchanged."""
     _, cuts = plan(docs, id_col=id_col, text_col=text_col, source_col=source_col, **kw)
     cuts = small(cuts.select(F.struct("source", "whole", "below").alias("_mix")))
-    both = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.col(source_col).cast("string").alias("_s"), document_hash(id_col).alias("_h"))
+    both = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.col(source_col).cast("string").alias("_s"), document_hash(id_col, text_col).alias("_h"))
     both = both.join(cuts, F.col("_s").eqNullSafe(F.col("_mix.source")))
     times = F.col("_mix.whole") + F.when(F.col("_h") < F.col("_mix.below"), 1).otherwise(0)
     return both.withColumn("_n", F.explode(F.array_repeat(F.lit(1), times.cast("int")))).select("_row.*")
@@ -142,7 +145,7 @@ def mix(docs: DataFrame, id_col="doc_id", text_col="text", source_col="source",
 SQL = """
 WITH sized AS (
   SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0)::BIGINT AS size,
-         ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 12))::BIGINT AS h FROM documents),
+         ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '') || ':' || md5(coalesce(text, ''))), 1, 12))::BIGINT AS h FROM documents),
 src AS (SELECT source, sum(size)::BIGINT AS source_size FROM sized GROUP BY source),
 wts AS (SELECT *, [5.0::DOUBLE, 2.0, 1.0][((row_number() OVER (ORDER BY encode(source) NULLS LAST) - 1) % 3 + 1)::INT] AS w FROM src),
 caps AS (SELECT *, source_size * 3.0::DOUBLE AS cap, source_size * 3.0::DOUBLE / w AS rate FROM wts),
@@ -158,7 +161,7 @@ run AS (
          coalesce(sum(s.size) OVER (PARTITION BY s.source ORDER BY s.h RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 0) AS upto,
          sum(s.size) OVER (PARTITION BY s.source, s.h) AS own
   FROM sized s JOIN cut c ON s.source IS NOT DISTINCT FROM c.source)
-SELECT doc_id, size, source_size, round(target, 3) AS target,
+SELECT doc_id, size, source_size, target,
        ((whole + CASE WHEN upto - own + own * 0.5 > budget THEN 0 ELSE 1 END) * size)::BIGINT AS taken FROM run
 """
 
@@ -166,4 +169,4 @@ SELECT doc_id, size, source_size, round(target, 3) AS target,
 @query("op7_mixing_weights", SQL)
 def op7(spark, sf_dir):
     rows = taken(table(spark, sf_dir, "documents"))
-    return rows.select("doc_id", "size", "source_size", F.round("target", 3).alias("target"), "taken")
+    return rows.select("doc_id", "size", "source_size", "target", "taken")

@@ -59,6 +59,27 @@ def test_mixed_rows_are_whole(spark, docs):
     assert mixing.mix(empty(spark)).count() == 0 and mixing.taken(empty(spark)).count() == 0
 
 
+def test_rows_without_id_meet_the_target_too(spark):
+    rows = [(None if i % 2 else 7, f"w{i} " + "x " * 9, "abc"[i % 3 if i < 60 else 0]) for i in range(460)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    got = mixing.taken(docs).collect()
+    took = Counter()
+    for r in got:
+        took[r["source"]] += r["taken"]
+    assert len(got) == 460
+    assert all(abs(took[r["source"]] - r["target"]) <= 10 for r in got)
+    assert mixing.mix(docs).count() * 10 == sum(took.values())
+
+
+def test_toxicity_query_defines_every_held_out(spark, tmp_path):
+    docs, labels = corpus(spark)
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    labels.write.parquet(str(tmp_path / "labels.parquet"))
+    got = QUERIES["op2_toxicity"](spark, str(tmp_path)).collect()
+    assert len(got) == docs.count()
+    assert all(r["held_out"] == (r["doc_id"] is None or zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0) for r in got)
+
+
 # ----------------------------------------------------------------- toxicity
 def corpus(spark):
     rows = [(i, f"plain words number {i % 7} and {'vile' if i % 3 == 0 else 'kind'} talk {i}") for i in range(240)]
