@@ -46,7 +46,7 @@ END_ID = 1
 BLOCK = 128
 PERCENTILE = 0.92
 SEGMENT_TOKENS = 250_000
-CACHE_WORDS, CACHE_PRETOKENS = 120_000, 250_000  # of about 200 bytes; words are kept for two rounds
+CACHE_WORDS, CACHE_PRETOKENS = 40_000, 250_000  # of about 200 bytes; both are kept for two rounds
 MAGIC = b"PFB1"
 
 
@@ -183,11 +183,11 @@ def read_segment(image: bytes) -> Iterator[tuple[int | None, int, bytes]]:
 
 # ------------------------------------------------------------------ encoding
 class WordEncoder:
-    """Ids of white-space separated words, as the library encodes the text that holds them.
+    """Ids of texts as the library encodes them, from bounded tables of parts.
 
-    The tokenizer never joins anything across white space, so words are encoded on their own and kept in a
-    bounded table.  Latin-1 words are cut by the tokenizer's own pattern and encoded many at a time; the
-    word-end mark of the last id of each pre-token tells them apart.  Other words go to the library one by one.
+    The tokenizer never joins anything across the cuts of its own pattern.  Latin-1 texts are cut by that pattern in one pass,
+    and new pre-tokens encoded many at a time; the word-end mark of the last id of each tells them apart.  Of other
+    texts, and of those with the string of a special token, the words go to the library one by one.
     """
 
     # The tokenizer's split pattern for Latin-1 text in lower case.
@@ -203,27 +203,24 @@ class WordEncoder:
         self.merge.normalizer = normalizers.Sequence([])
         self.merge.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
         self.tk = Tokenizer.from_str(spec)
-        # Strings of special tokens stand for these, as the library has it: words that hold one are left to it.
-        special = [x["content"] for x in json.loads(spec)["added_tokens"]]
-        self.special = re.compile("|".join(map(re.escape, special)), re.IGNORECASE).search if special else lambda word: None
+        # Strings of special tokens stand for these, as the library has it, in any case of letters.
+        self.special = [x["content"].lower() for x in json.loads(spec)["added_tokens"]]
         names = {i: t for t, i in self.tk.get_vocab().items()}
         self.last = np.array([names.get(i, "").endswith("</w>") for i in range(max(names) + 1)])
-        self.find = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{self.LETTER}]+|[{self.NUMBER}]|[^ \n{self.LETTER}{self.NUMBER}]+|\n").findall
-        self.plain = re.compile("[!-~\xa1-\xac\xae-\xff\n]+").fullmatch
+        self.find = re.compile(f"[{self.LETTER}]+|'s|'t|'re|'ve|'m|'ll|'d|[{self.NUMBER}]|[^\t-\r {self.LETTER}{self.NUMBER}]+").findall
+        self.plain = re.compile("[\t-\r !-~\xa1-\xac\xae-\xff]*+").fullmatch
         self.odd = re.compile("[\x1c-\x1f]").search
         self.cut = re.compile("[ \t\n\r\f\v]+").split
-        self.words, self.older, self.tokens = {}, {}, {}
-
-    def _learn(self, words: list[str]) -> None:
-        """Encode words that are in no table: all their pre-tokens are found in one pass, a line per word."""
-        every = "\n".join(words)
-        if not self.plain(every) or self.special(every):
-            for w in words:
-                if not self.plain(w) or self.special(w):
-                    self.words[w] = array("I", self.tk.encode(w, add_special_tokens=False).ids).tobytes()
-            words = [w for w in words if w not in self.words]
-        found = self.find("\n".join(words).lower())
-        todo = list(set(found) - self.tokens.keys() - {"\n"})
+        self.words, self.older_words, self.tokens, self.older_tokens = {}, {}, {}, {}
+
+    def _pretokens(self, text: str) -> list[str] | None:
+        """The pre-tokens of a Latin-1 text; none of any other, nor of one with the string of a special token."""
+        if not self.plain(text):
+            return None
+        lower = text.lower()
+        return None if any(x in lower for x in self.special) else self.find(lower)
+
+    def _learn(self, todo: list[str]) -> None:
         for at in range(0, len(todo), 2000):
             part = todo[at : at + 2000]
             ids = np.array(self.merge.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, "<u4")
@@ -233,34 +230,39 @@ class WordEncoder:
             raw = ids.tobytes()
             ends = (ends * 4).tolist()
             self.tokens.update(zip(part, [raw[a:b] for a, b in zip([0, *ends], ends)]))
-        self.tokens["\n"] = b""
-        ids = list(map(self.tokens.__getitem__, found))
-        ends = [i for i, t in enumerate(found) if t == "\n"]
-        ends.append(len(found))
-        starts = [0, *[i + 1 for i in ends]]
-        self.words.update(zip(words, [ids[a] if b - a == 1 else b"".join(ids[a:b]) for a, b in zip(starts, ends)]))
+
+    def _word(self, word: str) -> bytes:
+        ids = self.words.get(word)
+        if ids is None:
+            ids = self.older_words.get(word)
+            if ids is None:
+                ids = array("I", self.tk.encode(word, add_special_tokens=False).ids).tobytes()
+            self.words[word] = ids
+        return ids
 
     def encode(self, texts: list[str], end: bytes) -> list[bytes]:
         if len(self.words) > CACHE_WORDS:
-            self.words, self.older = {}, self.words
+            self.words, self.older_words = {}, self.words
         if len(self.tokens) > CACHE_PRETOKENS:
-            self.tokens = {}
+            self.tokens, self.older_tokens = {}, self.tokens
         gc.disable()  # nothing made here is cyclic
         try:
-            split = [self.cut(t) if self.odd(t) else t.split() for t in texts]
+            found = [self._pretokens(t) for t in texts]
             new = set()
-            for s in split:
-                new.update(s)
-            new -= self.words.keys()
-            known = new & self.older.keys()
-            self.words.update(zip(known, map(self.older.__getitem__, known)))
-            new -= known
-            new.discard("")
-            self.words[""] = b""
-            if new:
-                self._learn(list(new))
-            get = self.words.__getitem__
-            return [b"".join(map(get, s)) + end for s in split]
+            for pretokens in found:
+                if pretokens is not None:
+                    new.update(pretokens)
+            new -= self.tokens.keys()
+            known = new & self.older_tokens.keys()
+            self.tokens.update(zip(known, map(self.older_tokens.__getitem__, known)))
+            self._learn(list(new - known))
+            get, word, out = self.tokens.__getitem__, self._word, []
+            for text, pretokens in zip(texts, found):
+                if pretokens is not None:
+                    out.append(b"".join(map(get, pretokens)) + end)
+                else:
+                    out.append(b"".join(map(word, self.cut(text) if self.odd(text) else text.split())) + end)
+            return out
         finally:
             gc.enable()
 
