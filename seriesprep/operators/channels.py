@@ -34,21 +34,43 @@ COMPARED = [
 ]
 
 TILE = 512
+SHARES = 1024  # of the channels of one set
+
+
+def attach_to_channels(features: DataFrame, sets: DataFrame, shares: int = SHARES) -> DataFrame:
+    """``features`` with the columns of ``sets`` (one row per ``series_id``), joined share by share of a set.
+
+    A set's row is first given to each of its shares of channels, so a set with most channels spreads over tasks:
+    no task meets more than ``shares`` rows of it in the first join, nor more than a share in the second.  A set without a
+    row in ``sets`` is left out; names of columns must differ.
+    """
+    named = features.withColumn("_share", F.pmod(F.xxhash64("channel"), F.lit(shares)).cast("int"))
+    given = named.select("series_id", "_share").distinct().join(sets, "series_id")
+    return named.join(given, ["series_id", "_share"]).drop("_share")
+
+
+def _set_bounds(features: DataFrame, columns: list[str]) -> DataFrame:
+    """One row per set: its number of channels and the bounds of every column."""
+    return features.groupBy("series_id").agg(
+        F.count("*").alias("size"),
+        *[f(c).alias(f"{n}_{i}") for i, c in enumerate(columns) for f, n in ((F.min, "lo"), (F.max, "hi"))],
+    )
 
 
 def scale_features(features: DataFrame, columns: list[str]) -> DataFrame:
     """Min-max scaling of every column over the channels; a zero range becomes 0."""
-    bounds = features.groupBy("series_id").agg(
-        *[f(c).alias(f"{n}_{i}") for i, c in enumerate(columns) for f, n in ((F.min, "lo"), (F.max, "hi"))]
-    )
+    return _scaled(features, columns).drop("size")
+
+
+def _scaled(features: DataFrame, columns: list[str]) -> DataFrame:
+    """The scaled columns beside the size of the set."""
 
     def scaled(i: int, c: str) -> Column:
         lo, hi = F.col(f"lo_{i}"), F.col(f"hi_{i}")
         return F.when(hi == lo, F.when(F.col(c).isNotNull(), F.lit(0.0))).otherwise((F.col(c) - lo) / (hi - lo))
 
-    return features.join(bounds, "series_id").select(
-        "series_id", "channel", *[scaled(i, c).alias(c) for i, c in enumerate(columns)]
-    )
+    both = attach_to_channels(features.select("series_id", "channel", *columns), _set_bounds(features, columns))
+    return both.select("series_id", "channel", "size", *[scaled(i, c).alias(c) for i, c in enumerate(columns)])
 
 
 def correlation_score(features: DataFrame, columns: list[str] | None = None, tile: int = TILE) -> DataFrame:
@@ -60,25 +82,24 @@ def correlation_score(features: DataFrame, columns: list[str] | None = None, til
     so does a channel with a missing feature or no variation.
     """
     columns = columns or COMPARED
-    scaled = scale_features(features, columns)
+    scaled = _scaled(features, columns)
     values = F.array(*[F.col(c) for c in columns])
     total = lambda a: F.aggregate(a, F.lit(0.0), lambda s, x: s + x)
     mean = total(F.col("x")) / len(columns)
-    rows = scaled.select("series_id", "channel", values.alias("x")).select(
-        "series_id", "channel", F.transform("x", lambda v: v - mean).alias("x")
+    rows = scaled.select("series_id", "channel", "size", values.alias("x")).select(
+        "series_id", "channel", "size", F.transform("x", lambda v: v - mean).alias("x")
     )
     norm = F.sqrt(total(F.transform("x", lambda v: v * v)))
     rows = rows.withColumn("norm", norm)
-    size = features.groupBy("series_id").agg(F.count("*").alias("size"))
     unit = rows.select(
         "series_id",
         "channel",
+        "size",
         F.when(F.col("norm") > 0, F.transform("x", lambda v: v / F.col("norm"))).alias("u"),
     )
     tiles = F.floor((F.col("size") + tile - 1) / tile)
     packed = (
-        unit.join(size, "series_id")
-        .withColumn("tiles", tiles)
+        unit.withColumn("tiles", tiles)
         .withColumn("tile", F.pmod(F.xxhash64("channel"), F.col("tiles")))
         .groupBy("series_id", "tiles", "tile")
         .agg(F.collect_list("u").alias("u"), F.count("*").alias("c"))
