@@ -172,7 +172,29 @@ def l15(spark, d):
     return rounded(library.welch_features(base.weekly(spark, d), longest=base.WEEKS))
 
 
-_rows("l17_fluctuation", library.fluctuation)
+FLUCTUATION = [
+    "taus AS (SELECT DISTINCT n, CAST(floor(exp(ln(5) + i * (ln(n // 2) - ln(5)) / 49) + 0.5) AS BIGINT) AS tau FROM (SELECT DISTINCT n FROM stats), range(50) r(i))",
+    """walk AS (SELECT series_id, channel, n, n AS m, 'rs' AS kind, t, sum(v) OVER (PARTITION BY series_id, channel ORDER BY t) AS y FROM z
+  UNION ALL
+  SELECT series_id, channel, n, n // 2, 'dfa', t // 2, sum(v) OVER (PARTITION BY series_id, channel ORDER BY t) FROM z WHERE t % 2 = 0 AND t < n // 2 * 2)""",
+    "win AS (SELECT series_id, channel, kind, tau, t // tau AS w, t % tau AS x, y FROM walk JOIN taus USING (n) WHERE t // tau < m // tau)",
+    "line AS (SELECT series_id, channel, kind, tau, w, regr_slope(y, x) AS b, avg(x) AS mx, avg(y) AS my FROM win GROUP BY ALL)",
+    """rest AS (SELECT series_id, channel, kind, tau, w, CASE kind WHEN 'rs' THEN pow(max(r) - min(r), 2) ELSE avg(r * r) END AS q FROM (
+  SELECT series_id, channel, kind, tau, w, y - my - b * (x - mx) AS r FROM win JOIN line USING (series_id, channel, kind, tau, w)) GROUP BY series_id, channel, kind, tau, w)""",
+    """scale AS (SELECT *, row_number() OVER o AS k, count(*) OVER (PARTITION BY series_id, channel, kind) AS m FROM (
+  SELECT series_id, channel, kind, ln(tau) AS a, ln(sqrt(avg(q))) AS b FROM rest GROUP BY series_id, channel, kind, tau) WINDOW o AS (PARTITION BY series_id, channel, kind ORDER BY a))""",
+    """cost AS (SELECT series_id, channel, kind, m, i,
+    sqrt(greatest(regr_syy(b, a) FILTER (k <= i) - pow(regr_sxy(b, a) FILTER (k <= i), 2) / regr_sxx(b, a) FILTER (k <= i), 0))
+  + sqrt(greatest(regr_syy(b, a) FILTER (k >= i) - pow(regr_sxy(b, a) FILTER (k >= i), 2) / regr_sxx(b, a) FILTER (k >= i), 0)) AS c
+  FROM scale, range(6, 60) r(i) WHERE i <= m - 6 GROUP BY series_id, channel, kind, m, i)""",
+    "share AS (SELECT series_id, channel, kind, arg_min(i, c) / any_value(m) AS x FROM cost GROUP BY series_id, channel, kind)",
+]
+_rows("l17_fluctuation", library.fluctuation, oracle=sql([*BASIS, *FLUCTUATION], """SELECT s.series_id, s.channel,
+    CASE WHEN s.sd > 0 THEN coalesce(a.x, 0) END AS SC_FluctAnal_2_rsrangefit_50_1_logi_prop_r1,
+    CASE WHEN s.sd > 0 THEN coalesce(b.x, 0) END AS SC_FluctAnal_2_dfa_50_1_2_logi_prop_r1
+  FROM stats s LEFT JOIN share a ON (s.series_id, s.channel, 'rs') = (a.series_id, a.channel, a.kind)
+  LEFT JOIN share b ON (s.series_id, s.channel, 'dfa') = (b.series_id, b.channel, b.kind)""",
+    ["SC_FluctAnal_2_rsrangefit_50_1_logi_prop_r1", "SC_FluctAnal_2_dfa_50_1_2_logi_prop_r1"]))
 _rows("l18_density_shift", library.density_shift)
 _rows("l22_arch_statistic", library.arch_statistic, oracle=sql([*BASIS, *regression("sq", [f"x{k}" for k in range(1, 13)], SQUARES)], """SELECT s.series_id, s.channel, f.arch_stat FROM stats s LEFT JOIN (
   SELECT series_id, channel, 1 - sum(y * y) FILTER (step = 12) / sum(y * y) FILTER (step = 0) AS arch_stat FROM sq_fit GROUP BY ALL) f USING (series_id, channel)""", ["arch_stat"]))

@@ -624,15 +624,19 @@ def _fluctuations(x: np.ndarray, taus: np.ndarray, spread: bool) -> np.ndarray:
     walk = np.cumsum(x)
     out = np.empty(len(taus))
     for k, tau in enumerate(taus):
-        y = walk[: len(walk) // tau * tau].reshape(-1, tau)
-        u = np.arange(1, tau + 1) - (tau + 1) / 2
-        centred = y - y.mean(axis=1, keepdims=True)
-        rest = centred - (centred @ u / (u @ u))[:, None] * u
-        square = (rest.max(axis=1) - rest.min(axis=1)) ** 2 if spread else (rest**2).mean(axis=1)
-        out[k] = np.sqrt(square.mean())
+        out[k] = np.sqrt(_detrended(walk[: len(walk) // tau * tau].reshape(-1, tau), spread).mean())
     return out
 
 
+def _detrended(y: np.ndarray, spread: bool) -> np.ndarray:
+    """Squared range (or mean square) of what a straight line leaves of each row."""
+    tau = y.shape[1]
+    u = np.arange(1, tau + 1) - (tau + 1) / 2
+    centred = y - y.mean(axis=1, keepdims=True)
+    rest = centred - (centred @ u / (u @ u))[:, None] * u
+    return (rest.max(axis=1) - rest.min(axis=1)) ** 2 if spread else (rest**2).mean(axis=1)
+
+
 def break_share(taus: np.ndarray, f: np.ndarray) -> float:
     """Share of scales before the best break between two straight log-log segments."""
     m, edge = len(taus), 6
@@ -666,6 +670,50 @@ def fluctuation_breaks(values: pd.Series) -> pd.DataFrame:
     return pd.DataFrame(rows, columns=["rs", "dfa"])
 
 
+@pandas_udf(ArrayType(_struct(tau=LONG, w=LONG, k=LONG, q=DOUBLE, s=DOUBLE, c=DOUBLE)))
+def window_parts(values: pd.Series, lo: pd.Series, base: pd.Series, n: pd.Series, full: pd.Series, spread: pd.Series) -> pd.Series:
+    """Windows of one block: per scale the summed measure of those inside, and moments of those that reach over an end.
+
+    ``s`` sums the profile and ``c`` its product with the centred position in the window.
+    """
+    out = []
+    for v, a, start, size, total, wide in zip(values, lo, base, n, full, spread):
+        a, size, rows = int(a), int(size), []
+        walk = start + np.cumsum(_arr(v))
+        stop = min(a + len(walk), size)
+        for tau in scale_grid(int(total)).tolist():
+            end = size // tau * tau
+            first, last = -(-a // tau), stop // tau  # windows first .. last - 1 lie inside
+            if last > first:
+                square = _detrended(walk[first * tau - a : last * tau - a].reshape(-1, tau), wide)
+                rows.append((tau, None, last - first, float(square.sum()), None, None))
+            for w in sorted({a // tau, (stop - 1) // tau}) if stop > a else ():
+                p, q = max(w * tau, a), min((w + 1) * tau, stop)
+                if (first <= w < last) or w * tau >= end:
+                    continue
+                y, u = walk[p - a : q - a], np.arange(p, q) - w * tau - (tau - 1) / 2
+                rows.append((tau, w, None, None, float(y.sum()), float(u @ y)))
+        out.append(rows)
+    return pd.Series(out, dtype=object)
+
+
+@pandas_udf(ArrayType(_struct(tau=LONG, w=LONG, low=DOUBLE, high=DOUBLE, ss=DOUBLE)))
+def window_rests(
+    values: pd.Series, lo: pd.Series, base: pd.Series, taus: pd.Series, windows: pd.Series, levels: pd.Series, slopes: pd.Series
+) -> pd.Series:
+    """What each fitted window leaves in one block: lowest, highest and squared sum of the residuals."""
+    out = []
+    for v, a, start, scale, number, level, slope in zip(values, lo, base, taus, windows, levels, slopes):
+        a, rows = int(a), []
+        walk = start + np.cumsum(_arr(v))
+        for tau, w, mean, m in zip(map(int, scale), map(int, number), level, slope):
+            p, q = max(w * tau, a), min((w + 1) * tau, a + len(walk))
+            r = walk[p - a : q - a] - mean - m * (np.arange(p, q) - w * tau - (tau - 1) / 2)
+            rows.append((tau, w, float(r.min()), float(r.max()), float(r @ r)))
+        out.append(rows)
+    return pd.Series(out, dtype=object)
+
+
 @pandas_udf(DOUBLE)
 def break_of_scales(taus: pd.Series, f: pd.Series) -> pd.Series:
     return pd.Series([break_share(_arr(t), _arr(x)) for t, x in zip(taus, f)], dtype=float)

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import kernels
-from ..layout import BLOCK_KEY, BLOCK_LEN, KEY, attach, in_order, longest_series, running_sum, split_blocks, to_blocks
+from ..layout import BLOCK_KEY, BLOCK_LEN, KEY, attach, earlier_blocks, in_order, longest_series, running_sum, split_blocks, to_blocks
 from .autocorr import beside, difference, first_nonpositive, lag_rows, lag_sums, lagged_correlations
 from .fourier import long_power
 from .order import describe, quantiles
@@ -364,8 +364,8 @@ def embedding_misfit(points: DataFrame, block_len: int = BLOCK_LEN, longest: int
 def fluctuation(points: DataFrame, block_len: int = BLOCK_LEN, longest: int | None = None) -> DataFrame:
     """Share of window lengths in the first of two scaling regimes.
 
-    One-block series are scored in their row.  For longer ones every window of
-    every length is an aggregation key, and each point meets its 50 windows.
+    One-block series are scored in their row.  Of longer ones a block scores the
+    windows inside it and hands on moments of those that reach over its ends.
     """
     names = ("SC_FluctAnal_2_rsrangefit_50_1_logi_prop_r1", "SC_FluctAnal_2_dfa_50_1_2_logi_prop_r1")
     blocks = to_blocks(points, block_len=block_len)
@@ -377,49 +377,38 @@ def fluctuation(points: DataFrame, block_len: int = BLOCK_LEN, longest: int | No
         return out
     rest = blocks.filter(~whole).select(*KEY, "lo", F.posexplode("values").alias("i", "v"))
     rest = rest.select(*KEY, (F.col("lo") + F.col("i")).alias("t"), "v")
-    z = standardised(rest, block_len)
+    z = standardised(rest, block_len).filter("v is not null")
     length = z.groupBy(*KEY).agg(F.count("*").alias("full"))
     half = z.filter("t % 2 = 0").select(*KEY, F.floor(F.col("t") / 2).alias("t"), "v")
-    a = _windowed_break(z, length, True, block_len).withColumnRenamed("share", names[0])
-    b = _windowed_break(half, length, False, block_len).withColumnRenamed("share", names[1])
-    return out.unionByName(a.join(b, KEY).select(*KEY, *names))
+    a = _windowed_break(z, length.withColumn("n", F.col("full")), True, block_len).withColumnRenamed("share", names[0])
+    b = _windowed_break(half, length.withColumn("n", F.floor(F.col("full") / 2)), False, block_len).withColumnRenamed("share", names[1])
+    keys = rest.select(*KEY).distinct()
+    return out.unionByName(keys.join(a, KEY, "left").join(b, KEY, "left").select(*KEY, *names))
 
 
-def _windowed_break(z: DataFrame, length: DataFrame, spread: bool, block_len: int) -> DataFrame:
-    """Break share of long series: detrended windows of the running sum by aggregation."""
-    sizes = z.groupBy(*KEY).agg(F.count("*").alias("n")).join(length, KEY)
-    rows = attach(split_blocks(z, block_len=block_len), sizes, block_len)
-    inside = rows.withColumn("c", F.sum("v").over(in_order()))
-    ends = inside.groupBy(*BLOCK_KEY).agg(F.max_by("c", "t").alias("e"))
-    before = Window.partitionBy(*KEY).orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    base = ends.select(*BLOCK_KEY, F.coalesce(F.sum("e").over(before), F.lit(0.0)).alias("base"))
-    top = F.log(F.floor(F.col("full") / 2))
-    grid = F.array_distinct(
-        F.transform(
-            F.sequence(F.lit(0), F.lit(49)),
-            lambda i: F.floor(F.exp(F.log(F.lit(5.0)) + i * (top - F.log(F.lit(5.0))) / 49) + 0.5),
-        )
-    )
-    walk = inside.join(base, BLOCK_KEY).select(*KEY, "n", "t", (F.col("c") + F.col("base")).alias("y"), F.explode(grid).alias("tau"))
-    walk = walk.withColumn("w", F.floor(F.col("t") / F.col("tau"))).filter(F.col("w") < F.floor(F.col("n") / F.col("tau")))
-    walk = walk.withColumn("x", (F.col("t") % F.col("tau") + 1).cast("double"))
-    key = [*KEY, "tau", "w"]
-    fit = walk.groupBy(*key).agg(F.regr_slope("y", "x").alias("m"), F.avg("x").alias("mx"), F.avg("y").alias("my"))
-    # the first block of a window salts the join, so a window of half the series is no hot key
-    salt = F.floor(F.col("t") / block_len)
-    lines = fit.withColumn(
-        "salt",
-        F.explode(
-            F.sequence(
-                F.floor(F.col("w") * F.col("tau") / block_len),
-                F.floor(((F.col("w") + 1) * F.col("tau") - 1) / block_len),
-            )
-        ),
-    )
-    rest = walk.withColumn("salt", salt).join(lines, [*key, "salt"])
-    r = F.col("y") - F.col("my") - F.col("m") * (F.col("x") - F.col("mx"))
-    measure = F.pow(F.max(r) - F.min(r), F.lit(2.0)) if spread else F.avg(r * r)
-    per = rest.groupBy(*key).agg(measure.alias("q")).groupBy(*KEY, "tau").agg(F.sqrt(F.avg("q")).alias("f"))
+def _windowed_break(z: DataFrame, sizes: DataFrame, spread: bool, block_len: int) -> DataFrame:
+    """Break share of long series; ``sizes`` has the rows ``n`` and the ``full`` length that gives the scales.
+
+    A block has at most two windows of each scale that reach over its ends.  Their lines are
+    fitted from sums over the blocks, and each block then measures its part of the residuals.
+    """
+    blocks = to_blocks(z, block_len=block_len)
+    ends = blocks.select(*BLOCK_KEY, F.aggregate("values", F.lit(0.0), lambda a, x: a + x).alias("e"))
+    base = ends.select(*BLOCK_KEY, F.coalesce(F.sum("e").over(earlier_blocks()), F.lit(0.0)).alias("base"))
+    walks = attach(blocks, sizes, block_len).join(base, BLOCK_KEY)
+    parts = walks.select(*KEY, F.inline(kernels.window_parts("values", "lo", "base", "n", "full", F.lit(spread))))
+    inside = parts.filter("w is null").select(*KEY, "tau", "k", "q")
+    u2 = F.col("tau") * (F.col("tau") * F.col("tau") - 1) / 12
+    fit = parts.filter("w is not null").groupBy(*KEY, "tau", "w").agg((F.sum("s") / F.col("tau")).alias("level"), (F.sum("c") / u2).alias("slope"))
+    first = F.floor(F.col("w") * F.col("tau") / block_len)
+    last = F.floor(((F.col("w") + 1) * F.col("tau") - 1) / block_len)
+    lines = fit.withColumn("block", F.explode(F.sequence(first, last)))
+    lines = lines.groupBy(*BLOCK_KEY).agg(F.collect_list(F.struct("tau", "w", "level", "slope")).alias("lines"))
+    met = blocks.join(base, BLOCK_KEY).join(lines, BLOCK_KEY)
+    met = met.select(*KEY, F.inline(kernels.window_rests("values", "lo", "base", "lines.tau", "lines.w", "lines.level", "lines.slope")))
+    measure = F.pow(F.max("high") - F.min("low"), F.lit(2.0)) if spread else F.sum("ss") / F.col("tau")
+    over = met.groupBy(*KEY, "tau", "w").agg(measure.alias("q")).select(*KEY, "tau", F.lit(1).cast("bigint").alias("k"), "q")
+    per = inside.unionByName(over).groupBy(*KEY, "tau").agg(F.sqrt(F.sum("q") / F.sum("k")).alias("f"))
     packed = per.groupBy(*KEY).agg(F.sort_array(F.collect_list(F.struct("tau", "f"))).alias("x"))
     return packed.select(*KEY, kernels.break_of_scales("x.tau", "x.f").alias("share"))
 

@@ -5,12 +5,13 @@ import sys
 from pathlib import Path
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from helpers import assert_same, points, some_series
 from seriesprep.functions import kernels
-from seriesprep.operators import autocorr, order
+from seriesprep.operators import autocorr, library, order
 
 
 def dense(y, q, span):
@@ -96,3 +97,19 @@ def test_value_buckets_stay_small_and_ranks_exact(spark, kind):
         assert all(got[name, t] == (r, len(x)) for t, r in enumerate(rank.tolist()))
     pairs = {r["series_id"]: r["pairs"] for r in order.inversions(p, block).collect()}
     assert pairs["a"] == sum(int((v[i] > v[i + 1 :]).sum()) for i in range(n))
+
+
+@pytest.mark.parametrize("block", [16, 70])
+def test_fluctuation_of_long_series_of_odd_length(spark, block):
+    """Windows over several blocks, an odd length, a constant series and one with fewer than 12 scales."""
+    rng = np.random.default_rng(5)
+    series = {"walk": np.cumsum(rng.normal(size=331)), "noise": rng.normal(size=257), "flat": np.full(90, 2.0), "brief": rng.normal(size=21)}
+    p = points(spark, series).repartition(3).cache()
+    assert_same(library.fluctuation(p), library.fluctuation(p, block), tol=1e-9)
+
+
+def test_fluctuation_hands_on_few_rows_a_block():
+    """A block gives one row for the windows inside and at most two more for each scale, whatever its length."""
+    values = np.random.default_rng(2).normal(size=5000)
+    rows = kernels.window_parts.func(*[pd.Series([x]) for x in (values, 5000, 3.0, 20_000, 20_000, True)])[0]
+    assert len(rows) <= 3 * len(kernels.scale_grid(20_000))
