@@ -198,7 +198,17 @@ _rows("l17_fluctuation", library.fluctuation, oracle=sql([*BASIS, *FLUCTUATION],
 _rows("l18_density_shift", library.density_shift)
 _rows("l22_arch_statistic", library.arch_statistic, oracle=sql([*BASIS, *regression("sq", [f"x{k}" for k in range(1, 13)], SQUARES)], """SELECT s.series_id, s.channel, f.arch_stat FROM stats s LEFT JOIN (
   SELECT series_id, channel, 1 - sum(y * y) FILTER (step = 12) / sum(y * y) FILTER (step = 0) AS arch_stat FROM sq_fit GROUP BY ALL) f USING (series_id, channel)""", ["arch_stat"]))
-_rows("l26_holt_parameters", library.holt_parameters)
+HOLT = [
+    "grid AS (SELECT i / 10 AS alpha, j / 10 AS beta FROM range(1, 11) r(i), range(0, 11) s(j) WHERE j <= i)",
+    """holt AS (SELECT a.series_id, a.channel, alpha, beta, a.t, a.v AS l, a.v - b.v AS s, 0.0::DOUBLE AS sse
+    FROM z a JOIN z b ON a.series_id = b.series_id AND a.channel = b.channel AND a.t = 1 AND b.t = 0, grid WHERE a.n >= 3
+  UNION ALL
+  SELECT h.series_id, h.channel, alpha, beta, z.t, l + s + alpha * (v - l - s), s + alpha * beta * (v - l - s), sse + (v - l - s) * (v - l - s)
+    FROM holt h JOIN z ON h.series_id = z.series_id AND h.channel = z.channel AND z.t = h.t + 1)""",
+]
+_rows("l26_holt_parameters", library.holt_parameters, oracle=sql(["RECURSIVE " + WEEKLY, *BASIS[1:], *HOLT], """SELECT s.series_id, s.channel, f.alpha, f.beta FROM stats s LEFT JOIN (
+  SELECT series_id, channel, alpha, beta FROM holt JOIN stats USING (series_id, channel) WHERE t = n - 1
+  QUALIFY row_number() OVER (PARTITION BY series_id, channel ORDER BY sse, alpha, beta) = 1) f USING (series_id, channel)""", ["alpha", "beta"]))
 _rows("l29_nonlinearity", library.nonlinearity, oracle=sql([*BASIS, *regression("nl", ["x1", "x2", "x3"], POWERS)], """SELECT s.series_id, s.channel, f.nonlinearity FROM stats s LEFT JOIN (
   SELECT series_id, channel, m * ln(a / b) * 10 / (m + 1) AS nonlinearity FROM (
     SELECT series_id, channel, count(*) FILTER (step = 0) AS m, sum(y * y) FILTER (step = 1) AS a, sum(y * y) FILTER (step = 3) AS b FROM nl_fit GROUP BY ALL)) f

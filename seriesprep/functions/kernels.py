@@ -742,25 +742,44 @@ def holt_maps(values: pd.Series, start: pd.Series) -> pd.Series:
     squared one-step errors add up to h' Q h; each entry is M (2x3) then Q (3x3).
     ``start`` values at the front are skipped.
     """
-    alpha = np.array([g[0] for g in HOLT_GRID])
-    beta = np.array([g[1] for g in HOLT_GRID])
     out = []
     for v, s in zip(values, start):
-        g = len(alpha)
-        level = np.tile([1.0, 0.0, 0.0], (g, 1))
-        slope = np.tile([0.0, 1.0, 0.0], (g, 1))
-        q = np.zeros((g, 3, 3))
-        for x in _arr(v)[int(s) :]:
-            ahead = level + slope
-            err = -ahead
-            err[:, 2] += x
-            q += err[:, :, None] * err[:, None, :]
-            level = ahead + alpha[:, None] * err
-            slope = slope + (alpha * beta)[:, None] * err
-        out.append(list(np.concatenate([level, slope, q.reshape(g, 9)], axis=1)))
+        state, q = _holt_block(_arr(v)[int(s) :])
+        out.append(list(np.concatenate([state[:, :2].reshape(-1, 6), q.reshape(-1, 9)], axis=1)))
     return pd.Series(out, dtype=object)
 
 
+def _holt_block(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """State map (3x3) and error form (3x3) of a run of values, per grid point.
+
+    About sqrt(n) runs step side by side, so Python takes sqrt(n) steps; then
+    neighbouring runs are joined two by two, as joining maps is associative.
+    """
+    alpha = np.array([g[0] for g in HOLT_GRID])[:, None]
+    gain = np.array([g[0] * g[1] for g in HOLT_GRID])[:, None]
+    length = max(int(np.sqrt(len(x))), 1)
+    runs = max(-(-len(x) // length), 1)
+    state = np.tile(np.eye(3), (runs, len(HOLT_GRID), 1, 1))
+    q = np.zeros_like(state)
+    for i in range(length):
+        now = x[i::length]  # value i of every run that has one: the last run may be shorter
+        if not len(now):
+            break
+        level, slope = state[: len(now), :, 0], state[: len(now), :, 1]
+        ahead = level + slope
+        err = -ahead
+        err[:, :, 2] += now[:, None]
+        q[: len(now)] += err[:, :, :, None] * err[:, :, None, :]
+        level[:] = ahead + alpha * err
+        slope += gain * err
+    while len(state) > 1:
+        even = len(state) // 2 * 2
+        first, second = state[0:even:2], state[1:even:2]
+        joined = q[0:even:2] + first.swapaxes(-1, -2) @ q[1:even:2] @ first
+        state, q = np.concatenate([second @ first, state[even:]]), np.concatenate([joined, q[even:]])
+    return state[0], q[0]
+
+
 # ------------------------------------------------------------ super smoother
 def _running_line(y: np.ndarray, half: int):
     """Local-linear fit on t-half .. t+half (one-sided windows keep their length at the

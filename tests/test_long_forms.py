@@ -113,3 +113,17 @@ def test_fluctuation_hands_on_few_rows_a_block():
     values = np.random.default_rng(2).normal(size=5000)
     rows = kernels.window_parts.func(*[pd.Series([x]) for x in (values, 5000, 3.0, 20_000, 20_000, True)])[0]
     assert len(rows) <= 3 * len(kernels.scale_grid(20_000))
+
+
+@pytest.mark.parametrize("n", [0, 1, 2, 3, 7, 16, 17, 250, 1001])
+def test_holt_maps_equal_single_steps(n):
+    x = np.random.default_rng(n).normal(size=n)
+    state, q = kernels._holt_block(x)
+    for g, (alpha, beta) in enumerate(kernels.HOLT_GRID):
+        level, slope, total = 0.7, -0.3, 0.0
+        for v in x:
+            e = v - level - slope
+            level, slope, total = level + slope + alpha * e, slope + alpha * beta * e, total + e * e
+        h = np.array([0.7, -0.3, 1.0])
+        np.testing.assert_allclose(state[g] @ h, [level, slope, 1.0], rtol=1e-9, atol=1e-9)
+        np.testing.assert_allclose(h @ q[g] @ h, total, rtol=1e-9, atol=1e-9)
