@@ -85,7 +85,51 @@ def top3(spark, d):
     return rounded(rows.drop("period_value1", "trend_strength1", "if_season", "if_trend"))
 
 
-@query("math7_decomposition")
+def line_weights(name, q, n, first, last, span):
+    """Weights of a local line of width q at positions first..last of n points, as rows (pos, j, w)."""
+    return f"""{name} AS MATERIALIZED (SELECT pos, j, CASE WHEN sqrt(spread) > 0.001 * {span} THEN w * ((pos - centre) / spread * (j - centre) + 1) ELSE w END AS w FROM (
+  SELECT *, sum(w * (j - centre) * (j - centre)) OVER (PARTITION BY pos) AS spread FROM (
+    SELECT *, sum(w * j) OVER (PARTITION BY pos) AS centre FROM (
+      SELECT pos, j, u / sum(u) OVER (PARTITION BY pos) AS w FROM (
+        SELECT pos, j, CASE WHEN d <= 0.001 * h THEN 1.0::DOUBLE WHEN d <= 0.999 * h THEN pow(1 - pow(d / h, 3), 3) ELSE 0 END AS u FROM (
+          SELECT pos, l + i AS j, CAST(abs(l + i - pos) AS DOUBLE) AS d, CAST(greatest(pos - l, l + {q} - 1 - pos) AS DOUBLE) AS h
+          FROM (SELECT pos, greatest(0, least(pos - ({q} - 1) // 2, {n} - {q})) AS l FROM range({first}, {last} + 1) r(pos)), range({q}) s(i)))))))"""
+
+
+def seasonal_passes(p, n, wide, low, passes=5):
+    """The smoothing passes as joins with weights; p must divide n."""
+    keys = "series_id, channel"
+    ctes = [
+        line_weights("around_cycle", 7, n // p, -1, n // p, n // p - 1),
+        line_weights("around_low", low, n, 0, n - 1, n - 1),
+        line_weights("around_trend", wide, n, 0, n - 1, n - 1),
+        f"trend_0 AS (SELECT {keys}, t, 0.0::DOUBLE AS x FROM pts)",
+    ]
+    for k in range(1, passes + 1):
+        ctes += [
+            f"""cycle_{k} AS MATERIALIZED (SELECT {keys}, pos * {p} + phase AS t, sum(w * y) AS c FROM (
+  SELECT {keys}, t // {p} AS j, t % {p} AS phase, v - x AS y FROM pts JOIN trend_{k - 1} USING ({keys}, t)) JOIN around_cycle USING (j) GROUP BY {keys}, pos, phase)""",
+            f"""low_{k} AS MATERIALIZED (SELECT {keys}, t + {p} AS j, avg(b) OVER (PARTITION BY {keys} ORDER BY t ROWS BETWEEN CURRENT ROW AND 2 FOLLOWING) AS y FROM (
+  SELECT *, avg(a) OVER (PARTITION BY {keys} ORDER BY t ROWS BETWEEN CURRENT ROW AND {p - 1} FOLLOWING) AS b FROM (
+    SELECT *, avg(c) OVER (PARTITION BY {keys} ORDER BY t ROWS BETWEEN CURRENT ROW AND {p - 1} FOLLOWING) AS a FROM cycle_{k})))""",
+            f"""seasonal_{k} AS MATERIALIZED (SELECT {keys}, t, c - x AS s FROM cycle_{k} JOIN (
+  SELECT {keys}, pos AS t, sum(w * y) AS x FROM low_{k} JOIN around_low USING (j) GROUP BY {keys}, pos) USING ({keys}, t))""",
+            f"""trend_{k} AS MATERIALIZED (SELECT {keys}, pos AS t, sum(w * (v - s)) AS x FROM (
+  SELECT {keys}, t AS j, v, s FROM pts JOIN seasonal_{k} USING ({keys}, t)) JOIN around_trend USING (j) GROUP BY {keys}, pos)""",
+        ]
+    return ctes
+
+
+# At period 24 the trend is 47 points wide and the low pass 25.
+@query(
+    "math7_decomposition",
+    sql(
+        [HOURLY, pts("hourly"), *seasonal_passes(24, base.HOURS, 47, 25)],
+        "SELECT series_id, channel, t, v, s AS seasonal, x AS trend, v - s - x AS resid FROM pts JOIN seasonal_5 USING (series_id, channel, t) JOIN trend_5 USING (series_id, channel, t)",
+        ["v", "seasonal", "trend", "resid"],
+        ["t"],
+    ),
+)
 def math7(spark, d):
     return rounded(decompose.components(base.hourly(spark, d), 24))
 

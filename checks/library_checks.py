@@ -149,7 +149,17 @@ def regression(name, columns, rows):
     return [*ctes, f"{name}_fit AS ({steps})"]
 
 
-_rows("l11_periodicity", library.periodicity)
+SPLINE = """SELECT series_id, channel, t, v AS y, x, x * x AS x2, x * x * x AS x3, pow(greatest(x - (n // 2 - 1) / half + 1, 0), 3) AS u3 FROM (
+  SELECT *, greatest((n - 1) / 2, 1) AS half, t / greatest((n - 1) / 2, 1) - 1 AS x FROM z)"""
+WANG = [
+    *regression("spline", ["x", "x2", "x3", "u3"], SPLINE),
+    """wang AS (SELECT a.series_id, a.channel, b.t - a.t AS k, sum(a.y * b.y) / count(*) AS ac FROM spline_4 a JOIN spline_4 b ON a.series_id = b.series_id AND a.channel = b.channel AND b.t > a.t
+  JOIN stats s ON s.series_id = a.series_id AND s.channel = a.channel AND b.t - a.t <= ceil(n / 3) GROUP BY a.series_id, a.channel, b.t - a.t)""",
+    "beside AS (SELECT *, lag(ac) OVER w AS p, lead(ac) OVER w AS x FROM wang WINDOW w AS (PARTITION BY series_id, channel ORDER BY k))",
+    "trough AS (SELECT *, last_value(CASE WHEN ac < p AND ac < x THEN ac END IGNORE NULLS) OVER (PARTITION BY series_id, channel ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS low FROM beside)",
+]
+_rows("l11_periodicity", library.periodicity, oracle=sql([*BASIS, *WANG], """SELECT s.series_id, s.channel, CASE WHEN s.sd > 0 THEN CAST(coalesce(f.k - 1, 0) AS DOUBLE) END AS PD_PeriodicityWang_th0_01 FROM stats s LEFT JOIN (
+  SELECT series_id, channel, min(k) AS k FROM trough WHERE ac > p AND ac > x AND ac - low >= 0.01 AND ac >= 0 GROUP BY ALL) f USING (series_id, channel)""", ["PD_PeriodicityWang_th0_01"]))
 
 WELCH = """padded AS (SELECT *, CAST(pow(2, ceil(log2(n))) AS BIGINT) AS size FROM z),
 power AS (SELECT series_id, channel, size, k, n,
@@ -195,7 +205,18 @@ _rows("l17_fluctuation", library.fluctuation, oracle=sql([*BASIS, *FLUCTUATION],
   FROM stats s LEFT JOIN share a ON (s.series_id, s.channel, 'rs') = (a.series_id, a.channel, a.kind)
   LEFT JOIN share b ON (s.series_id, s.channel, 'dfa') = (b.series_id, b.channel, b.kind)""",
     ["SC_FluctAnal_2_rsrangefit_50_1_logi_prop_r1", "SC_FluctAnal_2_dfa_50_1_2_logi_prop_r1"]))
-_rows("l18_density_shift", library.density_shift)
+DENSITY = [
+    """setup AS (SELECT series_id, channel, any_value(n) AS n, min(v) AS low, max(v) AS high,
+    0.9 * pow(any_value(n), -0.2) * CASE WHEN quantile_cont(v, 0.75) > quantile_cont(v, 0.25) THEN least(stddev_samp(v), (quantile_cont(v, 0.75) - quantile_cont(v, 0.25)) / 1.34) ELSE stddev_samp(v) END AS bw
+  FROM z GROUP BY series_id, channel HAVING any_value(n) > 20)""",
+    """dens AS (SELECT series_id, channel, z.t, i, high - low AS width, s.n, avg(greatest(exp(-pow((low + i * (high - low) / 99 - v) / bw, 2) / 2) / (bw * sqrt(2 * pi())), exp(-722) / sqrt(2 * pi())))
+    OVER (PARTITION BY series_id, channel, i ORDER BY z.t ROWS BETWEEN 9 PRECEDING AND CURRENT ROW) AS m FROM z JOIN setup s USING (series_id, channel), range(100) r(i))""",
+    """kl AS (SELECT series_id, channel, t, any_value(n) AS n, CASE WHEN t >= 9 THEN sum(m * (ln(m) - ln(x))) * any_value(width) / 99 ELSE 0 END AS d FROM (
+  SELECT *, lead(m, 10) OVER (PARTITION BY series_id, channel, i ORDER BY t) AS x FROM dens) GROUP BY series_id, channel, t)""",
+    "step AS (SELECT series_id, channel, t, lead(d) OVER (PARTITION BY series_id, channel ORDER BY t) - d AS gap FROM kl WHERE t <= n - 11)",
+]
+_rows("l18_density_shift", library.density_shift, oracle=sql([*BASIS, *DENSITY], """SELECT s.series_id, s.channel, f.gap AS max_kl_shift, CAST(f.t + 10 AS DOUBLE) AS time_kl_shift FROM stats s LEFT JOIN (
+  SELECT * FROM step WHERE gap IS NOT NULL QUALIFY row_number() OVER (PARTITION BY series_id, channel ORDER BY gap DESC, t) = 1) f USING (series_id, channel)""", ["max_kl_shift", "time_kl_shift"]))
 _rows("l22_arch_statistic", library.arch_statistic, oracle=sql([*BASIS, *regression("sq", [f"x{k}" for k in range(1, 13)], SQUARES)], """SELECT s.series_id, s.channel, f.arch_stat FROM stats s LEFT JOIN (
   SELECT series_id, channel, 1 - sum(y * y) FILTER (step = 12) / sum(y * y) FILTER (step = 0) AS arch_stat FROM sq_fit GROUP BY ALL) f USING (series_id, channel)""", ["arch_stat"]))
 HOLT = [
