@@ -35,6 +35,17 @@ def src2(spark, d):
     return rounded(points.groupBy("t").agg(F.count("*").alias("n"), F.sum("v").alias("v")), 4)
 
 
+# The first value of a sample stands for its number, which the store does not keep.
+@query("src2_npy_any_store", "SELECT round(CAST(embedding[1] AS DOUBLE), 6) + 0.0 AS head, i - 1 AS t, round(CAST(embedding[i] AS DOUBLE), 6) + 0.0 AS v FROM embeddings, range(1, 65) r(i)")
+def src2_any_store(spark, d):
+    from seriesprep.sources.npy import read_tensor, write_tensor_parts
+
+    path = scratch_dir(spark, "tensor")
+    write_tensor_parts(base.vectors(spark, d), path)
+    rows = read_tensor(spark, path, whole_bytes=1 << 20)
+    return rounded(rows.select(F.get("values", F.lit(0)).alias("head"), F.posexplode("values").alias("t", "v")))
+
+
 @query("src3_length_range", "SELECT min(len(embedding)) AS min_length, max(len(embedding)) AS max_length FROM embeddings")
 def src3(spark, d):
     return tables.length_range(base.vectors(spark, d))
@@ -45,13 +56,13 @@ def _write_csv(frame, path):
     frame.write.option("header", True).csv(path)
 
 
-@query("src4_dated_csv", sql([DAILY], "SELECT series_id AS channel, count(*) AS n, sum(v) AS v FROM daily GROUP BY ALL", ["v"], ["n"], 0, key=("channel",)))
+@query("src4_dated_csv", sql([DAILY], "SELECT series_id AS channel, t, v FROM daily", ["v"], ["t"], 2, key=("channel",)))
 def src4(spark, d):
     path = scratch_dir(spark, "dated")
     rows = base.daily(spark, d).repartition(5, "series_id").sortWithinPartitions("series_id", "t")
     _write_csv(rows.select(F.col("t").alias("date"), F.col("v").alias("data"), F.col("series_id").alias("cols")), path)
     points = tables.read_long_csv(spark, path)
-    return rounded(points.groupBy("channel").agg(F.count("*").alias("n"), F.sum("v").alias("v")), 0)
+    return rounded(points.select("channel", "t", "v"), 2)
 
 
 @query("src4_undated_csv_positions", sql([DAILY], "SELECT series_id AS channel, t, v FROM daily", ["v"], ["t"], 2, key=("channel",)))
@@ -80,14 +91,14 @@ def src7(spark, d):
 
 @query(
     "src8_directory_scan",
-    sql([DAILY], "SELECT 'all' AS kind, count(*) AS n, sum(v) AS v FROM daily", ["v"], ["n"], 0, key=("kind",)),
+    sql([DAILY], "SELECT series_id AS channel, v FROM daily", ["v"], (), 2, key=("channel",)),
 )
 def src8(spark, d):
     path = scratch_dir(spark, "directory")
     rows = base.daily(spark, d).repartition(5, "series_id")
     _write_csv(rows.select(F.col("t").alias("date"), F.col("v").alias("data"), F.col("series_id").alias("cols")), path)
     points = tables.read_long_csv(spark, path)
-    return rounded(points.groupBy(F.lit("all").alias("kind")).agg(F.count("*").alias("n"), F.sum("v").alias("v")), 0)
+    return rounded(points.select("channel", "v"), 2)
 
 
 @query("src9_stored_report", sql([WEEKLY], "SELECT series_id, channel, avg(v) AS mean, var_samp(v) AS var FROM weekly GROUP BY ALL", ["mean", "var"], (), 2))

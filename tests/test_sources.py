@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from helpers import table
 from seriesprep.layout import arrays_to_points, longest_series
 from seriesprep.sources import tables
-from seriesprep.sources.npy import NpyTensorSource
+from seriesprep.sources.npy import NpyTensorSource, read_tensor
 
 
 def write(path, text):
@@ -89,3 +89,29 @@ def test_contract(spark):
     assert set(entry.oracle_sql()) <= set(entry.queries())
     rows = entry.entry(spark).collect()
     assert len(rows) == 10 and {"Trend", "keep", "reasons"} <= set(rows[0].asDict())
+
+
+@pytest.mark.parametrize("limit", [0, 1 << 30])
+@pytest.mark.parametrize("shape, kind", [((5, 7, 1), "float32"), ((3, 20_011), "float64"), ((40_000,), "int16"), ((2, 3, 4), "float64"), ((0, 4), "float64")])
+def test_tensor_by_the_readers_of_spark(spark, tmp_path, limit, shape, kind):
+    """Whole files and ranges of records give the same samples; ranges are forced to be small."""
+    x = (np.random.default_rng(1).normal(size=shape) * 100).astype(kind)
+    np.save(tmp_path / "a b.npy", x)
+    (tmp_path / "note.txt").write_text("no tensor")
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    conf.set("mapreduce.input.fileinputformat.split.maxsize", "50000")
+    try:
+        got = {r[0]: r[1] for r in read_tensor(spark, f"file://{tmp_path}", limit).collect()}
+    finally:
+        conf.unset("mapreduce.input.fileinputformat.split.maxsize")
+    rows = x.reshape(1, -1) if x.ndim == 1 else x.reshape(len(x), -1) if len(x) else []
+    assert got == {f"a b_{i}": [float(v) for v in row] for i, row in enumerate(rows)}
+
+
+def test_tensor_in_fortran_order(spark, tmp_path):
+    x = np.asfortranarray(np.arange(12.0).reshape(3, 4))
+    np.save(tmp_path / "f.npy", x)
+    got = {r[0]: r[1] for r in read_tensor(spark, str(tmp_path)).collect()}
+    assert got == {f"f_{i}": list(x[i]) for i in range(3)}
+    with pytest.raises(ValueError, match="C order"):
+        read_tensor(spark, str(tmp_path), 0)
