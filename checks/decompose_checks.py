@@ -134,6 +134,23 @@ def math7(spark, d):
     return rounded(decompose.components(base.hourly(spark, d), 24))
 
 
+@query(
+    "math8_math9_strengths_of_a_period",
+    sql(
+        [HOURLY, pts("hourly"), *seasonal_passes(24, base.HOURS, 47, 25)],
+        """SELECT series_id, channel, CAST(24 AS BIGINT) AS period, CASE WHEN var_pop(v - x) = 0 THEN 0 ELSE greatest(0, 1 - var_pop(v - s - x) / var_pop(v - x)) END AS seasonal_strength,
+    CASE WHEN var_pop(v - s) = 0 THEN 0 ELSE greatest(0, 1 - var_pop(v - s - x) / var_pop(v - s)) END AS trend_strength
+  FROM pts JOIN seasonal_5 USING (series_id, channel, t) JOIN trend_5 USING (series_id, channel, t) GROUP BY series_id, channel""",
+        ["seasonal_strength", "trend_strength"],
+        ["period"],
+    ),
+)
+def math8(spark, d):
+    points = base.hourly(spark, d)
+    tested = points.groupBy(*KEY).agg(F.count("*").alias("n"), F.array(F.lit(24).cast("bigint")).alias("periods"))
+    return rounded(decompose.strengths(points, tested))
+
+
 @query(
     "math7_components_add_up",
     sql([DAILY], "FROM daily", ["v"], ["t"], 2),
