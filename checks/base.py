@@ -161,3 +161,20 @@ STATS = """stats AS (
 
 def pts(fixture: str) -> str:
     return f"pts AS (SELECT * FROM {fixture})"
+
+
+def regression(name, columns, rows):
+    """Residuals of y on a constant and the columns, one column at a time (Gram-Schmidt): ``{name}_fit`` with ``step``.
+
+    A column without any variance, or fully explained by those before it, takes nothing away.
+    """
+    keys = "series_id, channel, t"
+    whole = "OVER (PARTITION BY series_id, channel)"
+    complete = " AND ".join(f"{c} IS NOT NULL" for c in columns)
+    centred = ", ".join(f"{c} - avg({c}) {whole} AS {c}" for c in ["y", *columns])
+    ctes = [f"{name}_0 AS MATERIALIZED (SELECT {keys}, {centred} FROM ({rows}) WHERE {complete})"]
+    for i, q in enumerate(columns):
+        left = ", ".join(f"{c} - coalesce({q} * (sum({c} * {q}) {whole}) / nullif(sum({q} * {q}) {whole}, 0), 0) AS {c}" for c in ["y", *columns[i + 1 :]])
+        ctes.append(f"{name}_{i + 1} AS MATERIALIZED (SELECT {keys}, {left} FROM {name}_{i})")
+    steps = " UNION ALL ".join(f"SELECT series_id, channel, y, {i} AS step FROM {name}_{i}" for i in range(len(columns) + 1))
+    return [*ctes, f"{name}_fit AS ({steps})"]

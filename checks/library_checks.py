@@ -6,7 +6,7 @@ from seriesprep.operators import autocorr, library, spectrum
 
 from . import base
 from .autocorr_checks import ACF
-from .base import HOURLY, STATS, WEEKLY, pts, query, rounded, sql
+from .base import HOURLY, STATS, WEEKLY, pts, query, regression, rounded, sql
 from .spectrum_checks import AMP
 
 Z = "z AS (SELECT series_id, channel, t, n, (v - mean) / sd AS v FROM pts JOIN stats USING (series_id, channel))"
@@ -135,20 +135,6 @@ SQUARES = "SELECT series_id, channel, t, v * v AS y, " + ", ".join(f"lag(v * v,
 POWERS = f"SELECT *, x1 * x1 AS x2, x1 * x1 * x1 AS x3 FROM (SELECT series_id, channel, t, v AS y, lag(v) {SERIES} AS x1 FROM z)"
 
 
-def regression(name, columns, rows):
-    """Residuals of y on a constant and the columns, one column at a time (Gram-Schmidt): ``{name}_fit`` with ``step``."""
-    keys = "series_id, channel, t"
-    whole = "OVER (PARTITION BY series_id, channel)"
-    complete = " AND ".join(f"{c} IS NOT NULL" for c in columns)
-    centred = ", ".join(f"{c} - avg({c}) {whole} AS {c}" for c in ["y", *columns])
-    ctes = [f"{name}_0 AS MATERIALIZED (SELECT {keys}, {centred} FROM ({rows}) WHERE {complete})"]
-    for i, q in enumerate(columns):
-        left = ", ".join(f"{c} - {q} * (sum({c} * {q}) {whole}) / (sum({q} * {q}) {whole}) AS {c}" for c in ["y", *columns[i + 1 :]])
-        ctes.append(f"{name}_{i + 1} AS MATERIALIZED (SELECT {keys}, {left} FROM {name}_{i})")
-    steps = " UNION ALL ".join(f"SELECT series_id, channel, y, {i} AS step FROM {name}_{i}" for i in range(len(columns) + 1))
-    return [*ctes, f"{name}_fit AS ({steps})"]
-
-
 SPLINE = """SELECT series_id, channel, t, v AS y, x, x * x AS x2, x * x * x AS x3, pow(greatest(x - (n // 2 - 1) / half + 1, 0), 3) AS u3 FROM (
   SELECT *, greatest((n - 1) / 2, 1) AS half, t / greatest((n - 1) / 2, 1) - 1 AS x FROM z)"""
 WANG = [
