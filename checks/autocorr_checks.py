@@ -205,7 +205,17 @@ def math10(spark, d):
     return rounded(unitroot.adf(base.weekly(spark, d), longest=base.WEEKS))
 
 
-@query("math12_stationarity")
+@query(
+    "math12_stationarity",
+    sql(
+        [*BASIS, AUTO_LAGS, kpss_cte("auto"), *ADF],
+        f"""SELECT series_id, channel, CASE WHEN q IS NOT NULL THEN p END AS adf_pvalue, CASE WHEN p IS NOT NULL THEN q END AS kpss_pvalue,
+    CASE WHEN p IS NOT NULL AND q IS NOT NULL THEN p <= 0.05 OR q >= 0.05 END AS stability
+  FROM stats LEFT JOIN (SELECT series_id, channel, p FROM adf_p) a USING (series_id, channel) LEFT JOIN (SELECT series_id, channel, {P} AS q FROM kp) k USING (series_id, channel)""",
+        ["adf_pvalue", "kpss_pvalue"],
+        ["stability"],
+    ),
+)
 def math12(spark, d):
     points = base.weekly(spark, d)
     return rounded(unitroot.stationarity(points, autocorr.lag_sums(points, longest=base.WEEKS)))
