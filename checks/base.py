@@ -56,6 +56,12 @@ def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
 
 # ------------------------------------------------------------------ fixtures
 WEEKS, HOURS, DAYS = 357, 720, 2405
+GRID_POINTS = 500_000  # of the zero grid, per task
+
+
+def spread(ids: DataFrame, length: int) -> DataFrame:
+    """The same ids over as many tasks as their grid of ``length`` points each needs; a small file is one task else."""
+    return ids.repartition(max(1, -(-ids.count() * length // GRID_POINTS)))
 
 
 def _filled(rows: DataFrame, ids: DataFrame, length: int) -> DataFrame:
@@ -80,7 +86,7 @@ def weekly(spark, sf_dir) -> DataFrame:
         F.floor(day / 7).alias("t"),
         F.col("l_extendedprice").alias("v"),
     )
-    return _filled(rows, ids, WEEKS)
+    return _filled(rows, spread(ids, WEEKS), WEEKS)
 
 
 def hourly(spark, sf_dir) -> DataFrame:
