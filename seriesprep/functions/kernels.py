@@ -11,7 +11,8 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
-from pyspark.sql.functions import pandas_udf
+import pyarrow as pa
+from pyspark.sql.functions import arrow_udf, pandas_udf
 from pyspark.sql.types import ArrayType, DoubleType, LongType, StructField, StructType
 
 
@@ -487,21 +488,22 @@ def outlier_timing_whole(values: pd.Series, mean: pd.Series, sd: pd.Series, sign
     return pd.Series(out, dtype=float)
 
 
-@pandas_udf(ArrayType(_struct(j=LONG, k=LONG, t=LONG)))
-def nth_exceeding(level: pd.Series, lo: pd.Series, wanted: pd.Series) -> pd.Series:
-    """For each wanted (j, k): the t of the k-th (0-based) point of the block with level >= j."""
-    out = []
-    for q, a, req in zip(level, lo, wanted):
-        q = np.asarray(q)
-        hits: dict[int, np.ndarray] = {}
-        found = []
-        for r in req:
-            j, k = int(r["j"]), int(r["k"])
-            if j not in hits:
-                hits[j] = np.flatnonzero(q >= j)
-            found.append({"j": j, "k": k, "t": int(a) + int(hits[j][k])})
-        out.append(found)
-    return pd.Series(out, dtype=object)
+@arrow_udf(ArrayType(_struct(j=LONG, k=LONG, t=LONG)))
+def nth_exceeding(level: pa.Array, lo: pa.Array, wanted: pa.Array) -> pa.Array:
+    """For each wanted (j, k): the t of the k-th (0-based) point of the block with level >= j.
+
+    A batch stays in flat arrays, 24 bytes a wanted entry, and one level's points are held at a time.
+    """
+    levels = level.values.fill_null(-1).to_numpy()
+    j, k = (wanted.values.field(c).to_numpy() for c in ("j", "k"))
+    t = np.empty(len(j), np.int64)
+    ends, at = level.offsets.to_numpy(), wanted.offsets.to_numpy()
+    for i, first in enumerate(lo.to_numpy()):
+        q = levels[ends[i] : ends[i + 1]]
+        order = at[i] + np.argsort(j[at[i] : at[i + 1]], kind="stable")
+        for same in np.split(order, np.flatnonzero(np.diff(j[order])) + 1) if len(order) else []:
+            t[same] = first + np.flatnonzero(q >= j[same[0]])[k[same]]
+    return pa.ListArray.from_arrays(wanted.offsets, pa.StructArray.from_arrays([pa.array(x) for x in (j, k, t)], ["j", "k", "t"]))
 
 
 # -------------------------------------------------------- channel similarity
