@@ -35,9 +35,8 @@ from seriesprep.llm.byte_bpe import slices
 from seriesprep.llm.common import give_back, crc_remainder, query, stage, table, text_or_empty
 
 MAX_EXAMPLES = 4000  # of each label
-MAX_FEATURES = 600
 LEAST_DOCUMENTS = 3  # positives that must hold a feature
-LEAST_SHARE = 0.015  # and this share of all positives, so that one family of copies makes no feature
+LEAST_SHARE = 0.015  # and this share of all positives, so that one family of copies makes no feature; every one that passes is kept
 LEAST_CHI = 25.0
 LEAST_LEAN = 20.0  # times more frequent among positives
 BEGINNINGS = (4, 5, 6)  # letters of word beginnings
@@ -202,7 +201,7 @@ def _select(texts: DataFrame) -> dict[str, int]:
     c, d = n[1] - a, n[0] - b
     chi = (n[0] + n[1]) * (a * d - b * c) ** 2 / ((a + b) * (c + d) * float(n[0]) * n[1])
     leaning = both.filter(F.col("yes") >= max(LEAST_DOCUMENTS, LEAST_SHARE * n[1])).filter(a / n[1] > LEAST_LEAN * b / n[0]).withColumn("chi", chi)
-    best = leaning.filter(F.col("chi") >= LEAST_CHI).orderBy(F.desc("chi"), "feature").limit(MAX_FEATURES)
+    best = leaning.filter(F.col("chi") >= LEAST_CHI).orderBy(F.desc("chi"), "feature")
     return {r["feature"]: i for i, r in enumerate(best.select("feature").collect())}
 
 
@@ -231,7 +230,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col="doc_id", text_col="text") ->
     texts = docs.select(F.col(id_col).alias("doc_id"), text_or_empty(text_col).alias("text"))
     features = _select(texts.join(F.broadcast(sample), "doc_id").select("y", "text"))  # at most 2 * MAX_EXAMPLES ids
     staged = stage(vectors(texts, features).drop("text"), "toxic-vectors")
-    seen = staged.select(F.explode("_vector.terms").alias("t")).groupBy("t").count().collect()  # at most MAX_FEATURES
+    seen = staged.select(F.explode("_vector.terms").alias("t")).groupBy("t").count().collect()  # a row per feature
     df = np.zeros(len(features))
     for r in seen:
         df[r["t"]] = r["count"]
@@ -258,7 +257,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col="doc_id", text_col="text") ->
 
 def score_vectors(rows: DataFrame, model: Model, vector="_vector") -> DataFrame:
     """Replace the vector by ``score`` and ``evidence``, the ids of the nearest examples."""
-    shared = rows.sparkSession.sparkContext.broadcast(model)  # a few MB by MAX_EXAMPLES and MAX_FEATURES
+    shared = rows.sparkSession.sparkContext.broadcast(model)  # a few MB by MAX_EXAMPLES and LEAST_SHARE
 
     @F.arrow_udf("score double, evidence array<bigint>")
     def judge(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
@@ -283,7 +282,7 @@ def score(docs: DataFrame, model: Model, text_col="text") -> DataFrame:
     clash = {"score", "evidence", "_judged"} & set(docs.columns)
     if clash:
         raise ValueError(f"the table already has {sorted(clash)}")
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # a few MB by MAX_EXAMPLES and MAX_FEATURES
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # a few MB by MAX_EXAMPLES and LEAST_SHARE
 
     @F.arrow_udf("score double, evidence array<bigint>")
     def judge(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:

@@ -101,6 +101,12 @@ def test_toxicity_scores(spark):
         toxicity.score(docs.withColumn("score", F.lit(1)), model)
 
 
+def test_toxicity_keeps_every_leaning_feature(spark):
+    vile = " ".join(f"v{i:03d}" for i in range(700))  # as words and as beginnings of four letters
+    rows = [(vile if i % 2 else f"kind talk {i}", i % 2) for i in range(80)]
+    assert len(toxicity._select(spark.createDataFrame(rows, "text string, y int"))) == 1400
+
+
 def test_toxicity_without_labels_or_rows(spark):
     docs, labels = corpus(spark)
     model, _ = toxicity.fit(docs, labels.limit(0))
