@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from seriesprep.llm.byte_bpe import slices
-from seriesprep.llm.common import query, small, stage, table
+from seriesprep.llm.common import give_back, query, small, stage, table
 from seriesprep.llm.exact_dedup import resolve
 
 WINDOW = 2  # lines the boundary hash looks at
@@ -120,6 +120,7 @@ def piece_rows(docs: DataFrame, least_words: int | None) -> DataFrame:
                 at += len(texts)
                 columns = [pa.array(np.concatenate(c)) for c in zip(*found)]
                 yield pa.RecordBatch.from_arrays([batch["id"].take(row), batch["text_hash"].take(row), *columns], names)
+        give_back()
 
     return stage(docs.mapInArrow(run, f"{_first_row()}, line bigint, lines bigint, key bigint, mate bigint"), "line-pieces")
 
@@ -197,6 +198,8 @@ def _places(docs: DataFrame, spans: DataFrame) -> DataFrame:
                     at += 1
         if place:
             yield part(place, contents)
+        place, contents = [], []
+        give_back()
 
     held = docs.join(small(marks), F.col("id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash")))
     held = held.select("id", "text_hash", "text", "marks")
@@ -222,6 +225,8 @@ def _later(places: DataFrame) -> DataFrame:
                 held = []
         if held:
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, (_, t) in zip(zip(*held), kinds)], [k for k, _ in kinds])
+        held = []
+        give_back()
 
     firsts = places.filter("content IS NOT NULL").select("digest", "content", "rep", "id", "text_hash", "line")
     groups = firsts.repartition(F.substring("digest", 1, 4)).mapInArrow(run, "rep bigint, first_id bigint, first_hash bigint, first_line bigint")
@@ -266,6 +271,7 @@ def deduplicate(docs: DataFrame, id_col="doc_id", text_col="text", spans: str |
                     text = "\n".join(lines)
                 done.append(text)
             yield pa.array(done, pa.string())
+        give_back()
 
     text = rest(F.col("_row")[text_col], F.col("_spans"))
     columns = [(text if c == text_col else F.col("_row")[c]).alias(c) for c in docs.columns]

@@ -192,6 +192,7 @@ def _select(texts: DataFrame) -> dict[str, int]:
                 if len(both[0]) + len(both[1]) > CACHE_ENTRIES:
                     yield from flush()
         yield from flush()
+        give_back()
 
     n = {r["y"]: r["count"] for r in texts.groupBy("y").count().collect()}
     if not n.get(0) or not n.get(1):
@@ -220,6 +221,8 @@ def vectors(docs: DataFrame, features: dict[str, int], text_col="text", out="_ve
                     terms.append(t)
                     counts.append(c)
             yield pa.StructArray.from_arrays([pa.array(terms, kind), pa.array(counts, kind)], ["terms", "counts"])
+        del get
+        give_back()
 
     return docs.withColumn(out, extract(text_or_empty(text_col)))
 

@@ -323,3 +323,16 @@ def test_stages_keep_columns_whatever_they_are_called(spark, docs):
         assert [tuple(r) for r in rows] == [tuple(f"keep {n}" for n in names)], name
     out = corpus_pipeline.encode(spark, clashing, SF).collect()
     assert len(out) == docs.count() and all(r["round_trip"] for r in out)
+
+
+def test_pipeline_steps_hold_arrow_batches_of_a_few_mb(spark, docs):
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    try:
+        for given, then in (("67108864b", 4_000_000), ("1000000b", 1_000_000)):  # a smaller one of the session stays
+            for _, step in corpus_pipeline.STAGES[-2:]:
+                spark.conf.set(name, given)
+                step(spark, docs, SF)
+                assert int(spark.conf.get(name).rstrip("b")) == then
+    finally:
+        spark.conf.set(name, before)
