@@ -182,11 +182,27 @@ def read_segment(image: bytes) -> Iterator[tuple[int | None, int, bytes]]:
 
 
 # ------------------------------------------------------------------ encoding
+class Pretokens(dict):
+    """Pre-token to its ids, filled as pre-tokens turn up: from the table before this one, else by the library's merges."""
+
+    def __init__(self, merge, letters: dict[int, str], older: Pretokens | None = None):
+        self.merge, self.letters, self.older = merge, letters, older or {}
+        if older is not None:
+            older.older = {}
+
+    def __missing__(self, pretoken: str) -> bytes:
+        ids = self.older.get(pretoken)
+        if ids is None:
+            ids = array("I", [x.id for x in self.merge(pretoken.translate(self.letters))]).tobytes()
+        self[pretoken] = ids
+        return ids
+
+
 class WordEncoder:
     """Ids of texts as the library encodes them, from bounded tables of parts.
 
     The tokenizer never joins anything across the cuts of its own pattern.  Latin-1 texts are cut by that pattern in one pass,
-    and new pre-tokens encoded many at a time; the word-end mark of the last id of each tells them apart.  Of other
+    and the library's model merges each new pre-token.  Of other
     texts, and of those with the string of a special token, the words go to the library one by one.
     """
 
@@ -195,23 +211,22 @@ class WordEncoder:
     NUMBER = "0-9\xb2\xb3\xb9\xbc-\xbe"
 
     def __init__(self, spec: str):
-        from tokenizers import Tokenizer, normalizers, pre_tokenizers
+        from tokenizers import Tokenizer, pre_tokenizers
 
-        # Latin-1 pre-tokens come in lower case and cut already: only their merges are left to do.
-        self.merge = Tokenizer.from_str(spec)
-        self.merge.encode_special_tokens = True
-        self.merge.normalizer = normalizers.Sequence([])
-        self.merge.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
         self.tk = Tokenizer.from_str(spec)
+        # Latin-1 pre-tokens come in lower case and cut already: only the library's merges are left to do, on their
+        # bytes written as letters.
+        self.merge = self.tk.model.tokenize
+        mapped = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
+        self.letters = {i: mapped(chr(i))[0][0] for i in range(256)}
         # Strings of special tokens stand for these, as the library has it, in any case of letters.
         self.special = [x["content"].lower() for x in json.loads(spec)["added_tokens"]]
-        names = {i: t for t, i in self.tk.get_vocab().items()}
-        self.last = np.array([names.get(i, "").endswith("</w>") for i in range(max(names) + 1)])
         self.find = re.compile(f"[{self.LETTER}]+|'s|'t|'re|'ve|'m|'ll|'d|[{self.NUMBER}]|[^\t-\r {self.LETTER}{self.NUMBER}]+").findall
         self.plain = re.compile("[\t-\r !-~\xa1-\xac\xae-\xff]*+").fullmatch
         self.odd = re.compile("[\x1c-\x1f]").search
         self.cut = re.compile("[ \t\n\r\f\v]+").split
-        self.words, self.older_words, self.tokens, self.older_tokens = {}, {}, {}, {}
+        self.words, self.older_words = {}, {}
+        self.tokens = Pretokens(self.merge, self.letters)
 
     def _pretokens(self, text: str) -> list[str] | None:
         """The pre-tokens of a Latin-1 text; none of any other, nor of one with the string of a special token."""
@@ -220,17 +235,6 @@ class WordEncoder:
         lower = text.lower()
         return None if any(x in lower for x in self.special) else self.find(lower)
 
-    def _learn(self, todo: list[str]) -> None:
-        for at in range(0, len(todo), 2000):
-            part = todo[at : at + 2000]
-            ids = np.array(self.merge.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, "<u4")
-            ends = np.flatnonzero(self.last[ids]) + 1
-            if len(ends) != len(part):
-                raise ValueError("the vocabulary does not mark word ends")
-            raw = ids.tobytes()
-            ends = (ends * 4).tolist()
-            self.tokens.update(zip(part, [raw[a:b] for a, b in zip([0, *ends], ends)]))
-
     def _word(self, word: str) -> bytes:
         ids = self.words.get(word)
         if ids is None:
@@ -244,20 +248,12 @@ class WordEncoder:
         if len(self.words) > CACHE_WORDS:
             self.words, self.older_words = {}, self.words
         if len(self.tokens) > CACHE_PRETOKENS:
-            self.tokens, self.older_tokens = {}, self.tokens
+            self.tokens = Pretokens(self.merge, self.letters, self.tokens)
         gc.disable()  # nothing made here is cyclic
         try:
-            found = [self._pretokens(t) for t in texts]
-            new = set()
-            for pretokens in found:
-                if pretokens is not None:
-                    new.update(pretokens)
-            new -= self.tokens.keys()
-            known = new & self.older_tokens.keys()
-            self.tokens.update(zip(known, map(self.older_tokens.__getitem__, known)))
-            self._learn(list(new - known))
             get, word, out = self.tokens.__getitem__, self._word, []
-            for text, pretokens in zip(texts, found):
+            for text in texts:
+                pretokens = self._pretokens(text)
                 if pretokens is not None:
                     out.append(b"".join(map(get, pretokens)) + end)
                 else:

@@ -104,3 +104,18 @@ def test_files_of_an_empty_table(spark):
     path = f"{shared_folder(spark)}/{uuid.uuid4().hex}"
     token_blocks.write(empty(spark), path)
     assert token_blocks.read(spark, path).count() == 0
+
+
+def test_pretokens_are_merged_once_in_two_rounds():
+    with open(public_tokenizers.path(token_blocks.VOCABULARY), encoding="utf-8") as f:
+        coder = token_blocks.WordEncoder(f.read())
+    plain = plain_words()
+    merged = []
+    merge = coder.merge
+    coder.tokens.merge = lambda letters: merged.append(letters) or merge(letters)
+    texts = ["Zoé's ñandú, 3½ times zoé", "\xa1¿qué! ß\xb5\xff \x7eé", ""]
+    for _ in range(3):  # each time the table before is kept as the older one
+        assert [ids_of(raw) for raw in coder.encode(texts, b"")] == [plain(t) for t in texts]
+        coder.tokens = token_blocks.Pretokens(coder.tokens.merge, coder.letters, coder.tokens)
+        assert not coder.tokens.older.older
+    assert merged and len(merged) == len(set(merged))
