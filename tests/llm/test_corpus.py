@@ -271,6 +271,50 @@ def test_scores_equal_the_formula(spark, docs, monkeypatch):
         assert a[:5] == b[:5] and a[5:] == pytest.approx(b[5:], rel=1e-9)
 
 
+def every_context(texts, held):
+    """Scores by the tree over every context of one to three words, written out; and its states."""
+    texts = [[*words(t), None] for t in texts]
+    count = Counter(tuple(t[k - size : k + 1]) for t, h in zip(texts, held) if not h for k in range(len(t)) for size in range(min(k, 3) + 1))
+    n, v = sum(c for s, c in count.items() if len(s) == 1), sum(len(s) == 1 for s in count)
+    of, alpha = Counter(), suffix_tree_lm.ALPHA
+    for s, c in count.items():
+        of[s[:-1]] += c
+
+    def p(s, w, states):
+        if not s:
+            return (count[(w,)] + 0.5) / (n + 0.5 * (v + 1))
+        below = p(s[1:], w, states)
+        return (count[*s, w] + alpha * below) / (of[s] + alpha) if states is None or s in states else below
+
+    gain = Counter()
+    for (*s, w), c in count.items():
+        if s and of[s := tuple(s)] > 1:
+            below = p(s[1:], w, None)
+            gain[s] += c * math.log((c - 1 + alpha * below) / (of[s] - 1 + alpha) / below)
+    states = {s for s, g in gain.items() if g > 0}
+    return [sum(math.log10(p(tuple(t[max(0, k - 3) : k]), w, states)) for k, w in enumerate(t)) for t in texts], states
+
+
+@pytest.mark.parametrize("chunk, part", [(300, 500), (1_000_000, 2_000_000)])
+def test_contexts_of_rare_words_are_states(spark, monkeypatch, chunk, part):
+    monkeypatch.setattr(suffix_tree_lm, "CHUNK", chunk)
+    monkeypatch.setattr(suffix_tree_lm, "PART", part, raising=False)
+    rng = np.random.default_rng(8)
+    filler = lambda n: " ".join(f"f{i}" for i in rng.integers(0, 2000, n))
+    # four words of a passage make up 0.03% each, far from enough for a long context by the share of a word
+    texts = [f"{filler(200)} Once upon a midnight {filler(rng.integers(0, 9))}" if i % 20 == 0 else filler(200) for i in range(150)]
+    texts += [None, "", "a a a a a a", "upon a midnight", "once UPON\ta midnight", texts[0], texts[0]]
+    held = [i % 7 == 3 for i in range(len(texts))]
+    rows = [(i % 100 if i % 11 else None, t, h) for i, (t, h) in enumerate(zip(texts, held))]
+    got = suffix_tree_lm.score(spark.createDataFrame(rows, "doc_id bigint, text string, h boolean"), F.col("h")).collect()
+    want, states = every_context(texts, held)
+    assert {(b"once", b"upon", b"a"), (b"upon", b"a"), (b"once",)} <= states
+    key = lambda r: ((r[0] is None, r[0] or 0), r[1], round(r[2], 6))
+    got = sorted(((r["doc_id"], r["held_out"], r["score"]) for r in got), key=key)
+    for a, b in zip(got, sorted(((i, h, s) for (i, _, h), s in zip(rows, want)), key=key), strict=True):
+        assert a[:2] == b[:2] and a[2] == pytest.approx(b[2], rel=1e-9)
+
+
 def test_scores_of_empty_tables(spark, docs):
     assert suffix_tree_lm.score(empty(spark), F.lit(False)).count() == 0
     assert suffix_tree_lm.score(docs, F.lit(True)).count() == docs.count()
