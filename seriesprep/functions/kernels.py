@@ -170,17 +170,17 @@ def lag_products(left: pd.Series, right: pd.Series, mean: pd.Series, first: pd.S
     """Sum over t of (left[t]-m)(right[t+k]-m) for k = first .. first+count-1."""
     out = []
     for a, b, m, f, c in zip(left, right, mean, first, count):
-        a, b = _arr(a) - m, _arr(b) - m
-        f, c = int(f), int(c)
-        size = 1 << int(len(a) + len(b)).bit_length()
-        if c <= 64:
-            s = np.array([np.dot(a[: max(len(b) - k, 0)], b[k : k + len(a)]) for k in range(f, f + c)])
-        else:
-            s = np.fft.irfft(np.conj(np.fft.rfft(a, size)) * np.fft.rfft(b, size), size)[f : f + c]
-        out.append(s)
+        out.append(_lag_products(_arr(a) - m, _arr(b) - m, int(f), int(c)))
     return pd.Series(out, dtype=object)
 
 
+def _lag_products(a: np.ndarray, b: np.ndarray, f: int, c: int) -> np.ndarray:
+    size = 1 << int(len(a) + len(b)).bit_length()
+    if c <= 64:
+        return np.array([np.dot(a[: max(len(b) - k, 0)], b[k : k + len(a)]) for k in range(f, f + c)])
+    return np.fft.irfft(np.conj(np.fft.rfft(a, size)) * np.fft.rfft(b, size), size)[f : f + c]
+
+
 # ------------------------------------------------------- seasonal-trend split
 def _tricube(pos: float, left: int, right: int, q: int, n: int, span: float) -> np.ndarray:
     """Local-linear weights at ``pos`` for points left..right (Cleveland et al. 1990)."""
@@ -543,24 +543,24 @@ def solve_gram(gram: pd.Series, size: pd.Series) -> pd.Series:
 @pandas_udf(DOUBLES)
 def yule_walker(products: pd.Series, n: pd.Series) -> pd.Series:
     """Autoregression coefficients from lag products, order by AIC up to 10 log10(n)."""
-    out = []
-    for s, m in zip(products, n):
-        m = int(m)
-        r = _arr(s) / m
-        top = min(m - 1, int(10 * np.log10(m)), len(r) - 1) if m > 1 else 0
-        best, kept = m * np.log(r[0]), np.array([])
-        phi, var = np.array([]), r[0]
-        for k in range(1, top + 1):
-            last = (r[k] - phi @ r[k - 1 : 0 : -1]) / var
-            phi = np.append(phi - last * phi[::-1], last)
-            var *= 1 - last * last
-            if var <= 0:
-                break
-            aic = m * np.log(var) + 2 * k
-            if aic < best:
-                best, kept = aic, phi
-        out.append(kept)
-    return pd.Series(out, dtype=object)
+    return pd.Series([_yule_walker(_arr(s), int(m)) for s, m in zip(products, n)], dtype=object)
+
+
+def _yule_walker(s: np.ndarray, m: int) -> np.ndarray:
+    r = s / m
+    top = min(m - 1, int(10 * np.log10(m)), len(r) - 1) if m > 1 else 0
+    best, kept = m * np.log(r[0]), np.array([])
+    phi, var = np.array([]), r[0]
+    for k in range(1, top + 1):
+        last = (r[k] - phi @ r[k - 1 : 0 : -1]) / var
+        phi = np.append(phi - last * phi[::-1], last)
+        var *= 1 - last * last
+        if var <= 0:
+            break
+        aic = m * np.log(var) + 2 * k
+        if aic < best:
+            best, kept = aic, phi
+    return kept
 
 
 @pandas_udf(DOUBLES)
@@ -585,33 +585,35 @@ def density_shift(
     """
     rows = []
     for v, a, s, e, total, zl, zh, bw, w in zip(values, lo, start, stop, n, low, high, width, window):
-        a, s, e, total, w = int(a), int(s), int(e), int(total), int(w)
-        x = _arr(v)
-        grid = np.linspace(zl, zh, 100)
-        step = grid[1] - grid[0]
-        best = (None, None)
-        # at least one step of rows at a time keeps the density matrix small
-        last = min(e, total - w - 1)
-        for c in range(s, last, 4096):
-            d = min(c + 4096, last)
-            p, q = max(c - w + 1, a), min(d + w + 1, a + len(x))
-            dens = np.exp(-(((grid[None, :] - x[p - a : q - a, None]) / bw) ** 2) / 2) / (bw * np.sqrt(2 * np.pi))
-            dens = np.maximum(dens, np.exp(-(38.0**2) / 2) / np.sqrt(2 * np.pi))
-            mean = sum(dens[k : len(dens) - w + 1 + k] for k in range(w)) / w
-            t = np.arange(c, d + 1)
-            kl = np.zeros(len(t))
-            ok = t >= w - 1
-            i = t[ok] - p - w + 1
-            m1, m2 = mean[i], mean[i + w]
-            kl[ok] = (m1 * (np.log(m1) - np.log(m2))).sum(axis=1) * step
-            gap = np.diff(kl)
-            j = int(np.argmax(gap))
-            if best[0] is None or gap[j] > best[0]:
-                best = (float(gap[j]), c + j + w)
-        rows.append(best)
+        rows.append(_density_shift(_arr(v), int(a), int(s), int(e), int(total), zl, zh, bw, int(w)))
     return pd.DataFrame(rows, columns=["value", "at"])
 
 
+def _density_shift(x: np.ndarray, a: int, s: int, e: int, total: int, zl: float, zh: float, bw: float, w: int) -> tuple:
+    grid = np.linspace(zl, zh, 100)
+    step = grid[1] - grid[0]
+    best = (None, None)
+    # at least one step of rows at a time keeps the density matrix small
+    last = min(e, total - w - 1)
+    for c in range(s, last, 4096):
+        d = min(c + 4096, last)
+        p, q = max(c - w + 1, a), min(d + w + 1, a + len(x))
+        dens = np.exp(-(((grid[None, :] - x[p - a : q - a, None]) / bw) ** 2) / 2) / (bw * np.sqrt(2 * np.pi))
+        dens = np.maximum(dens, np.exp(-(38.0**2) / 2) / np.sqrt(2 * np.pi))
+        mean = sum(dens[k : len(dens) - w + 1 + k] for k in range(w)) / w
+        t = np.arange(c, d + 1)
+        kl = np.zeros(len(t))
+        ok = t >= w - 1
+        i = t[ok] - p - w + 1
+        m1, m2 = mean[i], mean[i + w]
+        kl[ok] = (m1 * (np.log(m1) - np.log(m2))).sum(axis=1) * step
+        gap = np.diff(kl)
+        j = int(np.argmax(gap))
+        if best[0] is None or gap[j] > best[0]:
+            best = (float(gap[j]), c + j + w)
+    return best
+
+
 # -------------------------------------------------------- fluctuation scales
 def scale_grid(n: int) -> np.ndarray:
     """Distinct of 50 log-spaced window lengths from 5 to n // 2."""

@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 
-from ..layout import longest_series
-from ..operators import autocorr, library, spectrum, stats, symbolic, unitroot
+from ..layout import BLOCK_LEN, longest_series
+from ..operators import autocorr, library, spectrum, stats, symbolic, unitroot, whole
 from .report import CORE_COLUMNS
 
 CORE = CORE_COLUMNS
@@ -87,8 +87,14 @@ def columns_of(features: list[str]) -> set[str]:
     return {c for f in features for c in (GROUPS[f][0] if f in GROUPS else [f])}
 
 
-def computed(points: DataFrame, features: list[str] | None = None, longest: int | None = None) -> list[DataFrame]:
-    """One DataFrame per needed group, all keyed by series and channel."""
+def computed(
+    points: DataFrame, features: list[str] | None = None, longest: int | None = None, placed: bool = False
+) -> list[DataFrame]:
+    """DataFrames of the needed groups, all keyed by series and channel.
+
+    One per group; but of points that are ``placed`` by series (see ``arrange``), none longer than a block, all
+    groups that have a one-row form come together, from one pass over the points.
+    """
     longest = longest_series(points, longest)
     makers = {"sums": autocorr.lag_sums, "spectra": spectrum.spectrum, "bins": spectrum.long_bins}
     shared: dict[str, DataFrame | None] = {}
@@ -98,4 +104,7 @@ def computed(points: DataFrame, features: list[str] | None = None, longest: int
             shared[name] = makers[name](points, longest=longest)
         return shared[name]
 
-    return [GROUPS[g][1](points, supply, longest) for g in _groups(features)]
+    groups = _groups(features)
+    together = [g for g in groups if g in whole.COVERED] if placed and longest <= BLOCK_LEN else []
+    out = [whole.features(points, together)] if together else []
+    return out + [GROUPS[g][1](points, supply, longest) for g in groups if g not in together]

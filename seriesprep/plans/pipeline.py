@@ -50,9 +50,9 @@ def profile(
 
     ``features`` names columns or groups of ``plans.features``; only the groups
     that own a requested column are computed.  ``None`` asks for everything.
-    The points are arranged once and every group reads that arrangement.  Every group
-    is one job whose result, one row per series, is stored before the
-    join; the final join only meets those small tables.
+    The points are arranged once and every group reads that arrangement; the groups with a one-row
+    form share one pass over series of at most a block.  Each is one job whose result, one row per
+    series, is stored before the join; the final join only meets those small tables.
     """
     report = None
     with co_located(points.sparkSession):
@@ -67,7 +67,7 @@ def profile(
 
 def _profiled(part: Part, features: list[str] | None, params: Params) -> DataFrame:
     report = core_report(part.points, params, longest=part.longest, placed=part.placed)
-    parts = library.computed(part.points, features, part.longest)
+    parts = library.computed(part.points, features, part.longest, part.placed)
     if parts:
         # independent jobs, a few at a time, so that the tail of one does not idle the cluster
         with ThreadPoolExecutor(CONCURRENT_GROUPS) as pool:
