@@ -647,13 +647,14 @@ def break_share(taus: np.ndarray, f: np.ndarray) -> float:
     if m < 12:
         return 0.0
     x, y = np.log(taus), np.log(f)
-    cost = []
-    for i in range(edge, m - edge + 1):
-        total = 0.0
-        for a, b in ((x[:i], y[:i]), (x[i - 1 :], y[i - 1 :])):
-            a = a - a.mean()
-            total += np.linalg.norm(b - b.mean() - (a @ b / (a @ a)) * a)
-        cost.append(total)
+    at, here = np.arange(edge, m - edge + 1)[:, None], np.arange(m)
+    cost = 0.0
+    for own in (here < at, here >= at - 1):  # a row per break: the points of its segment
+        count = own.sum(axis=1, keepdims=True)
+        a = (x - (own * x).sum(axis=1, keepdims=True) / count) * own
+        b = (y - (own * y).sum(axis=1, keepdims=True) / count) * own
+        slope = (a * b).sum(axis=1, keepdims=True) / (a * a).sum(axis=1, keepdims=True)
+        cost = cost + np.linalg.norm(b - slope * a, axis=1)
     return (int(np.argmin(cost)) + edge) / m
 
 
