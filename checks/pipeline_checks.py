@@ -2,7 +2,8 @@
 
 from pyspark.sql import functions as F
 
-from seriesprep.layout import KEY
+from seriesprep.arrange import buckets_for, co_located, stored
+from seriesprep.layout import KEY, cut_lineage, shared_folder
 from seriesprep.operators import autocorr, channels, divergence, screen, stats, symbolic
 from seriesprep.params import Params
 from seriesprep.plans import pipeline, report
@@ -22,14 +23,24 @@ LOOSE = Params(
 )
 
 
+def placed_weekly(spark, d):
+    """The weekly points stored once by series: no step of the report makes or moves them again."""
+    n = base.table(spark, d, "supplier").count() * base.WEEKS
+    return stored(base.weekly(spark, d), buckets_for(spark, n), KEY, shared_folder(spark))
+
+
 def sql_report(points, d=None):
-    """The eight report columns from operators SQL can repeat; Stationarity stays NULL."""
-    sums = autocorr.lag_sums(points, longest=base.WEEKS)
-    best = _strengths(points, [12]).select(*KEY, F.col("seasonal_strength").alias("seasonal_strength1"), F.col("trend_strength").alias("trend_strength1"))
-    parts = [symbolic.transition(points, sums), symbolic.outlier_timing(points, 1), divergence.series_divergence(points)]
-    for p in parts:
-        best = best.join(p, KEY, "left")
-    return report.short_report(best.withColumn("adf_pvalue", F.lit(None).cast("double")))
+    """The eight report columns from operators SQL can repeat; Stationarity stays NULL.
+
+    Points that lie by series are read in place; the result, one row per series, is stored.
+    """
+    with co_located(points.sparkSession):
+        sums = autocorr.lag_sums(points, longest=base.WEEKS)
+        best = _strengths(points, [12]).select(*KEY, F.col("seasonal_strength").alias("seasonal_strength1"), F.col("trend_strength").alias("trend_strength1"))
+        parts = [symbolic.transition(points, sums), symbolic.outlier_timing(points, 1), divergence.series_divergence(points)]
+        for p in parts:
+            best = best.join(p, KEY, "left")
+        return cut_lineage(report.short_report(best.withColumn("adf_pvalue", F.lit(None).cast("double"))))
 
 
 REPORT = [
@@ -57,7 +68,7 @@ PASSES = " AND ".join(f"NOT coalesce({t}, false)" for t in TESTS.values())
 
 @query("rep2_rep3_rep4_short_report", sql(REPORT, "FROM report", NAMES))
 def rep2(spark, d):
-    return rounded(sql_report(base.weekly(spark, d)))
+    return rounded(sql_report(placed_weekly(spark, d)))
 
 
 @query("f1_quality_screen", sql(REPORT, f"SELECT *, {PASSES} AS keep FROM report", [], ["keep"]))
