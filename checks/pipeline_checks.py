@@ -73,7 +73,7 @@ def rep2(spark, d):
 
 @query("f1_quality_screen", sql(REPORT, f"SELECT *, {PASSES} AS keep FROM report", [], ["keep"]))
 def f1(spark, d):
-    return sql_report(base.weekly(spark, d)).select(*KEY, screen.passes_quality(LOOSE).alias("keep"))
+    return sql_report(placed_weekly(spark, d)).select(*KEY, screen.passes_quality(LOOSE).alias("keep"))
 
 
 @query(

@@ -8,7 +8,7 @@ import pytest
 from checks import base, pipeline_checks
 from seriesprep.layout import KEY
 
-QUERIES = ["rep2_rep3_rep4_short_report"]
+QUERIES = ["rep2_rep3_rep4_short_report", "f1_quality_screen"]
 
 
 @pytest.fixture(scope="module")
