@@ -101,11 +101,12 @@ def f7(spark, d):
 def snk3(spark, d):
     from seriesprep.operators.repair import repair
 
-    points = base.weekly(spark, d)
+    points = placed_weekly(spark, d)
     verdict = screen.with_verdict(sql_report(points), screen.zero_flags(points, LOOSE), LOOSE)
-    kept = repair(pipeline.survivors(points, verdict)).select(*KEY, "t", F.col("repaired").alias("v"))
     path = scratch_dir(spark, "cleaned")
-    pipeline.write_cleaned(kept, path)
+    with co_located(spark):
+        kept = repair(pipeline.survivors(points, verdict)).select(*KEY, "t", F.col("repaired").alias("v"))
+        pipeline.write_cleaned(kept, path)
     rows = spark.read.parquet(path).select(*KEY, "lo", F.posexplode("values").alias("i", "v"))
     return rounded(rows.select(*KEY, (F.col("lo") + F.col("i")).alias("t"), "v"), 4)
 
