@@ -8,7 +8,7 @@ import pytest
 from checks import base, pipeline_checks
 from seriesprep.layout import KEY
 
-QUERIES = ["rep2_rep3_rep4_short_report", "f1_quality_screen", "j2_j3_snk3_cleaned_survivors"]
+QUERIES = ["rep2_rep3_rep4_short_report", "f1_quality_screen", "j2_j3_snk3_cleaned_survivors", "f7_reject_reasons"]
 
 
 @pytest.fixture(scope="module")
