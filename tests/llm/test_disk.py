@@ -1,4 +1,4 @@
-"""What the near-duplicate join moves and leaves on disk."""
+"""What the near-duplicate join and its step of the pipeline move and leave on disk."""
 
 import os
 import random
@@ -9,6 +9,7 @@ import pytest
 from helpers_llm import documents, roots, shingles
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from seriesprep.llm import common, jaccard_join
 
 
@@ -58,6 +59,16 @@ def test_groups_where_nothing_is_small(spark, no_broadcast):
     assert sorted((str(r["doc_id"]), str(r["component_id"])) for r in got) == want
 
 
+def test_step_of_the_pipeline_keeps_texts_once(spark, monkeypatch):
+    staged, real = {}, corpus_pipeline.stage
+    monkeypatch.setattr(corpus_pipeline, "stage", lambda df, name, *a: staged.setdefault(name, real(df, name, *a)))
+    docs = documents(spark)
+    kept = corpus_pipeline.drop_near_duplicates(spark, docs, "")
+    schema = staged["pipeline-rows"].schema.simpleString()
+    assert len(re.findall(r"\btext:", schema)) == 1
+    assert kept.columns == docs.columns and 0 < kept.count() < docs.count()
+
+
 def test_staged_table_leaves_no_shuffle_files(spark):
     def kept():
         files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString("\n").split("\n")
