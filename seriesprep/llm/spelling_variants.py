@@ -172,9 +172,9 @@ def near_words(vocabulary: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_pydict({"h": h.view(np.int64), "id2": batch["id"], "word2": batch["word"], "n2": batch["n"]})
 
     around = vocabulary.select("id", "word").mapInArrow(generate, "h bigint, id bigint")
-    # Few words beside their neighbourhoods: staged, so that the optimizer sees their size.
+    # Few words beside their neighbourhoods, which the optimizer takes for no larger than the vocabulary: never broadcast.
     indexed = stage(vocabulary.select("id", "word", "n").mapInArrow(index, "h bigint, id2 bigint, word2 string, n2 bigint"), "spelling-index")
-    met = around.join(indexed, "h").filter("id <> id2").select("id", "word2", "n2")
+    met = around.hint("merge").join(indexed, "h").filter("id <> id2").select("id", "word2", "n2")
     return met.join(vocabulary.select("id", "word"), "id").filter(F.levenshtein("word", "word2", 1) == 1).select("id", "n2", "word2")
 
 

@@ -94,3 +94,10 @@ def test_chains_ties_and_long_words(spark):
 def test_empty_table(spark):
     assert sv.variants(empty(spark)).count() == 0
     assert np.array_equal(sv.powers(1), [1])
+
+
+def test_neighbourhoods_are_never_broadcast(spark):
+    words = spark.createDataFrame([(i, f"wordin{chr(97 + i)}", 5 + i) for i in range(9)], "id bigint, word string, n bigint")
+    plan = sv.near_words(words)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin [h#" in plan and "BroadcastHashJoin [h#" not in plan
+    assert sv.near_words(words).count() == 72
